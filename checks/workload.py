@@ -168,7 +168,7 @@ def snapshot_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def delete_marks(journal: DataFrame) -> DataFrame:
     """Marks that mostly rise; one in a while goes back."""
-    first_tag = F.element_at("tags", 1)
+    first_tag = F.get("tags", 0)
     rising = journal.where((first_tag == "error") & (F.col("seq_nr") % 11 == 0)).select(
         "persistence_id", (F.col("seq_nr") - 20).alias("to_seq_nr")
     )
