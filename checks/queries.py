@@ -86,14 +86,16 @@ def assigned_from_offset(spark, sf):
 def resume_from_commit(spark, sf):
     records = W.journal_topic(spark, sf)
     done = SRC.committable(records.where((F.col("seq_nr") <= 20) & (F.col("partition") < 12)), GROUP)
-    return C.resume(records, C.commit_ledger(done), GROUP, reset="earliest").select(*RECORD)
+    edges = SINK.edges(spark, W.topics_root(spark, sf)).where(F.col("topic") == JOURNAL_TOPIC)
+    return C.resume(records, edges, C.commit_ledger(done), GROUP, reset="earliest").select(*RECORD)
 
 
 @query
 def resume_from_latest(spark, sf):
     records = W.journal_topic(spark, sf)
     done = SRC.committable(records.where((F.col("seq_nr") <= 20) & (F.col("partition") < 12)), GROUP)
-    return C.resume(records, C.commit_ledger(done), GROUP, reset="latest").select(*RECORD)
+    edges = SINK.edges(spark, W.topics_root(spark, sf)).where(F.col("topic") == JOURNAL_TOPIC)
+    return C.resume(records, edges, C.commit_ledger(done), GROUP, reset="latest").select(*RECORD)
 
 
 @query
@@ -358,8 +360,7 @@ def journal_append_results(spark, sf):
 
 @query
 def journal_index(spark, sf):
-    journal = W.journal(spark, sf)
-    index = J.journal_index(journal, W.delete_marks(journal))
+    index = J.journal_index(W.journal(spark, sf), W.marks(spark, sf))
     return index.select(
         "persistence_id", "highest_seq_nr", "partition", "first_offset", "last_offset", "deleted_to_seq_nr", csv(),
         F.unix_micros("last_updated").alias("last_micros"),
@@ -390,20 +391,19 @@ def _customer_ids(spark, sf):
 @query
 def index_lookup(spark, sf):
     ids = _customer_ids(spark, sf).select("persistence_id")
-    return J.lookup_index(J.journal_index(W.journal(spark, sf)), ids).select(
+    return J.lookup_index(W.index(spark, sf), ids).select(
         "persistence_id", "highest_seq_nr", "partition", "first_offset", "last_offset"
     )
 
 
 @query
 def highest_seq_nr(spark, sf):
-    return J.highest_seq_nr(J.journal_index(W.journal(spark, sf)), _customer_ids(spark, sf).select("persistence_id"))
+    return J.highest_seq_nr(W.index(spark, sf), _customer_ids(spark, sf).select("persistence_id"))
 
 
 @query
 def logical_delete(spark, sf):
-    journal = W.journal(spark, sf)
-    return J.visible_events(journal, W.delete_marks(journal)).select(*EVENT)
+    return J.visible_events(W.journal(spark, sf), W.marks(spark, sf)).select(*EVENT)
 
 
 def _busiest_id(index: DataFrame) -> str:
@@ -412,16 +412,13 @@ def _busiest_id(index: DataFrame) -> str:
 
 @query
 def replay(spark, sf):
-    journal = W.journal(spark, sf)
-    index = J.journal_index(journal, W.delete_marks(journal))
+    index = W.index(spark, sf)
     found = J.replay(W.journal_topic(spark, sf), index, _busiest_id(index), from_seq=3, most=40)
     return found.select(*EVENT, "ticks", "writer_uuid")
 
 
 @query
 def bulk_replay(spark, sf):
-    journal = W.journal(spark, sf)
-    index = J.journal_index(journal, W.delete_marks(journal))
     nation = F.col("c_nationkey").cast("bigint")
     requests = _customer_ids(spark, sf).select(
         "persistence_id",
@@ -429,7 +426,7 @@ def bulk_replay(spark, sf):
         (nation + 30).alias("to_seq"),
         (nation + 10).alias("most"),
     )
-    return J.bulk_replay(journal, index, requests).select(*EVENT)
+    return J.bulk_replay(W.journal(spark, sf), W.index(spark, sf), requests).select(*EVENT)
 
 
 def _with_cents(journal: DataFrame) -> DataFrame:
@@ -485,16 +482,16 @@ def tenant_scan(spark, sf):
 
 @query
 def events_by_id(spark, sf):
-    index = J.journal_index(W.journal(spark, sf))
+    index = W.index(spark, sf)
     found = R.events_by_id(W.journal_topic(spark, sf), _busiest_id(index), from_seq=2, index=index)
     return found.select(*EVENT, "ticks", csv())
 
 
 @query
 def events_by_id_undeleted(spark, sf):
-    journal = W.journal(spark, sf)
+    index = W.index(spark, sf)
     found = R.events_by_id(
-        W.journal_topic(spark, sf), _busiest_id(J.journal_index(journal)), hide_deleted=W.delete_marks(journal)
+        W.journal_topic(spark, sf), _busiest_id(index), index=index, hide_deleted=W.marks(spark, sf)
     )
     return found.select(*EVENT)
 
@@ -507,7 +504,7 @@ def _drained(spark, sf, name, select):
 
 @query
 def events_by_id_live(spark, sf):
-    wanted = _busiest_id(J.journal_index(W.journal(spark, sf)))
+    wanted = _busiest_id(W.index(spark, sf))
     return _drained(spark, sf, "by-id", lambda stream: R.select_by_id(stream, wanted, from_seq=2))
 
 
@@ -556,12 +553,12 @@ SNAPSHOT = ["persistence_id", "seq_nr", "ticks", "offset"]
 
 @query
 def snapshot_delete_seq(spark, sf):
-    return S.live_snapshots(W.snapshot_log(spark, sf).where("kind <> 'del_range'")).select(*SNAPSHOT)
+    return S.live_keys(W.snapshot_log(spark, sf).where("kind <> 'del_range'")).select(*SNAPSHOT)
 
 
 @query
 def snapshot_delete_range(spark, sf):
-    return S.live_snapshots(W.snapshot_log(spark, sf).where("kind <> 'del_seq'")).select(*SNAPSHOT)
+    return S.live_keys(W.snapshot_log(spark, sf).where("kind <> 'del_seq'")).select(*SNAPSHOT)
 
 
 @query
@@ -576,19 +573,17 @@ def snapshot_load(spark, sf):
         F.lit(11).cast("bigint").alias("min_seq"),
         (F.col("c_nationkey").cast("bigint") * 2 + 20).alias("max_seq"),
     )
-    return S.load_snapshots(S.live_snapshots(W.snapshot_log(spark, sf)), criteria).select(*SNAPSHOT)
+    return S.load_snapshots(W.snapshot_log(spark, sf), criteria).select(*SNAPSHOT)
 
 
 @query
 def recover_all(spark, sf):
-    journal = W.journal(spark, sf)
-    marks = W.delete_marks(journal)
-    best = S.load_snapshots(S.live_snapshots(W.snapshot_log(spark, sf)))
+    best = S.newest(S.live_keys(W.snapshot_log(spark, sf)))
     return recovery.recover_all(
-        _with_cents(journal),
-        J.journal_index(journal),
+        _with_cents(W.journal(spark, sf)),
+        W.index(spark, sf),
         best,
-        marks,
+        W.marks(spark, sf),
         tail_cents=F.sum("cents"),
         first_tail_seq=F.min("seq_nr"),
         last_manifest=F.max_by("manifest", "offset"),
@@ -822,7 +817,7 @@ def event_serialize(spark, sf):
 
 @query
 def snapshot_decode(spark, sf):
-    best = S.load_snapshots(S.live_snapshots(W.snapshot_log(spark, sf)))
+    best = S.load_snapshots(W.snapshot_log(spark, sf))
     state = payload.decode_json(F.col("payload"), BODY)
     return best.select(
         "persistence_id", "seq_nr", "manifest", "format", state["eventId"].alias("event_id"), state["cents"].alias("cents")

@@ -45,7 +45,11 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def journal_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events that belong to the journal, numbered per user."""
+    """Events that belong to the journal, numbered per user; read from the stored table of them."""
+    return spark.read.parquet(f"{topics_root(spark, sf_dir)}/events")
+
+
+def _numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = events(spark, sf_dir).where(~F.col("foreign"))
     return numbered(own, ["user_id"], ["event_id"], "seq_nr").withColumns(
         {
@@ -70,8 +74,8 @@ def event_schema_id(event_type: Column) -> Column:
     return 1000 + F.length(event_type)
 
 
-def journal_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = J.encode_events(journal_events(spark, sf_dir))
+def journal_records(spark: SparkSession, sf_dir: str, numbered_events: DataFrame) -> DataFrame:
+    own = J.encode_events(numbered_events)
     foreign = events(spark, sf_dir).where("foreign").select(
         "event_id",
         F.col("part"),
@@ -100,9 +104,8 @@ def conversation_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.encode_events(turns, TENANT + JOURNAL_TOPIC)
 
 
-def snapshot_actions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def snapshot_actions(own: DataFrame) -> dict[str, DataFrame]:
     """Saves and deletes that follow from the journal; ``sub`` orders those of one event."""
-    own = journal_events(spark, sf_dir)
     round_seq = F.col("seq_nr") - F.col("seq_nr") % 10
     body = codec.encode_string(payload.encode_json({"event_id": F.col("event_id"), "cents": F.col("cents")}))
     saves = own.where(F.col("seq_nr") % 10 == 0).withColumn("sub", F.lit(0))
@@ -154,8 +157,8 @@ def snapshot_actions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def snapshot_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    actions = snapshot_actions(spark, sf_dir)
+def snapshot_records(numbered_events: DataFrame) -> DataFrame:
+    actions = snapshot_actions(numbered_events)
     columns = ["event_id", "sub", "part", "topic", "key", "value", "headers", "timestamp"]
     encoded = [
         S.encode_saves(actions["saves"]),
@@ -193,7 +196,9 @@ def topics_root(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir, _fingerprint(spark, sf_dir))
     if key not in _stored:
         root = fresh_dir(spark, "topics")
-        append_topic(journal_records(spark, sf_dir), root, 0, ["event_id"], partitioner=F.col("part"))
+        _numbered_events(spark, sf_dir).write.parquet(f"{root}/events")
+        own = spark.read.parquet(f"{root}/events")
+        append_topic(journal_records(spark, sf_dir, own), root, 0, ["event_id"], partitioner=F.col("part"))
         append_topic(
             conversation_records(spark, sf_dir),
             root,
@@ -201,11 +206,23 @@ def topics_root(spark: SparkSession, sf_dir: str) -> str:
             ["conv_id", "turn"],
             partitioner=F.pmod("conv_id", F.lit(8)),
         )
-        append_topic(snapshot_records(spark, sf_dir), root, 2, ["event_id", "sub"], partitioner=F.col("part"))
+        append_topic(snapshot_records(own), root, 2, ["event_id", "sub"], partitioner=F.col("part"))
+        stored = J.decode_journal(read_topics(spark, root, Topics([JOURNAL_TOPIC])))
+        delete_marks(stored).write.parquet(f"{root}/marks")
+        J.journal_index(stored, spark.read.parquet(f"{root}/marks")).write.parquet(f"{root}/index")
         _stored[key] = root
     return _stored[key]
 
 
+def index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The journal index, as kept next to the journal."""
+    return spark.read.parquet(f"{topics_root(spark, sf_dir)}/index")
+
+
+def marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{topics_root(spark, sf_dir)}/marks")
+
+
 def journal_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_topics(spark, topics_root(spark, sf_dir), Topics([JOURNAL_TOPIC]))
 

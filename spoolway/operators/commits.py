@@ -30,16 +30,17 @@ def batch_commits(batches: DataFrame) -> DataFrame:
     )
 
 
-def start_positions(df: DataFrame, ledger: DataFrame, group_id: str, reset: str = "latest") -> DataFrame:
-    """``(topic, partition, start)`` of a group: its commit, else the first or the next offset."""
-    edge = F.max("offset") + 1 if reset == "latest" else F.min("offset")
-    edges = df.groupBy(*POSITION_KEYS).agg(edge.alias("edge"))
-    own = ledger.where(F.col("group_id") == group_id).select(*POSITION_KEYS, "next_offset")
-    return edges.join(own, POSITION_KEYS, "left").select(
-        *POSITION_KEYS, F.coalesce("next_offset", "edge").alias("start")
-    )
+def start_positions(edges: DataFrame, ledger: DataFrame, group_id: str, reset: str = "latest") -> DataFrame:
+    """``(topic, partition, start)`` of a group: its commit, else the first or the next offset.
+
+    ``edges(topic, partition, first_offset, next_offset)`` comes from the commit rows
+    of a topic table, so no record is read for it.
+    """
+    edge = "next_offset" if reset == "latest" else "first_offset"
+    own = ledger.where(F.col("group_id") == group_id).select(*POSITION_KEYS, F.col("next_offset").alias("committed"))
+    return edges.join(own, POSITION_KEYS, "left").select(*POSITION_KEYS, F.coalesce("committed", edge).alias("start"))
 
 
-def resume(df: DataFrame, ledger: DataFrame, group_id: str, reset: str = "latest") -> DataFrame:
+def resume(df: DataFrame, edges: DataFrame, ledger: DataFrame, group_id: str, reset: str = "latest") -> DataFrame:
     """What a group has still to read; partitions it never committed follow ``reset``."""
-    return from_positions(df, start_positions(df, ledger, group_id, reset))
+    return from_positions(df, start_positions(edges, ledger, group_id, reset))

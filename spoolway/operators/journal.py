@@ -33,7 +33,7 @@ def validate(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     checked = events.withColumn("reason", reason)
     failed = checked.where(F.col("reason").isNotNull()).select("atomic_id").distinct().withColumn("_failed", F.lit(True))
-    judged = checked.join(failed, "atomic_id", "left")
+    judged = skew_join(checked, failed, ["atomic_id"], "left")
     accepted = judged.where(F.col("_failed").isNull()).drop("_failed", "reason")
     rejected = judged.where(F.col("_failed")).drop("_failed")
     return accepted, rejected.withColumn("reason", F.coalesce("reason", F.lit("atomic write rejected")))
@@ -102,31 +102,39 @@ def decode_journal(records: DataFrame) -> DataFrame:
 
 def journal_index(journal: DataFrame, marks: DataFrame | None = None) -> DataFrame:
     """One row per persistence id; built by partial aggregates, so hot ids do not gather."""
-    tagged = journal.select("persistence_id", F.explode("tags").alias("tag")).distinct()
-    # an id's distinct tags, not its events
-    tags = tagged.groupBy("persistence_id").agg(F.array_sort(F.collect_list("tag")).alias("tags"))
-    index = journal.groupBy("persistence_id").agg(
-        F.max("seq_nr").alias("highest_seq_nr"),
-        F.min("partition").alias("partition"),
-        F.min("offset").alias("first_offset"),
-        F.max("offset").alias("last_offset"),
-        F.max("ticks").alias("last_ticks"),
+    # by id and tag list first: after it only an id's distinct tag lists are left
+    index = (
+        journal.groupBy("persistence_id", "tags")
+        .agg(
+            F.max("seq_nr").alias("highest_seq_nr"),
+            F.min("partition").alias("partition"),
+            F.min("offset").alias("first_offset"),
+            F.max("offset").alias("last_offset"),
+            F.max("ticks").alias("last_ticks"),
+        )
+        .groupBy("persistence_id")
+        .agg(
+            F.max("highest_seq_nr").alias("highest_seq_nr"),
+            F.min("partition").alias("partition"),
+            F.min("first_offset").alias("first_offset"),
+            F.max("last_offset").alias("last_offset"),
+            F.max("last_ticks").alias("last_ticks"),
+            _union_of("tags"),
+        )
     )
-    joined = index.join(tags, "persistence_id", "left")
-    if marks is None:
-        deleted = F.lit(0).cast("bigint")
-    else:
-        joined = joined.join(deleted_to(marks), "persistence_id", "left")
-        deleted = F.coalesce("deleted_to_seq_nr", F.lit(0).cast("bigint"))
-    return joined.withColumns(
-        {
-            "deleted_to_seq_nr": deleted,
-            "tags": F.coalesce("tags", F.array().cast("array<string>")),
-            "last_updated": codec.ticks_to_timestamp(F.col("last_ticks")),
-        }
+    deleted = F.lit(0).cast("bigint")
+    if marks is not None:
+        index = index.join(deleted_to(marks), "persistence_id", "left")
+        deleted = F.coalesce("deleted_to_seq_nr", deleted)
+    return index.withColumns(
+        {"deleted_to_seq_nr": deleted, "last_updated": codec.ticks_to_timestamp(F.col("last_ticks"))}
     ).select("persistence_id", *INDEX_FIELDS)
 
 
+def _union_of(tags: str) -> Column:
+    return F.array_sort(F.array_distinct(F.flatten(F.collect_set(tags)))).alias("tags")
+
+
 def encode_index(index: DataFrame) -> DataFrame:
     """Index rows as records of the compacted index topic, with a JSON body."""
     body = F.to_json(F.struct(*INDEX_FIELDS))
@@ -135,24 +143,17 @@ def encode_index(index: DataFrame) -> DataFrame:
 
 def merge_index(entries: DataFrame) -> DataFrame:
     """One row per id out of partial index rows, for instance one per streamed batch."""
-    tags = (
-        entries.select("persistence_id", F.explode("tags").alias("tag"))
-        .distinct()
-        .groupBy("persistence_id")
-        .agg(F.array_sort(F.collect_list("tag")).alias("tags"))
-    )
-    merged = entries.groupBy("persistence_id").agg(
-        F.max("highest_seq_nr").alias("highest_seq_nr"),
-        F.min("partition").alias("partition"),
-        F.min("first_offset").alias("first_offset"),
-        F.max("last_offset").alias("last_offset"),
-        F.max("deleted_to_seq_nr").alias("deleted_to_seq_nr"),
-        F.max("last_updated").alias("last_updated"),
-    )
-    empty = F.array().cast("array<string>")
     return (
-        merged.join(tags, "persistence_id", "left")
-        .withColumn("tags", F.coalesce("tags", empty))
+        entries.groupBy("persistence_id")
+        .agg(
+            F.max("highest_seq_nr").alias("highest_seq_nr"),
+            F.min("partition").alias("partition"),
+            F.min("first_offset").alias("first_offset"),
+            F.max("last_offset").alias("last_offset"),
+            F.max("deleted_to_seq_nr").alias("deleted_to_seq_nr"),
+            _union_of("tags"),
+            F.max("last_updated").alias("last_updated"),
+        )
         .select("persistence_id", *INDEX_FIELDS)
     )
 

@@ -2,12 +2,12 @@
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from spoolway.schema import DEFAULT_PARTITIONS
+from spoolway.operators.skew import skew_join
+from spoolway.schema import DEFAULT_PARTITIONS, POSITION_KEYS, TOPIC
 from spoolway.sinks.topics import commit_batch, next_offsets, place, write_batch
 
-RECORD_FIELDS = ["topic", "key", "value", "headers"]
-
 
 def explode_records(envelopes: DataFrame) -> DataFrame:
     """Envelopes with a ``records`` array as one row per record, numbered by ``pos``."""
@@ -35,11 +35,14 @@ def produce(
     order = ["envelope_id", "pos"]
     base = next_offsets(spark, root, before_batch=batch)
     placed = place(records, order, partitions, partitioner, base)
-    commit_batch(write_batch(placed, root, batch), root, batch)
-    written = placed.select("envelope_id", "pos", "topic", "partition", "offset")
-    return envelopes.join(written, "envelope_id", "left").withColumn(
-        "kind", F.when(F.col("pos").isNull(), "pass_through").otherwise("record")
-    )
+    commit_batch(write_batch(placed, root, batch, keep=order), root, batch)
+
+    columns = ["envelope_id", "pos", *POSITION_KEYS, "offset"]
+    schema = T.StructType([*TOPIC.fields, *[placed.schema[name] for name in order]])
+    written = spark.read.schema(schema).parquet(f"{root}/log/batch={batch}").select(*columns)
+    produced = skew_join(written, envelopes, ["envelope_id"]).withColumn("kind", F.lit("record"))
+    passed = envelopes.join(records.select("envelope_id").distinct(), "envelope_id", "left_anti")
+    return produced.unionByName(passed.withColumn("kind", F.lit("pass_through")), allowMissingColumns=True)
 
 
 def regroup(results: DataFrame) -> DataFrame:

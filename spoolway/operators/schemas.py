@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spoolway.functions.payload import JSON_KINDS
+from spoolway.operators.skew import broadcast_small
 
 # Fixed value: the dialect named in derived documents.
 JSON_SCHEMA_DIALECT = "http://json-schema.org/draft-07/schema#"
@@ -27,8 +28,7 @@ def resolve_schema(records: DataFrame, schemas: DataFrame) -> DataFrame:
     current = latest_schemas(schemas).select(
         "subject", F.col("id").alias("schema_id"), F.col("type").alias("schema_type")
     )
-    # one row per subject: Spark broadcasts it by its measured size
-    return records.join(current, "subject", "left")
+    return records.join(broadcast_small(current), "subject", "left")
 
 
 def unresolved(records: DataFrame, schemas: DataFrame) -> DataFrame:

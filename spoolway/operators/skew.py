@@ -6,9 +6,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from spoolway.scratch import shared_dir
+
 ROWS_PER_TASK = 4_000_000
 MAX_HOT_GROUPS = 10_000
 MAX_SPLITS = 8
+MAX_SMALL_ROWS = 100_000
 
 
 def hot_groups(df: DataFrame, by: Sequence[str], order: Sequence[str] = (), limit: int = ROWS_PER_TASK) -> list[Row]:
@@ -17,11 +20,19 @@ def hot_groups(df: DataFrame, by: Sequence[str], order: Sequence[str] = (), limi
     At most rows/limit groups qualify. Should more than ``MAX_HOT_GROUPS`` do, the
     smaller ones are left to the plain plan, which is slower for them but exact.
     """
-    bounds = [f(c).alias(f"{name}_{i}") for i, c in enumerate(order) for name, f in (("lo", F.min), ("hi", F.max))]
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), *bounds)
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), *_bounds(order))
     return sizes.where(F.col("rows") > limit).orderBy(F.desc("rows")).limit(MAX_HOT_GROUPS).collect()
 
 
+def _bounds(order: Sequence[str]) -> list[Column]:
+    return [f(c).alias(f"{name}_{i}") for i, c in enumerate(order) for name, f in (("lo", F.min), ("hi", F.max))]
+
+
+def broadcast_small(df: DataFrame, most_rows: int = MAX_SMALL_ROWS) -> DataFrame:
+    """Mark a side for broadcast if its rows, which are counted, are few; else leave the join to Spark."""
+    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
+
+
 def same_group(left: Sequence[str], right: Sequence[str]) -> Column:
     return reduce(Column.__and__, [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)])
 
@@ -41,6 +52,7 @@ def running_totals(
     values) are cut again. A slot is a function of the data alone, so a recomputed
     task gives the same numbers. The order has to be total within a group.
     """
+    shared_dir(df.sparkSession)
     inputs = {f"_{name}_in": value for name, value in totals.items()}
     return _running(df.withColumns(inputs), list(by), list(order), list(totals), limit, 0).drop(*inputs)
 
@@ -52,10 +64,13 @@ def numbered(
     return running_totals(df, by, order, {name: F.lit(1).cast("bigint")}, limit)
 
 
-def _running(df: DataFrame, by: list[str], order: list[str], names: list[str], limit: int, depth: int) -> DataFrame:
-    hot = hot_groups(df, by, order, limit) if depth < MAX_SPLITS else []
+def _running(
+    df: DataFrame, by: list[str], order: list[str], names: list[str], limit: int, depth: int, hot: list[Row] | None = None
+) -> DataFrame:
+    if hot is None:
+        hot = hot_groups(df, by, order, limit)
     splits = [split for split in (_split(row, by, order, limit) for row in hot) if split]
-    if not splits:
+    if not splits or depth == MAX_SPLITS:
         window = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({name: F.sum(f"_{name}_in").over(window) for name in names})
 
@@ -74,16 +89,26 @@ def _running(df: DataFrame, by: list[str], order: list[str], names: list[str], l
         .drop(*keys, "_pick", "_lo", "_width")
     )
 
-    # rows/limit slots at most, so this side is small whatever the number of rows
-    before = Window.partitionBy(*keys).orderBy("_slot_of").rowsBetween(Window.unboundedPreceding, -1)
-    sums = (
+    # rows/limit slots at most, so this table is small whatever the number of rows
+    slots = (
         slotted.where(F.col(slot).isNotNull())
-        .groupBy(*[F.col(column).alias(key) for column, key in zip(by, keys)], F.col(slot).alias("_slot_of"))
-        .agg(*[F.sum(f"_{name}_in").alias(f"_{name}_sum") for name in names])
+        .groupBy(*by, slot)
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            *_bounds(order),
+            *[F.sum(f"_{name}_in").alias(f"_{name}_sum") for name in names],
+        )
+        .checkpoint()
+    )
+    again = slots.where(F.col("rows") > limit).orderBy(F.desc("rows")).limit(MAX_HOT_GROUPS).collect()
+    before = Window.partitionBy(*by).orderBy(slot).rowsBetween(Window.unboundedPreceding, -1)
+    base = slots.select(
+        *[F.col(column).alias(key) for column, key in zip(by, keys)],
+        F.col(slot).alias("_slot_of"),
+        *[F.sum(f"_{n}_sum").over(before).alias(f"_{n}_base") for n in names],
     )
-    base = sums.select(*keys, "_slot_of", *[F.sum(f"_{n}_sum").over(before).alias(f"_{n}_base") for n in names])
 
-    inner = _running(slotted, [*by, slot], order, names, limit, depth + 1)
+    inner = _running(slotted, [*by, slot], order, names, limit, depth + 1, again)
     return (
         inner.join(F.broadcast(base), same_group([*by, slot], [*keys, "_slot_of"]), "left")
         .withColumns({name: F.col(name) + F.coalesce(F.col(f"_{name}_base"), F.lit(0)) for name in names})
@@ -101,15 +126,21 @@ def _split(row: Row, by: list[str], order: list[str], limit: int) -> tuple | Non
 
 
 def skew_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", limit: int = ROWS_PER_TASK
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    how: str = "inner",
+    limit: int = ROWS_PER_TASK,
+    hot: list[Row] | None = None,
 ) -> DataFrame:
     """Join a large side with a side that has one row per key.
 
     Rows of keys with more than ``limit`` rows on the left meet a broadcast of just
     those keys' right rows (rows/limit at most); all others take the usual join.
+    ``hot`` names those keys if they are known already.
     """
     on = list(on)
-    hot = hot_groups(left, on, limit=limit)
+    hot = hot_groups(left, on, limit=limit) if hot is None else hot[:MAX_HOT_GROUPS]
     if not hot:
         return left.join(right, on, how)
     keys = [f"_hot_{i}" for i in range(len(on))]

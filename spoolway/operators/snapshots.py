@@ -231,45 +231,55 @@ def range_kills(saves: DataFrame, ranges: DataFrame) -> DataFrame:
     return hits.select(*SNAPSHOT_KEYS)
 
 
-def live_snapshots(log: DataFrame) -> DataFrame:
-    """What is left of a snapshot log: the last save of each (id, seq) that no later tombstone hits.
+def live_keys(log: DataFrame) -> DataFrame:
+    """``persistence_id, seq_nr, ticks, partition, offset`` of the live snapshots, without their payloads.
 
-    The payloads stay out of the tombstone joins; they are fetched with the last saves.
+    The last save of each (id, seq) is live unless a later tombstone matches it.
+    Tombstones for one sequence number are settled by aggregates: by (id, seq, ticks)
+    for those with an exact time, then by (id, seq).
     """
-    saves = log.where(F.col("kind") == "save")
-    last = saves.groupBy(*SNAPSHOT_KEYS).agg(F.max_by(F.struct("ticks", "offset"), F.col("offset")).alias("_last"))
-    last = last.select(*SNAPSHOT_KEYS, "_last.ticks", "_last.offset")
-
-    seq_deletes = log.where(F.col("kind") == "del_seq")
-    any_time = (
-        seq_deletes.where(F.col("ticks") == 0).groupBy(*SNAPSHOT_KEYS).agg(F.max("offset").alias("killed_before"))
-    )
-    exact_time = (
-        seq_deletes.where(F.col("ticks") != 0)
-        .groupBy(*SNAPSHOT_KEYS, "ticks")
-        .agg(F.max("offset").alias("killed_before"))
-    )
-    later = F.col("offset") < F.col("killed_before")
-    kills = (
-        last.join(any_time, SNAPSHOT_KEYS)
-        .where(later)
-        .select(*SNAPSHOT_KEYS)
-        .unionByName(last.join(exact_time, [*SNAPSHOT_KEYS, "ticks"]).where(later).select(*SNAPSHOT_KEYS))
-        .unionByName(range_kills(last, log.where(F.col("kind") == "del_range")))
+    save, delete = F.col("kind") == "save", F.col("kind") == "del_seq"
+    any_time = F.col("ticks") == 0
+    by_time = (
+        log.where(save | delete)
+        .groupBy(*SNAPSHOT_KEYS, "ticks", "partition")
+        .agg(
+            F.max(F.when(save, F.col("offset"))).alias("saved"),
+            F.max(F.when(delete & any_time, F.col("offset"))).alias("any_deleted"),
+            F.max(F.when(delete & ~any_time, F.col("offset"))).alias("exact_deleted"),
+        )
     )
-    live = last.join(kills.distinct(), SNAPSHOT_KEYS, "left_anti").select(*SNAPSHOT_KEYS, "offset")
-    return saves.join(live, [*SNAPSHOT_KEYS, "offset"], "left_semi").select(
-        "persistence_id", "seq_nr", "ticks", "partition", "offset", "manifest", "format", "payload"
+    by_seq = by_time.groupBy(*SNAPSHOT_KEYS).agg(
+        F.max_by(F.struct("ticks", "partition", "saved", "exact_deleted"), F.col("saved")).alias("_last"),
+        F.max("any_deleted").alias("any_deleted"),
     )
+    saved = F.col("_last.saved")
+    last = by_seq.where(
+        saved.isNotNull()
+        & (saved > F.coalesce("any_deleted", F.lit(-1)))
+        & (saved > F.coalesce("_last.exact_deleted", F.lit(-1)))
+    ).select(*SNAPSHOT_KEYS, "_last.ticks", "_last.partition", saved.alias("offset"))
+    kills = range_kills(last, log.where(F.col("kind") == "del_range"))
+    return last.join(kills, SNAPSHOT_KEYS, "left_anti")
+
 
+def with_payload(keys: DataFrame, log: DataFrame) -> DataFrame:
+    """Fetch the manifest, format and payload of chosen snapshots."""
+    where = ["persistence_id", "partition", "offset"]
+    bodies = log.where(F.col("kind") == "save").select(*where, "manifest", "format", "payload")
+    return keys.join(bodies, where)
 
-def load_snapshots(live: DataFrame, criteria: DataFrame | None = None) -> DataFrame:
-    """The live snapshot with the highest sequence number of each id.
 
-    ``criteria(persistence_id[, min_seq, max_seq, min_ticks, max_ticks])`` names the
-    ids wanted, with inclusive bounds; a requested id without a match keeps a row of nulls.
+def live_snapshots(log: DataFrame) -> DataFrame:
+    return with_payload(live_keys(log), log)
+
+
+def newest(live: DataFrame, criteria: DataFrame | None = None) -> DataFrame:
+    """Of each id the live snapshot with the highest sequence number.
+
+    ``criteria(persistence_id[, min_seq, max_seq, min_ticks, max_ticks])`` has one row
+    per wanted id, with inclusive bounds.
     """
-    bodies = [c for c in live.columns if c != "persistence_id"]
     if criteria is not None:
         given = set(criteria.columns)
         bounds = criteria.select(
@@ -283,9 +293,14 @@ def load_snapshots(live: DataFrame, criteria: DataFrame | None = None) -> DataFr
             F.col("seq_nr").between(F.col("_min_seq"), F.col("_max_seq"))
             & F.col("ticks").between(F.col("_min_ticks"), F.col("_max_ticks"))
         )
-    best = live.groupBy("persistence_id").agg(F.max_by(F.struct(*bodies), F.col("seq_nr")).alias("_best"))
-    best = best.select("persistence_id", "_best.*")
-    return best if criteria is None else criteria.select("persistence_id").join(best, "persistence_id", "left")
+    best = F.max(F.struct("seq_nr", "ticks", "partition", "offset")).alias("_best")
+    return live.groupBy("persistence_id").agg(best).select("persistence_id", "_best.*")
+
+
+def load_snapshots(log: DataFrame, criteria: DataFrame | None = None) -> DataFrame:
+    """The newest live snapshot of each id with its payload; wanted ids without one keep a row of nulls."""
+    found = with_payload(newest(live_keys(log), criteria), log)
+    return found if criteria is None else criteria.select("persistence_id").join(found, "persistence_id", "left")
 
 
 def compact_snapshot_log(log: DataFrame) -> DataFrame:

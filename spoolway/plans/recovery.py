@@ -4,20 +4,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spoolway.operators.journal import deleted_to
-from spoolway.operators.skew import ROWS_PER_TASK, skew_join
+from spoolway.operators.skew import MAX_HOT_GROUPS, ROWS_PER_TASK, skew_join
 
 
 def recovery_tail(
-    journal: DataFrame, snapshots: DataFrame, marks: DataFrame | None = None, rows_per_task: int = ROWS_PER_TASK
+    journal: DataFrame,
+    index: DataFrame,
+    snapshots: DataFrame,
+    marks: DataFrame | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Events each id has to replay: after its snapshot, and after what is deleted."""
+    """Events each id has to replay: after its snapshot, and after what is deleted.
+
+    The index tells which ids are hot, by their highest sequence number.
+    """
     start = snapshots.select("persistence_id", F.col("seq_nr").alias("_after"))
     if marks is not None:
         start = start.unionByName(
             deleted_to(marks).select("persistence_id", F.col("deleted_to_seq_nr").alias("_after"))
         )
     start = start.groupBy("persistence_id").agg(F.max("_after").alias("_after"))
-    joined = skew_join(journal, start, ["persistence_id"], "left", rows_per_task)
+    hot = index.where(F.col("highest_seq_nr") > rows_per_task).orderBy(F.desc("highest_seq_nr"))
+    hot_ids = hot.select("persistence_id").limit(MAX_HOT_GROUPS).collect()
+    joined = skew_join(journal, start, ["persistence_id"], "left", hot=hot_ids)
     return joined.where(F.col("seq_nr") > F.coalesce("_after", F.lit(0))).drop("_after")
 
 
@@ -30,7 +39,7 @@ def recover_all(
     **state: Column,
 ) -> DataFrame:
     """One row per indexed id: its snapshot's number, the length of its tail and the folded tail."""
-    tail = recovery_tail(journal, snapshots, marks, rows_per_task)
+    tail = recovery_tail(journal, index, snapshots, marks, rows_per_task)
     folded = tail.groupBy("persistence_id").agg(
         F.count(F.lit(1)).alias("tail_events"), *[column.alias(name) for name, column in state.items()]
     )

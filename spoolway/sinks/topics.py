@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spoolway.functions import codec
-from spoolway.operators.skew import ROWS_PER_TASK, numbered
+from spoolway.operators.skew import ROWS_PER_TASK, broadcast_small, numbered
 from spoolway.schema import COMMIT, DEFAULT_PARTITIONS, HEADERS, POSITION_KEYS, SEQ_NR, TAGS, TOPIC
 
 
@@ -37,6 +37,14 @@ def next_offsets(spark: SparkSession, root: str, before_batch: int | None = None
     return written.groupBy(*POSITION_KEYS).agg(F.max("next_offset").alias("next_offset"))
 
 
+def edges(spark: SparkSession, root: str) -> DataFrame:
+    """First and next offset of each topic partition, from the commit rows alone."""
+    written = commits(spark, root).where(F.col("kind") == "out")
+    return written.groupBy(*POSITION_KEYS).agg(
+        F.min("first_offset").alias("first_offset"), F.max("next_offset").alias("next_offset")
+    )
+
+
 def default_partition(key: Column, order: Sequence[str], partitions: int) -> Column:
     """By key; records without a key are spread by their order columns."""
     spread = F.xxhash64(*order)
@@ -58,26 +66,30 @@ def place(
     )
     start = F.lit(0).cast("bigint")
     if base is not None:
-        # one row per topic partition: Spark broadcasts it by its measured size
-        placed = placed.join(base, POSITION_KEYS, "left")
+        placed = placed.join(broadcast_small(base), POSITION_KEYS, "left")
         start = F.coalesce(F.col("next_offset"), start)
     return placed.withColumn("offset", start + F.col("_position") - 1).drop("_position", "next_offset")
 
 
-def as_topic(df: DataFrame) -> DataFrame:
+def as_topic(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """The columns of a topic row, with the two promoted headers; missing ones become null."""
     if "headers" not in df.columns:
         df = df.withColumn("headers", F.lit(None).cast(HEADERS))
     if "timestamp" not in df.columns:
         df = df.withColumn("timestamp", F.lit(None).cast("timestamp"))
     promoted = {"seq_nr": codec.decode_long(codec.header(SEQ_NR)), "tags": codec.decode_tags(codec.header(TAGS))}
-    return df.withColumns(promoted).select(*[F.col(f.name).cast(f.dataType) for f in TOPIC.fields])
+    return df.withColumns(promoted).select(*[F.col(f.name).cast(f.dataType) for f in TOPIC.fields], *keep)
+
 
+def write_batch(placed: DataFrame, root: str, batch: int, keep: Sequence[str] = ()) -> DataFrame:
+    """Write placed records as one batch and return its commit rows, not yet committed.
 
-def write_batch(placed: DataFrame, root: str, batch: int) -> DataFrame:
-    """Write placed records as one batch and return its commit rows, not yet committed."""
+    Rows come from ``place`` in offset order, so a file spans few offsets and their
+    bounds prune. Columns named by ``keep`` are stored too; topic readers skip them.
+    """
     folder = f"{root}/log/batch={batch}"
-    as_topic(placed).write.mode("overwrite").partitionBy(*POSITION_KEYS).parquet(folder)
+    writer = as_topic(placed, keep).write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_TASK)
+    writer.partitionBy(*POSITION_KEYS).parquet(folder)
     return (
         placed.sparkSession.read.schema(TOPIC)
         .parquet(folder)
