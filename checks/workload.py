@@ -183,12 +183,9 @@ def delete_marks(journal: DataFrame) -> DataFrame:
 
 def _fingerprint(spark: SparkSession, sf_dir: str) -> int:
     """Changes when a file of the two tables does."""
-    total = 0
-    for name in ("events", "conversations"):
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{sf_dir}/{name}.parquet")
-        found = files.select(F.xxhash64("path", "modificationTime", "length").alias("h"))
-        total ^= found.agg(F.expr("bit_xor(h)")).head()[0] or 0
-    return total
+    paths = [f"{sf_dir}/{name}.parquet" for name in ("events", "conversations")]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    return files.agg(F.bit_xor(F.xxhash64("path", "modificationTime", "length"))).head()[0]
 
 
 def topics_root(spark: SparkSession, sf_dir: str) -> str:

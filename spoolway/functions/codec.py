@@ -5,7 +5,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from spoolway.schema import CONTENT_TYPE, UNIX_EPOCH_TICKS
+from spoolway.schema import CONTENT_TYPE, SEQ_NR, TAGS, UNIX_EPOCH_TICKS
 
 
 def encode_long(value: Column) -> Column:
@@ -56,6 +56,15 @@ def header(name: str, headers: str | Column = "headers") -> Column:
     return F.element_at(column, F.lit(name))
 
 
+def promoted() -> dict[str, Column]:
+    """The topic columns that repeat parts of a record's headers and value."""
+    return {
+        "seq_nr": decode_long(header(SEQ_NR)),
+        "tags": decode_tags(header(TAGS)),
+        "size": F.octet_length("value"),
+    }
+
+
 def build_headers(values: Mapping[str, Column]) -> Column:
     """A header map without the entries whose value is null."""
     entries = F.array(*[F.struct(F.lit(name).alias("key"), value.alias("value")) for name, value in values.items()])

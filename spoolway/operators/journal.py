@@ -160,7 +160,7 @@ def merge_index(entries: DataFrame) -> DataFrame:
 
 def compact_latest(records: DataFrame) -> DataFrame:
     """The last record of each key; null keys and empty values are left out, and do not delete."""
-    kept = records.where(F.col("key").isNotNull() & (F.octet_length("value") > 0))
+    kept = records.where(F.col("key").isNotNull() & (F.col("size") > 0))
     rest = [c for c in records.columns if c != "key"]
     return kept.groupBy("key").agg(F.max_by(F.struct(*rest), F.col("offset")).alias("_last")).select("key", "_last.*")
 

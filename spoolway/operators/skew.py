@@ -6,7 +6,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from spoolway.scratch import shared_dir
+from spoolway.scratch import stored
 
 ROWS_PER_TASK = 4_000_000
 MAX_HOT_GROUPS = 10_000
@@ -52,7 +52,6 @@ def running_totals(
     values) are cut again. A slot is a function of the data alone, so a recomputed
     task gives the same numbers. The order has to be total within a group.
     """
-    shared_dir(df.sparkSession)
     inputs = {f"_{name}_in": value for name, value in totals.items()}
     return _running(df.withColumns(inputs), list(by), list(order), list(totals), limit, 0).drop(*inputs)
 
@@ -90,15 +89,15 @@ def _running(
     )
 
     # rows/limit slots at most, so this table is small whatever the number of rows
-    slots = (
+    slots = stored(
         slotted.where(F.col(slot).isNotNull())
         .groupBy(*by, slot)
         .agg(
             F.count(F.lit(1)).alias("rows"),
             *_bounds(order),
             *[F.sum(f"_{name}_in").alias(f"_{name}_sum") for name in names],
-        )
-        .checkpoint()
+        ),
+        "slots",
     )
     again = slots.where(F.col("rows") > limit).orderBy(F.desc("rows")).limit(MAX_HOT_GROUPS).collect()
     before = Window.partitionBy(*by).orderBy(slot).rowsBetween(Window.unboundedPreceding, -1)

@@ -26,12 +26,14 @@ from spoolway.schema import (
     TOMBSTONE_SEQ_NR,
     TOMBSTONE_TIMESTAMP,
 )
+from spoolway.scratch import stored
 
 # The interval tree over sequence numbers and ticks has this many levels above its leaves.
 TREE_LEVELS = 62
 # Sequence numbers per block: an id's saves of one block fit a task.
 BLOCK_BITS = 22
 SNAPSHOT_KEYS = ["persistence_id", "seq_nr"]
+RANGE = ["min_seq", "max_seq", "min_ticks", "max_ticks"]
 
 
 def _record(df: DataFrame, value: Column, headers: dict[str, Column], topic: str) -> DataFrame:
@@ -101,7 +103,7 @@ def decode_snapshot_log(records: DataFrame) -> DataFrame:
     kind = (
         F.when(present(TOMBSTONE_SEQ_NR), "del_seq")
         .when(is_range, "del_range")
-        .when((F.octet_length("value") > 0) & present(SNAPSHOT_SEQ_NR), "save")
+        .when((F.col("size") > 0) & present(SNAPSHOT_SEQ_NR), "save")
     )
     save_ticks = F.coalesce(number(SNAPSHOT_TIMESTAMP), codec.ticks_from_timestamp(F.col("timestamp")))
     zero = F.lit(0).cast("bigint")
@@ -175,6 +177,7 @@ def range_kills(saves: DataFrame, ranges: DataFrame) -> DataFrame:
     2^BLOCK_BITS, so a hot id is spread over its blocks.
     """
     tree = ["seq_level", "seq_node", "ticks_level", "ticks_node"]
+    ranges = stored(ranges.select("persistence_id", "offset", *RANGE), "ranges")
     ids = saves.groupBy("persistence_id").agg(
         F.max("seq_nr").alias("_last_seq"), F.min("ticks").alias("_first_ticks"), F.max("ticks").alias("_last_ticks")
     )
@@ -203,10 +206,9 @@ def range_kills(saves: DataFrame, ranges: DataFrame) -> DataFrame:
     )
     first_seq = _shift_left(F.col("seq_node"), F.col("seq_level"))
     last_seq = F.least(first_seq + _shift_left(F.lit(1).cast("bigint"), F.col("seq_level")) - 1, F.col("_last_seq"))
-    nodes = (
-        nodes.where(first_seq <= F.col("_last_seq"))
-        .withColumn("block", F.explode(F.sequence(F.shiftright(first_seq, BLOCK_BITS), F.shiftright(last_seq, BLOCK_BITS))))
-        .drop("_last_seq")
+    blocks = F.sequence(F.shiftright(first_seq, BLOCK_BITS), F.shiftright(last_seq, BLOCK_BITS))
+    nodes = stored(
+        nodes.where(first_seq <= F.col("_last_seq")).withColumn("block", F.explode(blocks)).drop("_last_seq"), "nodes"
     )
     # (levels + 1)^2 pairs at most, whatever the number of tombstones
     used = nodes.groupBy("persistence_id", "block").agg(
@@ -227,7 +229,8 @@ def range_kills(saves: DataFrame, ranges: DataFrame) -> DataFrame:
             _shift(F.col("ticks"), F.col("_at.ticks_level")).alias("ticks_node"),
         )
     )
-    hits = probes.join(nodes, ["persistence_id", "block", *tree]).where(F.col("offset") < F.col("killed_before"))
+    # the rows that explode made are not in the size estimate, so no broadcast here
+    hits = probes.join(nodes.hint("merge"), ["persistence_id", "block", *tree]).where(F.col("offset") < F.col("killed_before"))
     return hits.select(*SNAPSHOT_KEYS)
 
 
@@ -254,11 +257,12 @@ def live_keys(log: DataFrame) -> DataFrame:
         F.max("any_deleted").alias("any_deleted"),
     )
     saved = F.col("_last.saved")
-    last = by_seq.where(
+    kept = by_seq.where(
         saved.isNotNull()
         & (saved > F.coalesce("any_deleted", F.lit(-1)))
         & (saved > F.coalesce("_last.exact_deleted", F.lit(-1)))
-    ).select(*SNAPSHOT_KEYS, "_last.ticks", "_last.partition", saved.alias("offset"))
+    )
+    last = stored(kept.select(*SNAPSHOT_KEYS, "_last.ticks", "_last.partition", saved.alias("offset")), "last-saves")
     kills = range_kills(last, log.where(F.col("kind") == "del_range"))
     return last.join(kills, SNAPSHOT_KEYS, "left_anti")
 

@@ -45,8 +45,9 @@ COMMIT_INTERVAL = "5 seconds"
 
 HEADERS = T.MapType(T.StringType(), T.BinaryType())
 
-# ``seq_nr`` and ``tags`` repeat two headers as columns, so that filters on them
-# reach the parquet scan; they are null for records that are not journal events.
+# ``seq_nr`` and ``tags`` repeat two headers and ``size`` the value's length, so that
+# filters on them reach the parquet scan and leave headers and values unread. The
+# first two are null for records that are not journal events.
 TOPIC = T.StructType(
     [
         T.StructField("topic", T.StringType()),
@@ -58,6 +59,7 @@ TOPIC = T.StructType(
         T.StructField("timestamp", T.TimestampType()),
         T.StructField("seq_nr", T.LongType()),
         T.StructField("tags", T.ArrayType(T.StringType())),
+        T.StructField("size", T.IntegerType()),
     ]
 )
 

@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -21,4 +21,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/spoolway/{name}-{uuid.uuid4().hex}"
+    """A new folder for this application; it may be removed when the application has ended."""
+    return f"{shared_dir(spark)}/spoolway/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a table that several later steps read, and read it back."""
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

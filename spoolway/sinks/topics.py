@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from spoolway.functions import codec
 from spoolway.operators.skew import ROWS_PER_TASK, broadcast_small, numbered
-from spoolway.schema import COMMIT, DEFAULT_PARTITIONS, HEADERS, POSITION_KEYS, SEQ_NR, TAGS, TOPIC
+from spoolway.schema import COMMIT, DEFAULT_PARTITIONS, HEADERS, POSITION_KEYS, TOPIC
 
 
 def commits(spark: SparkSession, root: str) -> DataFrame:
@@ -72,13 +72,12 @@ def place(
 
 
 def as_topic(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """The columns of a topic row, with the two promoted headers; missing ones become null."""
+    """The columns of a topic row, with the promoted columns; missing ones become null."""
     if "headers" not in df.columns:
         df = df.withColumn("headers", F.lit(None).cast(HEADERS))
     if "timestamp" not in df.columns:
         df = df.withColumn("timestamp", F.lit(None).cast("timestamp"))
-    promoted = {"seq_nr": codec.decode_long(codec.header(SEQ_NR)), "tags": codec.decode_tags(codec.header(TAGS))}
-    return df.withColumns(promoted).select(*[F.col(f.name).cast(f.dataType) for f in TOPIC.fields], *keep)
+    return df.withColumns(codec.promoted()).select(*[F.col(f.name).cast(f.dataType) for f in TOPIC.fields], *keep)
 
 
 def write_batch(placed: DataFrame, root: str, batch: int, keep: Sequence[str] = ()) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from spoolway.functions import codec
 from spoolway.operators.skew import ROWS_PER_TASK, running_totals
-from spoolway.schema import POSITION_KEYS, SEQ_NR, TAGS, TOPIC
+from spoolway.schema import POSITION_KEYS, TOPIC
 from spoolway.sinks.topics import commits
 from spoolway.sources.subscriptions import Assignment, Subscription
 
@@ -69,8 +69,7 @@ def from_kafka(df: DataFrame) -> DataFrame:
         ),
     )
     rows = df.withColumns({"key": codec.decode_string(F.col("key")), "headers": last_wins})
-    promoted = {"seq_nr": codec.decode_long(codec.header(SEQ_NR)), "tags": codec.decode_tags(codec.header(TAGS))}
-    return rows.withColumns(promoted).select(*TOPIC.names)
+    return rows.withColumns(codec.promoted()).select(*TOPIC.names)
 
 
 def kafka_topics(spark: SparkSession, servers: str, subscription: Subscription, stream: bool = False) -> DataFrame:
