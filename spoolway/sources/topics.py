@@ -16,10 +16,10 @@ MAX_POSITIONS = 10_000
 STORED = T.StructType([*TOPIC.fields, T.StructField("batch", T.LongType())])
 
 
-def committed_batches(spark: SparkSession, root: str) -> list[tuple[int, int]]:
-    """Runs of consecutive committed batch numbers."""
+def _runs(batches: list[int]) -> list[tuple[int, int]]:
+    """Runs of consecutive batch numbers."""
     runs: list[tuple[int, int]] = []
-    for (batch,) in sorted(commits(spark, root).select("batch").distinct().collect()):
+    for batch in sorted(batches):
         if runs and runs[-1][1] == batch - 1:
             runs[-1] = (runs[-1][0], batch)
         else:
@@ -27,13 +27,16 @@ def committed_batches(spark: SparkSession, root: str) -> list[tuple[int, int]]:
     return runs
 
 
-def read_topics(spark: SparkSession, root: str, subscription: Subscription | None = None) -> DataFrame:
-    """All committed records of the subscribed topics."""
-    runs = committed_batches(spark, root)
-    if not runs:
+def read_topics(
+    spark: SparkSession, root: str, subscription: Subscription | None = None, batches: list[int] | None = None
+) -> DataFrame:
+    """All committed records of the subscribed topics, or those of the given batches."""
+    if batches is None:
+        batches = [row["batch"] for row in commits(spark, root).select("batch").distinct().collect()]
+    if not batches:
         return spark.createDataFrame([], TOPIC)
     visible = F.lit(False)
-    for first, last in runs:
+    for first, last in _runs(batches):
         visible = visible | F.col("batch").between(first, last)
     df = spark.read.schema(STORED).parquet(f"{root}/log").where(visible)
     if subscription is not None:
@@ -46,8 +49,8 @@ def stream_topics(
 ) -> DataFrame:
     """Records of the subscribed topics as they arrive; the checkpoint is the position.
 
-    A file stream cannot consult the commit rows, so use it on tables whose batches
-    are written once, or read the commits in ``foreachBatch``.
+    A file stream does not consult the commit rows, so it is for tables whose batches
+    are written once; ``streaming.delivery.for_each_committed`` follows the commits.
     """
     reader = spark.readStream.schema(STORED)
     if files_per_trigger:

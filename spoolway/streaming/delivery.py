@@ -4,10 +4,13 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from spoolway.schema import COMMIT, COMMIT_INTERVAL, DEFAULT_PARTITIONS, POSITION_KEYS
 from spoolway.sinks.topics import commit_batch, commits, next_offsets, place, write_batch
+from spoolway.sources.subscriptions import Subscription
+from spoolway.sources.topics import read_topics
 
 
 def consumed_rows(df: DataFrame, group_id: str) -> DataFrame:
@@ -101,3 +104,27 @@ def commit_flow(
         commit_batch(consumed_rows(df, group_id), root, batch)
 
     return _start(stream, process_then_commit, checkpoint, every)
+
+
+def for_each_committed(
+    spark: SparkSession,
+    root: str,
+    process: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    subscription: Subscription | None = None,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Follow a topic table by its commit rows, so that only committed batches are seen.
+
+    ``process`` gets the records of the batches committed since the last call.
+    """
+    stream = spark.readStream.schema(T.StructType([*COMMIT.fields, T.StructField("batch", T.LongType())])).parquet(
+        f"{root}/commits"
+    )
+
+    def read_batches(df: DataFrame, batch: int) -> None:
+        # one row per topic partition and batch
+        found = [row["batch"] for row in df.select("batch").distinct().collect()]
+        process(read_topics(df.sparkSession, root, subscription, found), batch)
+
+    return _start(stream, read_batches, checkpoint, every)

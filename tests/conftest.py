@@ -6,11 +6,12 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from spoolway.session import session  # noqa: E402
+from spoolway.streaming.fold import STATE_STORE  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    conf = {"spark.ui.enabled": "false", "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))}
+    conf = {"spark.ui.enabled": "false", "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")), **STATE_STORE}
     spark = session("local[4]", 4, **conf)
     spark.sparkContext.setLogLevel("OFF")
     yield spark
