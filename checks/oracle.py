@@ -101,6 +101,14 @@ _BY_ID = f"select {_EVENT}, ticks, tags_csv from journal join busiest using (per
 _BY_TAG = f"select {_EVENT}, ticks, tags_csv from journal where value > 50"
 _TAGS_OF = """select persistence_id, string_agg(distinct tag, ',' order by tag) as tags_csv
   from (select persistence_id, unnest(string_split(tags_csv, ',')) as tag from journal) group by persistence_id"""
+_LONGEST_RUN = """select persistence_id, cast(max(n) as bigint) as events, cast(max(run) as bigint) as longest from (
+    select persistence_id, island, sum(high) as run, max(total) as n from (
+      select persistence_id, case when value > 50 then 1 else 0 end as high,
+        count(*) over (partition by persistence_id) as total,
+        sum(case when value > 50 then 0 else 1 end) over (partition by persistence_id order by off) as island
+      from journal) a
+    group by persistence_id, island) b
+  group by persistence_id"""
 _RESUME = """with_start as (
   select t.*, coalesce(
       max(case when seq_nr <= 20 and part < 12 then off + 1 end) over (partition by part), {edge}) as start
@@ -264,16 +272,8 @@ ORACLE: dict[str, str] = {
           arg_max(manifest, off) as last_manifest
         from journal group by persistence_id"""
     ),
-    "fold_udf": _events(
-        """select persistence_id, cast(max(n) as bigint) as events, cast(max(run) as bigint) as longest from (
-          select persistence_id, island, sum(high) as run, max(total) as n from (
-            select persistence_id, case when value > 50 then 1 else 0 end as high,
-              count(*) over (partition by persistence_id) as total,
-              sum(case when value > 50 then 0 else 1 end) over (partition by persistence_id order by off) as island
-            from journal) a
-          group by persistence_id, island) b
-        group by persistence_id"""
-    ),
+    "fold_udf": _events(_LONGEST_RUN),
+    "fold_live": _events(_LONGEST_RUN),
     "tag_union": _events(_TAGS_OF),
     "tag_topic": _events(
         """select tag, concat('acme-akka-journal-tag-', tag) as tag_topic, persistence_id, seq_nr,

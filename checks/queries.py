@@ -35,6 +35,7 @@ from spoolway.sinks.topics import append_topic, place, write_batch
 from spoolway.sources import topics as SRC
 from spoolway.sources.subscriptions import Assignment, AssignmentWithOffset, TopicPattern, Topics
 from spoolway.streaming import control, delivery
+from spoolway.streaming import fold as live
 from spoolway.streaming.index import maintain_index, read_index
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -455,6 +456,28 @@ def fold_udf(spark, sf):
     return folded.select("persistence_id", "events", "longest")
 
 
+@query
+def fold_live(spark, sf):
+    """The same fold on a stream, with the state kept between micro-batches."""
+    provider, wanted = next(iter(live.STATE_STORE.items()))
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, wanted)
+    try:
+        stream = SRC.stream_topics(spark, W.topics_root(spark, sf), Topics([JOURNAL_TOPIC]), files_per_trigger=16)
+        flags = R.select_all(stream).select(
+            "persistence_id", "offset", F.array_contains("tags", "high").cast("bigint").alias("high")
+        )
+        work = fresh_dir(spark, "fold-live")
+        folded = live.fold_live(flags, folds.NO_RUN, folds.add_events, folds.RUN)
+        states = control.drain(folded, f"{work}/out", f"{work}/checkpoint")
+    finally:
+        spark.conf.set(provider, before)
+    # every micro-batch emits a state; the last one has seen the most events
+    return states.groupBy("persistence_id").agg(
+        F.max("events").alias("events"), F.max_by("longest", "events").alias("longest")
+    )
+
+
 @query
 def tag_union(spark, sf):
     journal = W.journal(spark, sf)
