@@ -11,6 +11,7 @@ from spoolway.scratch import stored
 ROWS_PER_TASK = 4_000_000
 MAX_HOT_GROUPS = 10_000
 MAX_SPLITS = 8
+ROWS_PER_FAN_OUT = 50_000
 MAX_SMALL_ROWS = 100_000
 
 
@@ -33,6 +34,16 @@ def broadcast_small(df: DataFrame, most_rows: int = MAX_SMALL_ROWS) -> DataFrame
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
 
 
+def spread(df: DataFrame, *by: str, rows: int = ROWS_PER_FAN_OUT) -> DataFrame:
+    """Partition a stored table by its row count, ahead of a step that makes many rows of each.
+
+    File and shuffle sizes say nothing about those rows, hence the explicit number.
+    """
+    found = df.count()
+    partitions = max(-(-found // rows), min(found, df.sparkSession.sparkContext.defaultParallelism), 1)
+    return df.repartition(partitions, *by)
+
+
 def same_group(left: Sequence[str], right: Sequence[str]) -> Column:
     return reduce(Column.__and__, [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)])
 

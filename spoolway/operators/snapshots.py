@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spoolway.functions import codec
-from spoolway.operators.skew import skew_join
+from spoolway.operators.skew import ROWS_PER_TASK, hot_groups, skew_join, spread
 from spoolway.schema import (
     CONTENT_TYPE,
     MANIFEST,
@@ -30,9 +30,8 @@ from spoolway.scratch import stored
 
 # The interval tree over sequence numbers and ticks has this many levels above its leaves.
 TREE_LEVELS = 62
-# Sequence numbers per block: an id's saves of one block fit a task.
-BLOCK_BITS = 22
 SNAPSHOT_KEYS = ["persistence_id", "seq_nr"]
+NODE_KEYS = ["persistence_id", "seq_level", "seq_node", "ticks_level", "ticks_node"]
 RANGE = ["min_seq", "max_seq", "min_ticks", "max_ticks"]
 
 
@@ -139,10 +138,6 @@ def _shift(value: Column, level: Column) -> Column:
     return F.call_function("shiftright", value, level.cast("int"))
 
 
-def _shift_left(value: Column, level: Column) -> Column:
-    return F.call_function("shiftleft", value, level.cast("int"))
-
-
 def _cover(low: Column, high: Column) -> Column:
     """The fewest tree nodes ``(level, node)`` that make up the inclusive range.
 
@@ -154,7 +149,7 @@ def _cover(low: Column, high: Column) -> Column:
     past = F.when(high >= end - 1, end).otherwise(high + 1)
 
     def at(level: Column) -> Column:
-        left = _shift(first + _shift_left(F.lit(1).cast("bigint"), level) - 1, level)
+        left = _shift(first + F.call_function("shiftleft", F.lit(1).cast("bigint"), level.cast("int")) - 1, level)
         right = _shift(past, level)
         inside = left < right
         taken = F.array(
@@ -166,75 +161,77 @@ def _cover(low: Column, high: Column) -> Column:
     return F.flatten(F.transform(F.sequence(F.lit(0).cast("bigint"), F.lit(TREE_LEVELS).cast("bigint")), at))
 
 
-def range_kills(saves: DataFrame, ranges: DataFrame) -> DataFrame:
+def range_kills(saves: DataFrame, ranges: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """``(persistence_id, seq_nr)`` of the saves that a later range tombstone matches.
 
-    Takes one save per (id, seq). Every tombstone becomes a few tree nodes of its
-    sequence range times a few of its tick range, each keeping the greatest offset.
-    A save looks up the nodes above it, on the levels its id uses. That is one
-    equi-join on nodes, so the pairs of saves and tombstones are never formed. The
-    join also carries the block of sequence numbers, of which an id has at most
-    2^BLOCK_BITS, so a hot id is spread over its blocks.
+    Takes a stored table with one save per (id, seq). Every tombstone becomes a few
+    tree nodes of its sequence range times a few of its tick range; of each node the
+    greatest offset is kept. A save looks up the nodes above it, on the levels that
+    its id uses. So one equi-join on nodes does it, and no pairs of saves and
+    tombstones are formed.
     """
-    tree = ["seq_level", "seq_node", "ticks_level", "ticks_node"]
     ranges = stored(ranges.select("persistence_id", "offset", *RANGE), "ranges")
+    nodes = stored(_range_nodes(ranges, saves, rows_per_task), "nodes")
+    # (levels + 1)^2 pairs at most, whatever the number of tombstones
+    used = nodes.groupBy("persistence_id").agg(F.collect_set(F.struct("seq_level", "ticks_level")).alias("_levels"))
+    hot = hot_groups(saves, ["persistence_id"], limit=rows_per_task)
+    probes = (
+        skew_join(spread(saves, "persistence_id", "seq_nr"), used, ["persistence_id"], hot=hot)
+        .withColumn("_at", F.explode("_levels"))
+        .select(
+            "persistence_id",
+            "seq_nr",
+            "offset",
+            F.col("_at.seq_level").alias("seq_level"),
+            _shift(F.col("seq_nr"), F.col("_at.seq_level")).alias("seq_node"),
+            F.col("_at.ticks_level").alias("ticks_level"),
+            _shift(F.col("ticks"), F.col("_at.ticks_level")).alias("ticks_node"),
+        )
+    )
+    # the rows that explode made are not in the size estimate, so no broadcast of these sides
+    nodes = nodes.hint("merge")
+    if hot:
+        # a node of level n has 2^n sequence numbers below it: only wide nodes of hot ids can be hot
+        wide = F.col("persistence_id").isin([row["persistence_id"] for row in hot])
+        wide = wide & (F.col("seq_level") >= rows_per_task.bit_length() - 1)
+        at_wide = skew_join(probes.where(wide), nodes, NODE_KEYS, limit=rows_per_task)
+        met = at_wide.unionByName(probes.where(~wide).join(nodes, NODE_KEYS))
+    else:
+        met = probes.join(nodes, NODE_KEYS)
+    return met.where(F.col("offset") < F.col("killed_before")).select(*SNAPSHOT_KEYS)
+
+
+def _range_nodes(ranges: DataFrame, saves: DataFrame, rows_per_task: int) -> DataFrame:
+    """The tree nodes of all range tombstones, each with the greatest offset it kills up to."""
     ids = saves.groupBy("persistence_id").agg(
         F.max("seq_nr").alias("_last_seq"), F.min("ticks").alias("_first_ticks"), F.max("ticks").alias("_last_ticks")
     )
-    bounded = skew_join(ranges, ids, ["persistence_id"])
+    bounded = skew_join(spread(ranges, "persistence_id", "offset"), ids, ["persistence_id"], limit=rows_per_task)
     end = F.lit((1 << TREE_LEVELS) - 1)
     # a bound beyond all of the id's saves is opened fully: open ranges need the fewest nodes
-    seq_range = _cover(F.col("min_seq"), F.when(F.col("max_seq") >= F.col("_last_seq"), end).otherwise(F.col("max_seq")))
-    ticks_range = _cover(
+    seq_nodes = _cover(F.col("min_seq"), F.when(F.col("max_seq") >= F.col("_last_seq"), end).otherwise(F.col("max_seq")))
+    ticks_nodes = _cover(
         F.when(F.col("min_ticks") <= F.col("_first_ticks"), F.lit(0)).otherwise(F.col("min_ticks")),
         F.when(F.col("max_ticks") >= F.col("_last_ticks"), end).otherwise(F.col("max_ticks")),
     )
-    nodes = (
-        bounded.withColumn("_seq", F.explode(seq_range))
-        .withColumn("_ticks", F.explode(ticks_range))
+    return (
+        bounded.select("persistence_id", "offset", seq_nodes.alias("_seqs"), ticks_nodes.alias("_ticks"))
+        .withColumn("_seq", F.explode("_seqs"))
+        .withColumn("_tick", F.explode("_ticks"))
         .select(
             "persistence_id",
             F.col("_seq.level").alias("seq_level"),
             F.col("_seq.node").alias("seq_node"),
-            F.col("_ticks.level").alias("ticks_level"),
-            F.col("_ticks.node").alias("ticks_node"),
-            "_last_seq",
+            F.col("_tick.level").alias("ticks_level"),
+            F.col("_tick.node").alias("ticks_node"),
             "offset",
         )
-        .groupBy("persistence_id", "_last_seq", *tree)
+        .groupBy(*NODE_KEYS)
         .agg(F.max("offset").alias("killed_before"))
     )
-    first_seq = _shift_left(F.col("seq_node"), F.col("seq_level"))
-    last_seq = F.least(first_seq + _shift_left(F.lit(1).cast("bigint"), F.col("seq_level")) - 1, F.col("_last_seq"))
-    blocks = F.sequence(F.shiftright(first_seq, BLOCK_BITS), F.shiftright(last_seq, BLOCK_BITS))
-    nodes = stored(
-        nodes.where(first_seq <= F.col("_last_seq")).withColumn("block", F.explode(blocks)).drop("_last_seq"), "nodes"
-    )
-    # (levels + 1)^2 pairs at most, whatever the number of tombstones
-    used = nodes.groupBy("persistence_id", "block").agg(
-        F.collect_set(F.struct("seq_level", "ticks_level")).alias("_levels")
-    )
-    probes = (
-        saves.withColumn("block", F.shiftright("seq_nr", BLOCK_BITS))
-        .join(used, ["persistence_id", "block"])
-        .withColumn("_at", F.explode("_levels"))
-        .select(
-            "persistence_id",
-            "block",
-            "seq_nr",
-            "offset",
-            F.col("_at.seq_level").alias("seq_level"),
-            _shift(F.col("seq_nr"), F.col("_at.seq_level")).alias("seq_node"),
-            F.col("_at.ticks_level").alias("ticks_level"),
-            _shift(F.col("ticks"), F.col("_at.ticks_level")).alias("ticks_node"),
-        )
-    )
-    # the rows that explode made are not in the size estimate, so no broadcast here
-    hits = probes.join(nodes.hint("merge"), ["persistence_id", "block", *tree]).where(F.col("offset") < F.col("killed_before"))
-    return hits.select(*SNAPSHOT_KEYS)
 
 
-def live_keys(log: DataFrame) -> DataFrame:
+def live_keys(log: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """``persistence_id, seq_nr, ticks, partition, offset`` of the live snapshots, without their payloads.
 
     The last save of each (id, seq) is live unless a later tombstone matches it.
@@ -263,7 +260,7 @@ def live_keys(log: DataFrame) -> DataFrame:
         & (saved > F.coalesce("_last.exact_deleted", F.lit(-1)))
     )
     last = stored(kept.select(*SNAPSHOT_KEYS, "_last.ticks", "_last.partition", saved.alias("offset")), "last-saves")
-    kills = range_kills(last, log.where(F.col("kind") == "del_range"))
+    kills = range_kills(last, log.where(F.col("kind") == "del_range"), rows_per_task)
     return last.join(kills, SNAPSHOT_KEYS, "left_anti")
 
 
@@ -274,8 +271,8 @@ def with_payload(keys: DataFrame, log: DataFrame) -> DataFrame:
     return keys.join(bodies, where)
 
 
-def live_snapshots(log: DataFrame) -> DataFrame:
-    return with_payload(live_keys(log), log)
+def live_snapshots(log: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    return with_payload(live_keys(log, rows_per_task), log)
 
 
 def newest(live: DataFrame, criteria: DataFrame | None = None) -> DataFrame:

@@ -56,15 +56,14 @@ def fold(rows):
     return {(pid, s, t, o) for pid, own in live.items() for s, (t, o) in own.items()}
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_live_set_equals_the_sequential_fold(spark, seed, monkeypatch):
-    # small blocks: the busy id is spread over several of them
-    monkeypatch.setattr(S, "BLOCK_BITS", 5)
+# a small limit sends the busy id through the skewed path
+@pytest.mark.parametrize("seed, rows_per_task", [(1, 10_000), (2, 10_000), (1, 64), (3, 64)])
+def test_live_set_equals_the_sequential_fold(spark, seed, rows_per_task):
     rows = random_log(seed)
     want = fold(rows)
     assert 0 < len(want) < sum(r[3] == "save" for r in rows)
     log = spark.createDataFrame(rows, LOG)
-    got = S.live_snapshots(log).collect()
+    got = S.live_snapshots(log, rows_per_task).collect()
     assert {(r.persistence_id, r.seq_nr, r.ticks, r.offset) for r in got} == want
     assert len(got) == len(want)
     assert all(bytes(r.payload) == str(r.offset).encode() for r in got)
