@@ -34,12 +34,11 @@ def broadcast_small(df: DataFrame, most_rows: int = MAX_SMALL_ROWS) -> DataFrame
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
 
 
-def spread(df: DataFrame, *by: str, rows: int = ROWS_PER_FAN_OUT) -> DataFrame:
-    """Partition a stored table by its row count, ahead of a step that makes many rows of each.
+def spread(df: DataFrame, found: int, *by: str, rows: int = ROWS_PER_FAN_OUT) -> DataFrame:
+    """Partition ``found`` rows ahead of a step that makes many rows of each.
 
-    File and shuffle sizes say nothing about those rows, hence the explicit number.
+    Their present size says nothing about that, hence an explicit number of partitions.
     """
-    found = df.count()
     partitions = max(-(-found // rows), min(found, df.sparkSession.sparkContext.defaultParallelism), 1)
     return df.repartition(partitions, *by)
 

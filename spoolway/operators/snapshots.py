@@ -138,6 +138,11 @@ def _shift(value: Column, level: Column) -> Column:
     return F.call_function("shiftright", value, level.cast("int"))
 
 
+def _open_end(high: Column, last: Column) -> Column:
+    """An upper bound at or past the last value goes to the next power of two: fewer nodes make it up."""
+    return F.when(high >= last, F.call_function("shiftleft", F.lit(1).cast("bigint"), F.length(F.bin(last))) - 1).otherwise(high)
+
+
 def _cover(low: Column, high: Column) -> Column:
     """The fewest tree nodes ``(level, node)`` that make up the inclusive range.
 
@@ -153,8 +158,8 @@ def _cover(low: Column, high: Column) -> Column:
         right = _shift(past, level)
         inside = left < right
         taken = F.array(
-            F.when(inside & (left % 2 == 1), F.struct(level.alias("level"), left.alias("node"))),
-            F.when(inside & (right % 2 == 1), F.struct(level.alias("level"), (right - 1).alias("node"))),
+            F.when(inside & (left % 2 == 1), F.struct(level.cast("int").alias("level"), left.alias("node"))),
+            F.when(inside & (right % 2 == 1), F.struct(level.cast("int").alias("level"), (right - 1).alias("node"))),
         )
         return F.filter(taken, lambda n: n.isNotNull())
 
@@ -173,23 +178,27 @@ def range_kills(saves: DataFrame, ranges: DataFrame, rows_per_task: int = ROWS_P
     ranges = stored(ranges.select("persistence_id", "offset", *RANGE), "ranges")
     nodes = stored(_range_nodes(ranges, saves, rows_per_task), "nodes")
     # (levels + 1)^2 pairs at most, whatever the number of tombstones
-    used = nodes.groupBy("persistence_id").agg(F.collect_set(F.struct("seq_level", "ticks_level")).alias("_levels"))
+    pair = (F.col("seq_level") * 64 + F.col("ticks_level")).cast("smallint")
+    used = nodes.groupBy("persistence_id").agg(
+        F.collect_set(pair).alias("_pairs"), F.first("_first_ticks").alias("_first_ticks")
+    )
     hot = hot_groups(saves, ["persistence_id"], limit=rows_per_task)
+    looking = skew_join(saves, used, ["persistence_id"], hot=hot)
     probes = (
-        skew_join(spread(saves, "persistence_id", "seq_nr"), used, ["persistence_id"], hot=hot)
-        .withColumn("_at", F.explode("_levels"))
+        spread(looking, saves.count(), "persistence_id", "seq_nr")
+        .withColumn("_pair", F.explode("_pairs"))
+        .withColumns({"seq_level": (F.col("_pair") / 64).cast("int"), "ticks_level": (F.col("_pair") % 64).cast("int")})
         .select(
-            "persistence_id",
+            *NODE_KEYS[:2],
+            _shift(F.col("seq_nr"), F.col("seq_level")).alias("seq_node"),
+            "ticks_level",
+            _shift(F.col("ticks") - F.col("_first_ticks"), F.col("ticks_level")).alias("ticks_node"),
             "seq_nr",
             "offset",
-            F.col("_at.seq_level").alias("seq_level"),
-            _shift(F.col("seq_nr"), F.col("_at.seq_level")).alias("seq_node"),
-            F.col("_at.ticks_level").alias("ticks_level"),
-            _shift(F.col("ticks"), F.col("_at.ticks_level")).alias("ticks_node"),
         )
     )
     # the rows that explode made are not in the size estimate, so no broadcast of these sides
-    nodes = nodes.hint("merge")
+    nodes = nodes.drop("_first_ticks").hint("merge")
     if hot:
         # a node of level n has 2^n sequence numbers below it: only wide nodes of hot ids can be hot
         wide = F.col("persistence_id").isin([row["persistence_id"] for row in hot])
@@ -202,31 +211,38 @@ def range_kills(saves: DataFrame, ranges: DataFrame, rows_per_task: int = ROWS_P
 
 
 def _range_nodes(ranges: DataFrame, saves: DataFrame, rows_per_task: int) -> DataFrame:
-    """The tree nodes of all range tombstones, each with the greatest offset it kills up to."""
+    """The tree nodes of all range tombstones, each with the greatest offset it kills up to.
+
+    The ticks of an id are counted from its first save.
+    """
     ids = saves.groupBy("persistence_id").agg(
         F.max("seq_nr").alias("_last_seq"), F.min("ticks").alias("_first_ticks"), F.max("ticks").alias("_last_ticks")
     )
-    bounded = skew_join(spread(ranges, "persistence_id", "offset"), ids, ["persistence_id"], limit=rows_per_task)
-    end = F.lit((1 << TREE_LEVELS) - 1)
-    # a bound beyond all of the id's saves is opened fully: open ranges need the fewest nodes
-    seq_nodes = _cover(F.col("min_seq"), F.when(F.col("max_seq") >= F.col("_last_seq"), end).otherwise(F.col("max_seq")))
+    bounded = skew_join(ranges, ids, ["persistence_id"], limit=rows_per_task)
+    bounded = spread(bounded, ranges.count(), "persistence_id", "offset")
+    first, last = F.col("_first_ticks"), F.col("_last_ticks")
+    seq_nodes = _cover(F.col("min_seq"), _open_end(F.col("max_seq"), F.col("_last_seq")))
     ticks_nodes = _cover(
-        F.when(F.col("min_ticks") <= F.col("_first_ticks"), F.lit(0)).otherwise(F.col("min_ticks")),
-        F.when(F.col("max_ticks") >= F.col("_last_ticks"), end).otherwise(F.col("max_ticks")),
+        F.greatest(F.col("min_ticks"), first) - first, _open_end(F.least(F.col("max_ticks"), last) - first, last - first)
     )
     return (
-        bounded.select("persistence_id", "offset", seq_nodes.alias("_seqs"), ticks_nodes.alias("_ticks"))
-        .withColumn("_seq", F.explode("_seqs"))
-        .withColumn("_tick", F.explode("_ticks"))
+        bounded.select(
+            "persistence_id", "_first_ticks", "offset", seq_nodes.alias("_seqs"), ticks_nodes.alias("_ticks")
+        )
+        # a plain explode would have the covers computed for a filter below the join as well
+        .withColumn("_seq", F.explode_outer("_seqs"))
+        .withColumn("_tick", F.explode_outer("_ticks"))
+        .where(F.col("_seq").isNotNull() & F.col("_tick").isNotNull())
         .select(
             "persistence_id",
+            "_first_ticks",
             F.col("_seq.level").alias("seq_level"),
             F.col("_seq.node").alias("seq_node"),
             F.col("_tick.level").alias("ticks_level"),
             F.col("_tick.node").alias("ticks_node"),
             "offset",
         )
-        .groupBy(*NODE_KEYS)
+        .groupBy("_first_ticks", *NODE_KEYS)
         .agg(F.max("offset").alias("killed_before"))
     )
 
