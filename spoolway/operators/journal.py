@@ -1,6 +1,6 @@
 """The event journal: append, decode, index, logical delete, replay and tag tables."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spoolway.functions import codec, naming
@@ -254,5 +254,11 @@ def write_tag_table(journal: DataFrame, path: str, buckets: int = 64, prefix: st
     ).partitionBy("tag_bucket").parquet(path)
 
 
+def read_tag_table(spark: SparkSession, path: str, tag: str, buckets: int = 64) -> DataFrame:
+    """Events of one tag; only the folder of its bucket is read."""
+    table = spark.read.parquet(path)
+    return table.where((F.col("tag_bucket") == tag_bucket(F.lit(tag), buckets)) & (F.col("tag") == tag))
+
+
 def tag_bucket(tag: Column, buckets: int = 64) -> Column:
     return F.pmod(F.xxhash64(tag), F.lit(buckets)).cast("int")

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spoolway.functions.payload import JSON_KINDS
+from spoolway.functions.payload import JSON_KINDS, camel_case
 from spoolway.operators.skew import broadcast_small
 
 # Fixed value: the dialect named in derived documents.
@@ -104,6 +104,29 @@ def derive_schemas(fields: DataFrame) -> DataFrame:
     )
 
 
+def schema_document(name: str, fields: T.StructType) -> str:
+    """JSON-schema document of a Spark type, in the form that ``derive_schemas`` gives."""
+
+    def kind(data_type: T.DataType) -> str:
+        if isinstance(data_type, (T.StringType, T.TimestampType, T.TimestampNTZType, T.DateType)):
+            return "string"
+        if isinstance(data_type, T.IntegralType):
+            return "integer"
+        if isinstance(data_type, (T.FractionalType, T.DecimalType)):
+            return "number"
+        return "boolean" if isinstance(data_type, T.BooleanType) else "object"
+
+    names = [camel_case(field.name) for field in fields]
+    document = {
+        "$schema": JSON_SCHEMA_DIALECT,
+        "title": name,
+        "type": "object",
+        "properties": {n: {"type": kind(field.dataType)} for n, field in zip(names, fields)},
+        "required": names,
+    }
+    return json.dumps(document, separators=(",", ":"))
+
+
 def spark_type(document: str) -> T.StructType:
     """Spark schema of a derived JSON-schema document."""
     properties: Mapping[str, Mapping[str, str]] = json.loads(document)["properties"]

@@ -18,17 +18,25 @@ from spoolway.operators.skew import ROWS_PER_TASK, broadcast_small, numbered
 from spoolway.schema import COMMIT, DEFAULT_PARTITIONS, HEADERS, POSITION_KEYS, TOPIC
 
 
-def commits(spark: SparkSession, root: str) -> DataFrame:
-    """Commit rows of all batches; empty for a table that was never written."""
-    schema = T.StructType([*COMMIT.fields, T.StructField("batch", T.LongType())])
+def _read_commits(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     try:
-        return spark.read.schema(schema).parquet(f"{root}/commits")
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
 
+def commits(spark: SparkSession, root: str) -> DataFrame:
+    """Commit rows of all batches; empty for a table that was never written."""
+    return _read_commits(spark, f"{root}/commits", T.StructType([*COMMIT.fields, T.StructField("batch", T.LongType())]))
+
+
+def batch_commits(spark: SparkSession, root: str, batch: int) -> DataFrame:
+    """Commit rows of one batch; only its folder is listed."""
+    return _read_commits(spark, f"{root}/commits/batch={batch}", COMMIT)
+
+
 def next_offsets(spark: SparkSession, root: str, before_batch: int | None = None) -> DataFrame:
     """Where the next record of each topic partition goes, one row per topic partition."""
     written = commits(spark, root).where(F.col("kind") == "out")

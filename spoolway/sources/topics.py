@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spoolway.functions import codec
-from spoolway.operators.skew import ROWS_PER_TASK, running_totals
+from spoolway.operators.skew import ROWS_PER_TASK, running_totals, skew_join
 from spoolway.schema import POSITION_KEYS, TOPIC
 from spoolway.sinks.topics import commits
 from spoolway.sources.subscriptions import Assignment, Subscription
@@ -102,12 +102,13 @@ def from_positions(df: DataFrame, positions: DataFrame, inclusive: bool = True,
     """
     wanted = positions.select(*POSITION_KEYS, "start")
     rows = wanted.limit(MAX_POSITIONS + 1).collect()
-    small = len(rows) <= MAX_POSITIONS
-    if small:
-        wanted = F.broadcast(df.sparkSession.createDataFrame(rows, wanted.schema))
+    how = "inner" if others == "drop" else "left"
+    if len(rows) <= MAX_POSITIONS:
         if others == "drop":
             df = df.where(Assignment([(r["topic"], r["partition"]) for r in rows]).predicate())
-    joined = df.join(wanted, POSITION_KEYS, "inner" if others == "drop" else "left")
+        joined = df.join(F.broadcast(df.sparkSession.createDataFrame(rows, wanted.schema)), POSITION_KEYS, how)
+    else:
+        joined = skew_join(df, wanted, POSITION_KEYS, how)
     after = F.col("offset") >= F.col("start") if inclusive else F.col("offset") > F.col("start")
     return joined.where(F.coalesce(after, F.lit(others == "keep"))).select(*df.columns)
 

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from spoolway.schema import COMMIT, COMMIT_INTERVAL, DEFAULT_PARTITIONS, POSITION_KEYS
-from spoolway.sinks.topics import commit_batch, commits, next_offsets, place, write_batch
+from spoolway.sinks.topics import batch_commits, commit_batch, commits, next_offsets, place, write_batch
 from spoolway.sources.subscriptions import Subscription
 from spoolway.sources.topics import read_topics
 
@@ -27,7 +27,7 @@ def consumed_rows(df: DataFrame, group_id: str) -> DataFrame:
 
 
 def is_committed(spark: SparkSession, root: str, batch: int) -> bool:
-    return not commits(spark, root).where(F.col("batch") == batch).isEmpty()
+    return not batch_commits(spark, root, batch).isEmpty()
 
 
 def group_positions(spark: SparkSession, root: str) -> DataFrame:

@@ -186,8 +186,10 @@ def test_tag_union(spark):
 def test_tag_table(spark, store, tmp_path):
     rows, records = store
     J.write_tag_table(J.decode_journal(records), str(tmp_path / "tags"), buckets=4)
-    table = spark.read.parquet(str(tmp_path / "tags")).where(F.col("tag_bucket") == J.tag_bucket(F.lit("red"), 4))
-    assert table.where("tag = 'red'").count() == sum("red" in r[4] for r in rows)
+    table = J.read_tag_table(spark, str(tmp_path / "tags"), "red", buckets=4)
+    assert table.count() == sum("red" in r[4] for r in rows)
+    filters = table._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+    assert "tag_bucket" in filters
 
 
 @pytest.mark.parametrize("rows_per_task", [10_000, 30])

@@ -72,6 +72,18 @@ def test_schemas_are_derived_from_every_payload(spark):
     assert kinds["n"] == T.DoubleType() and kinds["s"] == T.StringType() and kinds["o"] == T.VariantType()
 
 
+def test_schema_document_of_a_type():
+    fields = T.StructType.fromDDL(
+        "EventId bigint, small smallint, price decimal(9,2), ratio float, at timestamp, ok boolean, tags array<string>, name string"
+    )
+    document = json.loads(R.schema_document("Sale", fields))
+    assert {n: p["type"] for n, p in document["properties"].items()} == {
+        "eventId": "integer", "small": "integer", "price": "number", "ratio": "number", "at": "string", "ok": "boolean",
+        "tags": "object", "name": "string",
+    }
+    assert document["title"] == "Sale" and document["required"] == list(document["properties"])
+
+
 def test_registry(spark):
     schemas = spark.createDataFrame(
         [("s", 1, 10, "JSON", "v1"), ("s", 2, 11, "JSON", "v2"), ("r", 1, 12, "JSON", "w1")],
