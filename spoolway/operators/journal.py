@@ -101,7 +101,10 @@ def decode_journal(records: DataFrame) -> DataFrame:
 
 
 def journal_index(journal: DataFrame, marks: DataFrame | None = None) -> DataFrame:
-    """One row per persistence id; built by partial aggregates, so hot ids do not gather."""
+    """One row per persistence id; built by partial aggregates, so hot ids do not gather.
+
+    Reads neither headers nor payloads.
+    """
     # by id and tag list first: after it only an id's distinct tag lists are left
     index = (
         journal.groupBy("persistence_id", "tags")
@@ -110,7 +113,7 @@ def journal_index(journal: DataFrame, marks: DataFrame | None = None) -> DataFra
             F.min("partition").alias("partition"),
             F.min("offset").alias("first_offset"),
             F.max("offset").alias("last_offset"),
-            F.max("ticks").alias("last_ticks"),
+            F.max("timestamp").alias("last_updated"),
         )
         .groupBy("persistence_id")
         .agg(
@@ -118,7 +121,7 @@ def journal_index(journal: DataFrame, marks: DataFrame | None = None) -> DataFra
             F.min("partition").alias("partition"),
             F.min("first_offset").alias("first_offset"),
             F.max("last_offset").alias("last_offset"),
-            F.max("last_ticks").alias("last_ticks"),
+            F.max("last_updated").alias("last_updated"),
             _union_of("tags"),
         )
     )
@@ -126,9 +129,7 @@ def journal_index(journal: DataFrame, marks: DataFrame | None = None) -> DataFra
     if marks is not None:
         index = index.join(deleted_to(marks), "persistence_id", "left")
         deleted = F.coalesce("deleted_to_seq_nr", deleted)
-    return index.withColumns(
-        {"deleted_to_seq_nr": deleted, "last_updated": codec.ticks_to_timestamp(F.col("last_ticks"))}
-    ).select("persistence_id", *INDEX_FIELDS)
+    return index.withColumn("deleted_to_seq_nr", deleted).select("persistence_id", *INDEX_FIELDS)
 
 
 def _union_of(tags: str) -> Column:

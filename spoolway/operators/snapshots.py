@@ -187,7 +187,8 @@ def range_kills(saves: DataFrame, ranges: DataFrame, rows_per_task: int = ROWS_P
     probes = (
         spread(looking, saves.count(), "persistence_id", "seq_nr")
         .withColumn("_pair", F.explode("_pairs"))
-        .withColumns({"seq_level": (F.col("_pair") / 64).cast("int"), "ticks_level": (F.col("_pair") % 64).cast("int")})
+        .withColumn("_pair", F.col("_pair").cast("int"))
+        .withColumns({"seq_level": F.shiftright("_pair", 6), "ticks_level": F.col("_pair") % 64})
         .select(
             *NODE_KEYS[:2],
             _shift(F.col("seq_nr"), F.col("seq_level")).alias("seq_node"),
@@ -248,7 +249,7 @@ def _range_nodes(ranges: DataFrame, saves: DataFrame, rows_per_task: int) -> Dat
 
 
 def live_keys(log: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """``persistence_id, seq_nr, ticks, partition, offset`` of the live snapshots, without their payloads.
+    """A stored table of the live snapshots: ``persistence_id, seq_nr, ticks, partition, offset``.
 
     The last save of each (id, seq) is live unless a later tombstone matches it.
     Tombstones for one sequence number are settled by aggregates: by (id, seq, ticks)
@@ -277,7 +278,7 @@ def live_keys(log: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     )
     last = stored(kept.select(*SNAPSHOT_KEYS, "_last.ticks", "_last.partition", saved.alias("offset")), "last-saves")
     kills = range_kills(last, log.where(F.col("kind") == "del_range"), rows_per_task)
-    return last.join(kills, SNAPSHOT_KEYS, "left_anti")
+    return stored(last.join(kills, SNAPSHOT_KEYS, "left_anti"), "live")
 
 
 def with_payload(keys: DataFrame, log: DataFrame) -> DataFrame:
