@@ -1,14 +1,14 @@
 """Snapshots: save, delete by tombstone, the live set and loading the newest match.
 
 A save is live unless a later save has the same sequence number or a later tombstone
-matches it. Sequence numbers and ticks are taken to lie in [0, 2^62).
+matches it.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spoolway.functions import codec
-from spoolway.operators.skew import ROWS_PER_TASK, hot_groups, skew_join, spread
+from spoolway.operators.skew import ROWS_PER_TASK, hot_groups, running_totals, skew_join, spread
 from spoolway.schema import (
     CONTENT_TYPE,
     MANIFEST,
@@ -28,11 +28,10 @@ from spoolway.schema import (
 )
 from spoolway.scratch import stored
 
-# The interval tree over sequence numbers and ticks has this many levels above its leaves.
+# The tree over the ranks of an id's saves has at most this many levels above its leaves.
 TREE_LEVELS = 62
 SNAPSHOT_KEYS = ["persistence_id", "seq_nr"]
 NODE_KEYS = ["persistence_id", "seq_level", "seq_node", "ticks_level", "ticks_node"]
-RANGE = ["min_seq", "max_seq", "min_ticks", "max_ticks"]
 
 
 def _record(df: DataFrame, value: Column, headers: dict[str, Column], topic: str) -> DataFrame:
@@ -166,69 +165,74 @@ def _cover(low: Column, high: Column) -> Column:
     return F.flatten(F.transform(F.sequence(F.lit(0).cast("bigint"), F.lit(TREE_LEVELS).cast("bigint")), at))
 
 
-def range_kills(saves: DataFrame, ranges: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """``(persistence_id, seq_nr)`` of the saves that a later range tombstone matches.
+def _ranked(saves: DataFrame, ranges: DataFrame, rows_per_task: int) -> DataFrame:
+    """Saves by their rank within the id, by number and by ticks, and ranges by the ranks they span.
 
-    Takes a stored table with one save per (id, seq). Every tombstone becomes a few
-    tree nodes of its sequence range times a few of its tick range; of each node the
-    greatest offset is kept. A save looks up the nodes above it, on the levels that
-    its id uses. So one equi-join on nodes does it, and no pairs of saves and
-    tombstones are formed.
+    One running count over the saves of an id, with the bounds of its ranges sorted in
+    between, gives both. Rows without ``seq_nr`` are ranges; they span [low, high).
     """
-    ranges = stored(ranges.select("persistence_id", "offset", *RANGE), "ranges")
-    nodes = stored(_range_nodes(ranges, saves, rows_per_task), "nodes")
-    # (levels + 1)^2 pairs at most, whatever the number of tombstones
-    pair = (F.col("seq_level") * 64 + F.col("ticks_level")).cast("smallint")
-    used = nodes.groupBy("persistence_id").agg(
-        F.collect_set(pair).alias("_pairs"), F.first("_first_ticks").alias("_first_ticks")
-    )
-    hot = hot_groups(saves, ["persistence_id"], limit=rows_per_task)
-    looking = skew_join(saves, used, ["persistence_id"], hot=hot)
-    probes = (
-        spread(looking, saves.count(), "persistence_id", "seq_nr")
-        .withColumn("_pair", F.explode("_pairs"))
-        .withColumn("_pair", F.col("_pair").cast("int"))
-        .withColumns({"seq_level": F.shiftright("_pair", 6), "ticks_level": F.col("_pair") % 64})
-        .select(
-            *NODE_KEYS[:2],
-            _shift(F.col("seq_nr"), F.col("seq_level")).alias("seq_node"),
-            "ticks_level",
-            _shift(F.col("ticks") - F.col("_first_ticks"), F.col("ticks_level")).alias("ticks_node"),
-            "seq_nr",
+
+    def point(axis: str, side: int, value: str) -> Column:
+        return F.struct(F.lit(axis).alias("axis"), F.lit(side).alias("side"), F.col(value).alias("value"))
+
+    def points(df: DataFrame, seq_nr: Column, tie: str, *of: Column) -> DataFrame:
+        return df.select("persistence_id", seq_nr.alias("seq_nr"), "offset", F.col(tie).alias("tie"), F.inline(F.array(*of)))
+
+    both = points(saves, F.col("seq_nr"), "seq_nr", point("seq", 1, "seq_nr"), point("ticks", 1, "ticks")).unionByName(
+        points(
+            ranges,
+            F.lit(None).cast("bigint"),
             "offset",
+            point("seq", 0, "min_seq"),
+            point("seq", 2, "max_seq"),
+            point("ticks", 0, "min_ticks"),
+            point("ticks", 2, "max_ticks"),
         )
     )
-    # the rows that explode made are not in the size estimate, so no broadcast of these sides
-    nodes = nodes.drop("_first_ticks").hint("merge")
-    if hot:
-        # a node of level n has 2^n sequence numbers below it: only wide nodes of hot ids can be hot
-        wide = F.col("persistence_id").isin([row["persistence_id"] for row in hot])
-        wide = wide & (F.col("seq_level") >= rows_per_task.bit_length() - 1)
-        at_wide = skew_join(probes.where(wide), nodes, NODE_KEYS, limit=rows_per_task)
-        met = at_wide.unionByName(probes.where(~wide).join(nodes, NODE_KEYS))
-    else:
-        met = probes.join(nodes, NODE_KEYS)
-    return met.where(F.col("offset") < F.col("killed_before")).select(*SNAPSHOT_KEYS)
+    counted = running_totals(
+        both,
+        ["persistence_id", "axis"],
+        ["value", "side", "tie"],
+        {"below": (F.col("side") == 1).cast("bigint")},
+        rows_per_task,
+    )
+
+    def found(axis: str, side: int) -> Column:
+        return F.max(F.when((F.col("axis") == axis) & (F.col("side") == side), F.col("below")))
+
+    return counted.groupBy("persistence_id", "seq_nr", "offset").agg(
+        (found("seq", 1) - 1).alias("seq_rank"),
+        (found("ticks", 1) - 1).alias("ticks_rank"),
+        found("seq", 0).alias("seq_low"),
+        found("seq", 2).alias("seq_high"),
+        found("ticks", 0).alias("ticks_low"),
+        found("ticks", 2).alias("ticks_high"),
+    )
 
 
 def _range_nodes(ranges: DataFrame, saves: DataFrame, rows_per_task: int) -> DataFrame:
-    """The tree nodes of all range tombstones, each with the greatest offset it kills up to.
+    """The tree nodes of all ranked ranges, each with the greatest offset it kills up to.
 
-    The ticks of an id are counted from its first save.
+    Where an id's ticks rise with its numbers, a span of ticks is a span of numbers
+    as well, and one axis does.
     """
     ids = saves.groupBy("persistence_id").agg(
-        F.max("seq_nr").alias("_last_seq"), F.min("ticks").alias("_first_ticks"), F.max("ticks").alias("_last_ticks")
+        F.count(F.lit(1)).alias("saved"), F.bool_and(F.col("seq_rank") == F.col("ticks_rank")).alias("rising")
     )
     bounded = skew_join(ranges, ids, ["persistence_id"], limit=rows_per_task)
     bounded = spread(bounded, ranges.count(), "persistence_id", "offset")
-    first, last = F.col("_first_ticks"), F.col("_last_ticks")
-    seq_nodes = _cover(F.col("min_seq"), _open_end(F.col("max_seq"), F.col("_last_seq")))
-    ticks_nodes = _cover(
-        F.greatest(F.col("min_ticks"), first) - first, _open_end(F.least(F.col("max_ticks"), last) - first, last - first)
-    )
+    rising, last = F.col("rising"), F.col("saved") - 1
+    low = F.when(rising, F.greatest("seq_low", "ticks_low")).otherwise(F.col("seq_low"))
+    high = F.when(rising, F.least("seq_high", "ticks_high")).otherwise(F.col("seq_high")) - 1
+    whole = F.lit((1 << TREE_LEVELS) - 1)
+    ticks_low = F.when(rising, F.lit(0)).otherwise(F.col("ticks_low"))
+    ticks_high = F.when(rising, whole).otherwise(_open_end(F.col("ticks_high") - 1, last))
     return (
         bounded.select(
-            "persistence_id", "_first_ticks", "offset", seq_nodes.alias("_seqs"), ticks_nodes.alias("_ticks")
+            "persistence_id",
+            "offset",
+            _cover(low, _open_end(high, last)).alias("_seqs"),
+            _cover(ticks_low, ticks_high).alias("_ticks"),
         )
         # a plain explode would have the covers computed for a filter below the join as well
         .withColumn("_seq", F.explode_outer("_seqs"))
@@ -236,18 +240,60 @@ def _range_nodes(ranges: DataFrame, saves: DataFrame, rows_per_task: int) -> Dat
         .where(F.col("_seq").isNotNull() & F.col("_tick").isNotNull())
         .select(
             "persistence_id",
-            "_first_ticks",
             F.col("_seq.level").alias("seq_level"),
             F.col("_seq.node").alias("seq_node"),
             F.col("_tick.level").alias("ticks_level"),
             F.col("_tick.node").alias("ticks_node"),
             "offset",
         )
-        .groupBy("_first_ticks", *NODE_KEYS)
+        .groupBy(*NODE_KEYS)
         .agg(F.max("offset").alias("killed_before"))
     )
 
 
+def range_kills(saves: DataFrame, ranges: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """``(persistence_id, seq_nr)`` of the saves that a later range tombstone matches.
+
+    Takes one save per (id, seq). Every tombstone becomes a few nodes of a binary tree
+    over the ranks of the id's saves; of each node the greatest offset is kept. A save
+    looks up the nodes above it, on the levels that its id uses. So one equi-join on
+    nodes does it, and no pairs of saves and tombstones are formed.
+    """
+    ranked = stored(_ranked(saves, ranges, rows_per_task), "ranked")
+    saves, ranges = ranked.where(F.col("seq_nr").isNotNull()), ranked.where(F.col("seq_nr").isNull())
+    nodes = stored(_range_nodes(ranges, saves, rows_per_task), "nodes")
+    # (levels + 1)^2 pairs at most, whatever the number of tombstones
+    pair = (F.col("seq_level") * 64 + F.col("ticks_level")).cast("smallint")
+    used = nodes.groupBy("persistence_id").agg(F.collect_set(pair).alias("_pairs"))
+    hot = hot_groups(saves, ["persistence_id"], limit=rows_per_task)
+    looking = skew_join(saves, used, ["persistence_id"], hot=hot)
+    probes = (
+        spread(looking, saves.count(), "persistence_id", "seq_nr")
+        .withColumn("_pair", F.explode("_pairs"))
+        .withColumn("_pair", F.col("_pair").cast("int"))
+        .withColumns({"seq_level": F.shiftright("_pair", 6), "ticks_level": F.col("_pair") % 64})
+        .select(
+            *NODE_KEYS[:2],
+            _shift(F.col("seq_rank"), F.col("seq_level")).alias("seq_node"),
+            "ticks_level",
+            _shift(F.col("ticks_rank"), F.col("ticks_level")).alias("ticks_node"),
+            "seq_nr",
+            "offset",
+        )
+    )
+    # the rows that explode made are not in the size estimate, so no broadcast of these sides
+    nodes = nodes.hint("merge")
+    if hot:
+        # a node of level n has 2^n saves below it: only wide nodes of hot ids can be hot
+        wide = F.col("persistence_id").isin([row["persistence_id"] for row in hot])
+        wide = wide & (F.col("seq_level") >= rows_per_task.bit_length() - 1)
+        at_wide = skew_join(probes.where(wide), nodes, NODE_KEYS, limit=rows_per_task)
+        met = at_wide.unionByName(probes.where(~wide).join(nodes, NODE_KEYS))
+    else:
+        met = probes.join(nodes, NODE_KEYS)
+    return met.where(F.col("offset") < F.col("killed_before")).select(*SNAPSHOT_KEYS)
+
+
 def live_keys(log: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """A stored table of the live snapshots: ``persistence_id, seq_nr, ticks, partition, offset``.
 

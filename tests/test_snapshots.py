@@ -12,7 +12,7 @@ LOG = (
 )
 
 
-def random_log(seed, ids=25, actions=60):
+def random_log(seed, ids=25, actions=60, rising=False):
     rng = random.Random(seed)
     rows, offset = [], 0
     for n in range(ids):
@@ -20,8 +20,11 @@ def random_log(seed, ids=25, actions=60):
         for _ in range(actions * 15 if n == 0 else actions):
             offset += rng.randrange(1, 4)
             top = 2000 if n == 0 else 40
+            number = rng.randrange(top)
             what = rng.random()
-            seq, ticks = rng.randrange(top), rng.choice([0, 1, 5, rng.randrange(100), rng.randrange(10**17)])
+            seq, ticks = number, rng.choice([0, 1, 5, rng.randrange(100), rng.randrange(10**17)])
+            if rising or n % 3 == 0:
+                ticks = number * 10**13 + 7
             bounds = [None] * 4
             if what < 0.75:
                 kind = "save"
@@ -57,9 +60,12 @@ def fold(rows):
 
 
 # a small limit sends the busy id through the skewed path
-@pytest.mark.parametrize("seed, rows_per_task", [(1, 10_000), (2, 10_000), (1, 64), (3, 64)])
-def test_live_set_equals_the_sequential_fold(spark, seed, rows_per_task):
-    rows = random_log(seed)
+@pytest.mark.parametrize(
+    "seed, rising, rows_per_task",
+    [(1, False, 10_000), (2, False, 10_000), (5, True, 10_000), (1, False, 64), (3, False, 64), (4, True, 64)],
+)
+def test_live_set_equals_the_sequential_fold(spark, seed, rising, rows_per_task):
+    rows = random_log(seed, rising=rising)
     want = fold(rows)
     assert 0 < len(want) < sum(r[3] == "save" for r in rows)
     log = spark.createDataFrame(rows, LOG)
