@@ -30,6 +30,8 @@ from spoolway.scratch import stored
 
 # The tree over the ranks of an id's saves has at most this many levels above its leaves.
 TREE_LEVELS = 62
+# Counted node rows, of some 80 bytes each, that are still sent to every executor.
+MAX_NODES_BROADCAST = 500_000
 SNAPSHOT_KEYS = ["persistence_id", "seq_nr"]
 NODE_KEYS = ["persistence_id", "seq_level", "seq_node", "ticks_level", "ticks_node"]
 
@@ -281,16 +283,17 @@ def range_kills(saves: DataFrame, ranges: DataFrame, rows_per_task: int = ROWS_P
             "offset",
         )
     )
-    # the rows that explode made are not in the size estimate, so no broadcast of these sides
-    nodes = nodes.hint("merge")
-    if hot:
+    if nodes.count() <= MAX_NODES_BROADCAST:
+        met = probes.join(F.broadcast(nodes), NODE_KEYS)
+    else:
+        # the rows that explode made are not in the size estimate, so no other broadcast
+        nodes = nodes.hint("merge")
         # a node of level n has 2^n saves below it: only wide nodes of hot ids can be hot
         wide = F.col("persistence_id").isin([row["persistence_id"] for row in hot])
         wide = wide & (F.col("seq_level") >= rows_per_task.bit_length() - 1)
-        at_wide = skew_join(probes.where(wide), nodes, NODE_KEYS, limit=rows_per_task)
-        met = at_wide.unionByName(probes.where(~wide).join(nodes, NODE_KEYS))
-    else:
-        met = probes.join(nodes, NODE_KEYS)
+        met = probes.where(~wide).join(nodes, NODE_KEYS)
+        if hot:
+            met = met.unionByName(skew_join(probes.where(wide), nodes, NODE_KEYS, limit=rows_per_task))
     return met.where(F.col("offset") < F.col("killed_before")).select(*SNAPSHOT_KEYS)
 
 

@@ -64,7 +64,9 @@ def fold(rows):
     "seed, rising, rows_per_task",
     [(1, False, 10_000), (2, False, 10_000), (5, True, 10_000), (1, False, 64), (3, False, 64), (4, True, 64)],
 )
-def test_live_set_equals_the_sequential_fold(spark, seed, rising, rows_per_task):
+def test_live_set_equals_the_sequential_fold(spark, seed, rising, rows_per_task, monkeypatch):
+    if rows_per_task < 10_000:
+        monkeypatch.setattr(S, "MAX_NODES_BROADCAST", 10)
     rows = random_log(seed, rising=rising)
     want = fold(rows)
     assert 0 < len(want) < sum(r[3] == "save" for r in rows)
