@@ -120,7 +120,7 @@ def external_offset_scan(spark, sf):
 
 @query
 def at_most_once(spark, sf):
-    stream = SRC.stream_topics(spark, W.topics_root(spark, sf), Topics([JOURNAL_TOPIC]), files_per_trigger=16)
+    stream = SRC.stream_topics(spark, W.topics_root(spark, sf), Topics([JOURNAL_TOPIC]))
     work = fresh_dir(spark, "at-most-once")
 
     def process(df: DataFrame, batch: int) -> None:
@@ -262,7 +262,7 @@ def produce_arrays(spark, sf):
 
 @query
 def exactly_once(spark, sf):
-    stream = SRC.stream_topics(spark, W.topics_root(spark, sf), Topics([JOURNAL_TOPIC]), files_per_trigger=16)
+    stream = SRC.stream_topics(spark, W.topics_root(spark, sf), Topics([JOURNAL_TOPIC]))
     work = fresh_dir(spark, "exactly-once")
 
     def high_events(df: DataFrame) -> DataFrame:
@@ -288,7 +288,7 @@ def commit_ledger(spark, sf):
 
 @query
 def commit_flow(spark, sf):
-    stream = SRC.stream_topics(spark, W.topics_root(spark, sf), TopicPattern(".*akka-journal"), files_per_trigger=16)
+    stream = SRC.stream_topics(spark, W.topics_root(spark, sf), TopicPattern(".*akka-journal"))
     work = fresh_dir(spark, "commit-flow")
 
     def process(df: DataFrame, batch: int) -> None:
@@ -458,24 +458,26 @@ def fold_udf(spark, sf):
 
 @query
 def fold_live(spark, sf):
-    """The same fold on a stream, with the state kept between micro-batches."""
-    provider, wanted = next(iter(live.STATE_STORE.items()))
-    before = spark.conf.get(provider)
-    spark.conf.set(provider, wanted)
-    try:
-        stream = SRC.stream_topics(spark, W.topics_root(spark, sf), Topics([JOURNAL_TOPIC]), files_per_trigger=16)
-        flags = R.select_all(stream).select(
+    """The same fold, kept up to date while the journal grows by three batches."""
+    work = fresh_dir(spark, "fold-live")
+    own = W.journal_events(spark, sf)
+    third = F.floor(F.col("event_id") * 3 / (own.agg(F.max("event_id")).head()[0] + 1))
+
+    def high_flags(journal: DataFrame) -> DataFrame:
+        return journal.select(
             "persistence_id", "offset", F.array_contains("tags", "high").cast("bigint").alias("high")
         )
-        work = fresh_dir(spark, "fold-live")
-        folded = live.fold_live(flags, folds.NO_RUN, folds.add_events, folds.RUN)
-        states = control.drain(folded, f"{work}/out", f"{work}/checkpoint")
-    finally:
-        spark.conf.set(provider, before)
-    # every micro-batch emits a state; the last one has seen the most events
-    return states.groupBy("persistence_id").agg(
-        F.max("events").alias("events"), F.max_by("longest", "events").alias("longest")
+
+    for batch in range(3):
+        records = J.encode_events(own.where(third == batch))
+        append_topic(records, f"{work}/topics", batch, ["event_id"], partitioner=F.col("part"))
+    following = live.maintain_fold(
+        spark, f"{work}/topics", f"{work}/states", f"{work}/checkpoint", high_flags, folds.NO_RUN, folds.add_events,
+        folds.join_runs, folds.RUN, batches_per_trigger=1,
     )
+    control.wait(following)
+    states = live.read_fold(spark, f"{work}/states", folds.NO_RUN, folds.join_runs, folds.RUN)
+    return states.select("persistence_id", "events", "longest")
 
 
 @query

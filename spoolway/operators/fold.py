@@ -11,6 +11,10 @@ from pyspark.sql import types as T
 from spoolway.operators.skew import ROWS_PER_TASK, hot_groups
 
 State = dict[str, Any]
+Step = Callable[[State, pd.DataFrame], State]
+Merge = Callable[[State, State], State]
+
+STATES_PER_FRAME = 10_000
 
 
 def fold_state(journal: DataFrame, **state: Column) -> DataFrame:
@@ -19,12 +23,7 @@ def fold_state(journal: DataFrame, **state: Column) -> DataFrame:
 
 
 def fold_events(
-    journal: DataFrame,
-    initial: State,
-    step: Callable[[State, pd.DataFrame], State],
-    merge: Callable[[State, State], State],
-    schema: T.StructType,
-    rows_per_task: int = ROWS_PER_TASK,
+    journal: DataFrame, initial: State, step: Step, merge: Merge, schema: T.StructType, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Fold by user code, in offset order.
 
@@ -36,54 +35,55 @@ def fold_events(
     hot = [row["persistence_id"] for row in hot_groups(journal, ["persistence_id"], limit=rows_per_task)]
     stretch = F.call_function("div", F.col("offset"), F.lit(rows_per_task))
     cut = F.when(F.col("persistence_id").isin(hot), stretch).otherwise(F.lit(0).cast("bigint"))
-    state_fields = list(schema.fields)
-    names = schema.names
-    partial = T.StructType([T.StructField("persistence_id", T.StringType()), T.StructField("_stretch", T.LongType()), *state_fields])
-    final = T.StructType([T.StructField("persistence_id", T.StringType()), *state_fields])
+    keys = ["persistence_id", "_stretch"]
+    states = (
+        journal.withColumn("_stretch", cut)
+        .repartition(*keys)
+        .sortWithinPartitions(*keys, "offset")
+        .mapInPandas(_folder(keys, initial, step, schema.names), _states_of(schema, keys[1:]))
+    )
+    # one state per stretch is left of a hot id
+    return merge_states(states, "_stretch", initial, merge, schema) if hot else states.drop("_stretch")
 
-    def runs(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[tuple[tuple, pd.DataFrame]]:
-        for batch in batches:
-            yield from batch.groupby(keys, sort=False, dropna=False)
-
-    def fold(groups: Iterator[tuple[tuple, pd.DataFrame]], advance: Callable, keys: list[str]) -> Iterator[pd.DataFrame]:
-        current, state, done = None, initial, []
-        for key, rows in groups:
-            if key != current:
-                if current is not None:
-                    done.append((*current, *[state[n] for n in names]))
-                current, state = key, dict(initial)
-            state = advance(state, rows)
-            if len(done) >= 10_000:
-                yield pd.DataFrame(done, columns=[*keys, *names])
-                done = []
-        if current is not None:
-            done.append((*current, *[state[n] for n in names]))
-        yield pd.DataFrame(done, columns=[*keys, *names])
 
-    def fold_stretches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys = ["persistence_id", "_stretch"]
-        return fold(runs(batches, keys), step, keys)
+def merge_states(states: DataFrame, position: str, initial: State, merge: Merge, schema: T.StructType) -> DataFrame:
+    """One state per id out of partial ones, joined in the order of ``position``."""
+    names = schema.names
 
-    def merge_all(state: State, rows: pd.DataFrame) -> State:
+    def join_all(state: State, rows: pd.DataFrame) -> State:
         for row in rows[names].to_dict("records"):
             state = merge(state, row)
         return state
 
-    def merge_stretches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys = ["persistence_id"]
-        return fold(runs(batches, keys), merge_all, keys)
-
-    stretches = (
-        journal.withColumn("_stretch", cut)
-        .repartition("persistence_id", "_stretch")
-        .sortWithinPartitions("persistence_id", "_stretch", "offset")
-        .mapInPandas(fold_stretches, partial)
-    )
-    if not hot:
-        return stretches.drop("_stretch")
-    # one state per stretch is left of a hot id
     return (
-        stretches.repartition("persistence_id")
-        .sortWithinPartitions("persistence_id", "_stretch")
-        .mapInPandas(merge_stretches, final)
+        states.repartition("persistence_id")
+        .sortWithinPartitions("persistence_id", position)
+        .mapInPandas(_folder(["persistence_id"], initial, join_all, names), _states_of(schema))
     )
+
+
+def _states_of(schema: T.StructType, more_keys: list[str] | None = None) -> T.StructType:
+    keys = [T.StructField("persistence_id", T.StringType())]
+    return T.StructType([*keys, *[T.StructField(name, T.LongType()) for name in more_keys or []], *schema.fields])
+
+
+def _folder(keys: list[str], initial: State, step: Step, names: list[str]) -> Callable:
+    """A fold over sorted batches: a group may go on from one batch into the next."""
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, state, done = None, None, []
+        for batch in batches:
+            for key, rows in batch.groupby(keys, sort=False, dropna=False):
+                if key != current:
+                    if current is not None:
+                        done.append((*current, *[state[name] for name in names]))
+                    current, state = key, dict(initial)
+                state = step(state, rows)
+            if len(done) >= STATES_PER_FRAME:
+                yield pd.DataFrame(done, columns=[*keys, *names])
+                done = []
+        if current is not None:
+            done.append((*current, *[state[name] for name in names]))
+        yield pd.DataFrame(done, columns=[*keys, *names])
+
+    return fold

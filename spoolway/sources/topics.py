@@ -50,7 +50,8 @@ def stream_topics(
     """Records of the subscribed topics as they arrive; the checkpoint is the position.
 
     A file stream does not consult the commit rows, so it is for tables whose batches
-    are written once; ``streaming.delivery.for_each_committed`` follows the commits.
+    are written once. A limit on files may split a batch in any order; where the order
+    of offsets counts, ``streaming.delivery.for_each_committed`` follows the commits.
     """
     reader = spark.readStream.schema(STORED)
     if files_per_trigger:

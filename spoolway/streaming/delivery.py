@@ -112,15 +112,18 @@ def for_each_committed(
     process: Callable[[DataFrame, int], None],
     checkpoint: str,
     subscription: Subscription | None = None,
+    batches_per_trigger: int | None = None,
     every: str | None = None,
 ) -> StreamingQuery:
     """Follow a topic table by its commit rows, so that only committed batches are seen.
 
     ``process`` gets the records of the batches committed since the last call.
     """
-    stream = spark.readStream.schema(T.StructType([*COMMIT.fields, T.StructField("batch", T.LongType())])).parquet(
-        f"{root}/commits"
-    )
+    reader = spark.readStream.schema(T.StructType([*COMMIT.fields, T.StructField("batch", T.LongType())]))
+    if batches_per_trigger:
+        # a commit is one file
+        reader = reader.option("maxFilesPerTrigger", batches_per_trigger)
+    stream = reader.parquet(f"{root}/commits")
 
     def read_batches(df: DataFrame, batch: int) -> None:
         # one row per topic partition and batch

@@ -1,51 +1,46 @@
-"""Fold a live journal to one state per id, kept between micro-batches."""
+"""Fold a growing journal to one state per id."""
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-
-from spoolway.operators.fold import State
-
-STATE_STORE = {
-    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-}
-
-
-class _Fold(StatefulProcessor):
-    def __init__(self, initial: State, step: Callable[[State, pd.DataFrame], State], schema: T.StructType):
-        self.initial, self.step, self.schema = initial, step, schema
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("state", self.schema)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        names = self.schema.names
-        state = dict(zip(names, self.state.get())) if self.state.exists() else dict(self.initial)
-        # what one id got in one micro-batch, which the trigger's options bound
-        arrived = pd.concat(list(rows)).sort_values("offset")
-        state = self.step(state, arrived)
-        self.state.update(tuple(state[name] for name in names))
-        yield pd.DataFrame([[key[0], *[state[name] for name in names]]], columns=["persistence_id", *names])
+from pyspark.sql.streaming import StreamingQuery
+
+from spoolway.operators.fold import Merge, State, Step, fold_events, merge_states
+from spoolway.operators.journal import decode_journal
+from spoolway.sources.subscriptions import Subscription
+from spoolway.streaming.delivery import for_each_committed
+
+
+def maintain_fold(
+    spark: SparkSession,
+    root: str,
+    path: str,
+    checkpoint: str,
+    prepare: Callable[[DataFrame], DataFrame],
+    initial: State,
+    step: Step,
+    merge: Merge,
+    schema: T.StructType,
+    subscription: Subscription | None = None,
+    batches_per_trigger: int | None = None,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Follow a topic table's commits and write one partial state per id and micro-batch.
+
+    Later batches hold later offsets, so the partial states join in batch order. A
+    repeated micro-batch replaces its own. ``prepare`` picks the journal columns
+    that ``step`` needs, next to ``persistence_id`` and ``offset``.
+    """
 
-    def close(self) -> None:
-        pass
+    def write(records: DataFrame, batch: int) -> None:
+        folded = fold_events(prepare(decode_journal(records)), initial, step, merge, schema)
+        folded.write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
+    return for_each_committed(spark, root, write, checkpoint, subscription, batches_per_trigger, every)
 
-def fold_live(
-    journal: DataFrame, initial: State, step: Callable[[State, pd.DataFrame], State], schema: T.StructType
-) -> DataFrame:
-    """Emit an id's new state after each micro-batch that holds events of it.
 
-    Needs the RocksDB state store (``STATE_STORE``), and file or offset limits on the
-    source: the events of an id in one micro-batch are sorted in one task.
-    """
-    output = T.StructType([T.StructField("persistence_id", T.StringType()), *schema.fields])
-    return journal.groupBy("persistence_id").transformWithStateInPandas(
-        statefulProcessor=_Fold(initial, step, schema),
-        outputStructType=output,
-        outputMode="Update",
-        timeMode="None",
-    )
+def read_fold(spark: SparkSession, path: str, initial: State, merge: Merge, schema: T.StructType) -> DataFrame:
+    """The states reached so far."""
+    fields = [T.StructField("persistence_id", T.StringType()), *schema.fields, T.StructField("batch", T.LongType())]
+    return merge_states(spark.read.schema(T.StructType(fields)).parquet(path), "batch", initial, merge, schema)

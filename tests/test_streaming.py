@@ -192,13 +192,26 @@ def test_streamed_index_equals_the_batch_index(spark, root, tmp_path):
     assert rows(read_index(spark, str(tmp_path / "index")), *want.columns) == rows(want, *want.columns)
 
 
-def test_live_fold_keeps_state_over_batches(spark, root, tmp_path):
+def test_live_fold_joins_its_batches_in_order(spark, root, tmp_path):
     from checks import folds
 
-    journal = R.select_all(SRC.stream_topics(spark, root, files_per_trigger=4))
-    flags = journal.select("persistence_id", "offset", F.array_contains("tags", "even").cast("bigint").alias("high"))
-    folded = live_fold.fold_live(flags, folds.NO_RUN, folds.add_events, folds.RUN)
-    out = str(tmp_path / "out")
-    got = control.drain(folded, out, str(tmp_path / "checkpoint"))
-    last = got.groupBy("persistence_id").agg(F.max("events").alias("events"), F.max("longest").alias("longest"))
-    assert rows(last, "persistence_id", "events", "longest") == [("id0", 60, 1), ("id1", 60, 1), ("id2", 60, 1)]
+    path, checkpoint = str(tmp_path / "states"), str(tmp_path / "checkpoint")
+
+    def flags(journal):
+        # a miss at every seventh number, so that runs go over the ends of batches
+        return journal.select("persistence_id", "offset", (F.col("seq_nr") % 7 != 0).cast("bigint").alias("high"))
+
+    def run():
+        control.wait(
+            live_fold.maintain_fold(
+                spark, root, path, checkpoint, flags, folds.NO_RUN, folds.add_events, folds.join_runs, folds.RUN,
+                batches_per_trigger=1,
+            )
+        )
+        states = live_fold.read_fold(spark, path, folds.NO_RUN, folds.join_runs, folds.RUN)
+        return rows(states, "persistence_id", "events", "longest", "trailing")
+
+    assert run() == [(f"id{k}", 60, 6, 60 % 7) for k in range(3)]
+    SINK.append_topic(events(spark, 180, 60), root, 3, ["n"], 4)
+    assert run() == [(f"id{k}", 80, 6, 80 % 7) for k in range(3)]
+    assert len(list((tmp_path / "states").glob("batch=*"))) == 4
