@@ -212,17 +212,19 @@ def _ranked(saves: DataFrame, ranges: DataFrame, rows_per_task: int) -> DataFram
     )
 
 
-def _range_nodes(ranges: DataFrame, saves: DataFrame, rows_per_task: int) -> DataFrame:
+def _range_nodes(ranges: DataFrame, saves: DataFrame, found: int, rows_per_task: int) -> DataFrame:
     """The tree nodes of all ranked ranges, each with the greatest offset it kills up to.
 
+    ``found`` is the number of ranges and saves.
     Where an id's ticks rise with its numbers, a span of ticks is a span of numbers
     as well, and one axis does.
     """
     ids = saves.groupBy("persistence_id").agg(
         F.count(F.lit(1)).alias("saved"), F.bool_and(F.col("seq_rank") == F.col("ticks_rank")).alias("rising")
     )
-    bounded = skew_join(ranges, ids, ["persistence_id"], limit=rows_per_task)
-    bounded = spread(bounded, ranges.count(), "persistence_id", "offset")
+    hot = hot_groups(ranges, ["persistence_id"], limit=rows_per_task) if found > rows_per_task else []
+    bounded = skew_join(ranges, ids, ["persistence_id"], hot=hot)
+    bounded = spread(bounded, found, "persistence_id", "offset")
     rising, last = F.col("rising"), F.col("saved") - 1
     low = F.when(rising, F.greatest("seq_low", "ticks_low")).otherwise(F.col("seq_low"))
     high = F.when(rising, F.least("seq_high", "ticks_high")).otherwise(F.col("seq_high")) - 1
@@ -263,14 +265,16 @@ def range_kills(saves: DataFrame, ranges: DataFrame, rows_per_task: int = ROWS_P
     """
     ranked = stored(_ranked(saves, ranges, rows_per_task), "ranked")
     saves, ranges = ranked.where(F.col("seq_nr").isNotNull()), ranked.where(F.col("seq_nr").isNull())
-    nodes = stored(_range_nodes(ranges, saves, rows_per_task), "nodes")
+    found = ranked.count()
+    may_be_hot = found > rows_per_task
+    nodes = stored(_range_nodes(ranges, saves, found, rows_per_task), "nodes")
     # (levels + 1)^2 pairs at most, whatever the number of tombstones
     pair = (F.col("seq_level") * 64 + F.col("ticks_level")).cast("smallint")
     used = nodes.groupBy("persistence_id").agg(F.collect_set(pair).alias("_pairs"))
-    hot = hot_groups(saves, ["persistence_id"], limit=rows_per_task)
+    hot = hot_groups(saves, ["persistence_id"], limit=rows_per_task) if may_be_hot else []
     looking = skew_join(saves, used, ["persistence_id"], hot=hot)
     probes = (
-        spread(looking, saves.count(), "persistence_id", "seq_nr")
+        spread(looking, found, "persistence_id", "seq_nr")
         .withColumn("_pair", F.explode("_pairs"))
         .withColumn("_pair", F.col("_pair").cast("int"))
         .withColumns({"seq_level": F.shiftright("_pair", 6), "ticks_level": F.col("_pair") % 64})
