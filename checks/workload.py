@@ -13,7 +13,7 @@ from spoolway.functions import codec, payload
 from spoolway.operators import journal as J
 from spoolway.operators import snapshots as S
 from spoolway.operators.skew import numbered
-from spoolway.schema import JOURNAL_TOPIC, JSON_TYPE, MAX_TICKS, OPAQUE_TYPE, SNAPSHOT_TOPIC
+from spoolway.schema import JOURNAL_TOPIC, JSON_TYPE, OPAQUE_TYPE, SNAPSHOT_TOPIC
 from spoolway.scratch import fresh_dir
 from spoolway.sinks.topics import append_topic
 from spoolway.sources.subscriptions import Topics

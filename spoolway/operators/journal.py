@@ -20,6 +20,19 @@ from spoolway.schema import (
 
 INDEX_FIELDS = ["highest_seq_nr", "partition", "first_offset", "last_offset", "deleted_to_seq_nr", "tags", "last_updated"]
 
+# Event columns that go into a record's key, value and headers.
+ENCODED_FIELDS = [
+    "persistence_id",
+    "seq_nr",
+    "payload",
+    "tags",
+    "manifest",
+    "writer_uuid",
+    "ticks",
+    "content_type",
+    "serializer_id",
+]
+
 
 def validate(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split events into accepted and rejected ones; an atomic write passes or fails as a whole.
@@ -77,7 +90,7 @@ def encode_events(events: DataFrame, topic: str | Column = JOURNAL_TOPIC) -> Dat
         F.col("payload").alias("value"),
         headers.alias("headers"),
         codec.ticks_to_timestamp(F.col("ticks")).alias("timestamp"),
-    ).drop(*[c for c in ("persistence_id", "seq_nr", "payload", "tags", "manifest", "writer_uuid", "ticks", "content_type", "serializer_id") if c in columns])
+    ).drop(*ENCODED_FIELDS)
 
 
 def decode_journal(records: DataFrame) -> DataFrame:

@@ -117,7 +117,8 @@ def for_each_committed(
 ) -> StreamingQuery:
     """Follow a topic table by its commit rows, so that only committed batches are seen.
 
-    ``process`` gets the records of the batches committed since the last call.
+    ``process`` gets the records of the batches committed since the last call; a batch
+    that is written again after its commit is delivered again.
     """
     reader = spark.readStream.schema(T.StructType([*COMMIT.fields, T.StructField("batch", T.LongType())]))
     if batches_per_trigger:
