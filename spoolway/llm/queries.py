@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spoolway.llm import simhash, weakrules
+import corpus_pipeline
+from spoolway.llm import chunks, latent, packing, sharding, simhash, weakrules
 from spoolway.llm.common import stored, table
 
 
@@ -11,6 +12,39 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def op1_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = latent.with_leaks(documents(spark, sf_dir).select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    items = F.array_sort(F.transform("leaks", lambda x: x["item_id"]))
+    return found.select(
+        "row.doc_id",
+        "n_windows",
+        (F.size("leaks") > 0).alias("contaminated"),
+        F.size("leaks").alias("n_items"),
+        items.alias("item_ids"),
+        F.round(F.array_max(F.transform("leaks", lambda x: x["lcs"])), 6).alias("best_lcs"),
+    )
+
+
+def op2_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = chunks.dedup_substrings(documents(spark, sf_dir).select("doc_id", "text"))
+    cut = F.aggregate("dedup.spans", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"])
+    return found.select(
+        "doc_id",
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        "dedup.n_chunks",
+        "dedup.n_dup_chunks",
+        F.size("dedup.spans").alias("n_spans"),
+        cut.alias("removed_bytes"),
+        "dedup.spans",
+        F.crc32(F.coalesce("dedup.kept_text", F.lit("")).cast("binary")).alias("kept_crc32"),
+    )
+
+
+def op3_lpt_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard_documents(documents(spark, sf_dir), shards=24)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_copies(documents(spark, sf_dir))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
@@ -23,5 +57,21 @@ def op9_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, weakrules.base_failed().alias("base_failed"), "kept", "quality", "votes")
 
 
-QUERIES = {"op4_simhash": op4_simhash, "op9_weak_rules": op9_weak_rules}
+def op5_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {
+    "op1_latent_decontamination": op1_latent_decontamination,
+    "op2_chunk_dedup": op2_chunk_dedup,
+    "op3_lpt_shards": op3_lpt_shards,
+    "op4_simhash": op4_simhash,
+    "op5_length_buckets": op5_length_buckets,
+    "op9_weak_rules": op9_weak_rules,
+    "pipeline": pipeline,
+}
 ORACLE: dict[str, str] = {}

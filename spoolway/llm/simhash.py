@@ -36,24 +36,24 @@ def _fingerprint(text: bytes) -> int:
     return int(np.packbits(2 * ones > total, bitorder="little").view("<i8")[0])
 
 
-def with_fingerprint(docs: DataFrame, text: str = "text", name: str = "fingerprint") -> DataFrame:
-    """Add the SimHash of each whole text as a signed long; all other columns stay.
+def with_fingerprint(docs: DataFrame, text: str = "text", name: str = "fingerprint", drop: tuple[str, ...] = ()) -> DataFrame:
+    """Add the SimHash of each whole text as a signed long; other columns stay but for ``drop``.
 
     A-Z are lowered; shingles are three words, repeats included, or the whole sequence
     of fewer words. A bit is 1 if it is set in over half of the shingles' XXH64. A null
     or empty text and one of white space alone give zero.
     """
-    schema = T.StructType([*docs.drop(name).schema.fields, T.StructField(name, T.LongType())])
-    columns = [f.name for f in schema.fields[:-1]]
+    schema = T.StructType([*docs.drop(name, *drop).schema.fields, T.StructField(name, T.LongType())])
+    names = schema.fieldNames()
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
             values = pa.array([_fingerprint(x) for x in utf8(batch.column(text))], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, values], names=[*columns, name])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:-1]), values], names=names)
 
-    return docs.select(*columns).mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 def shared_bytes(x: Column) -> Column:
@@ -98,7 +98,7 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 
 def classes(marked: DataFrame, id_column: str = "doc_id", max_bits: int = MAX_BITS) -> DataFrame:
-    """(fingerprint, component_id): one row per distinct fingerprint of ``marked``.
+    """(fingerprint, root, component_id): one row per distinct fingerprint of ``marked``.
 
     ``component_id`` is the least id reachable over links; nulls count only where a
     component has no other id. Copies are met once, by their fingerprint.
@@ -109,7 +109,7 @@ def classes(marked: DataFrame, id_column: str = "doc_id", max_bits: int = MAX_BI
         "fingerprint", "least_id", F.coalesce("root", "fingerprint").alias("root")
     )
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    return rooted.join(least, "root").select("fingerprint", "component_id")
+    return rooted.join(least, "root").select("fingerprint", "root", "component_id")
 
 
 def near_copies(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -119,27 +119,27 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     come back as often as they are there. An empty table gives no rows.
     """
     marked = stored(with_fingerprint(docs.select(id_column, text), text).select(id_column, "fingerprint"), "fingerprints")
-    found = classes(marked, id_column).withColumnRenamed("fingerprint", "_fp")
+    found = classes(marked, id_column).select(F.col("fingerprint").alias("_fp"), "component_id")
     return marked.join(found, marked["fingerprint"] == found["_fp"]).drop("_fp")
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Keep one whole row of each near-copy group, that of the least id (nulls last).
 
-    Rows that share id and fingerprint are settled by their columns' order, so equal
-    rows leave one. Columns and their order stay those of ``docs``.
+    Rows that share id and fingerprint are settled by the order of their columns, which
+    must be of kinds that can be ordered; equal rows leave one. Columns stay as they are.
     """
-    columns = docs.columns
-    held = stored(with_fingerprint(docs, text, "_print").withColumnRenamed("_print", "fingerprint"), "marked")
-    marked = held.select(id_column, "fingerprint")
-    found = classes(marked, id_column).withColumnRenamed("fingerprint", "_fp")
+    row = docs.select(F.struct("*").alias("row"), F.col(id_column).alias("id"), F.col(text).alias("text"))
+    held = stored(with_fingerprint(row, drop=("text",)), "marked")
+    marked = held.select("id", "fingerprint")
+    found = classes(marked, "id").withColumnRenamed("fingerprint", "fp")
+    order = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("fingerprint").alias("fp"))
     best = (
         marked.distinct()
-        .join(found, F.col("fingerprint") == F.col("_fp"))
-        .groupBy("component_id")
-        .agg(F.min(F.struct(F.col(id_column).isNull().alias("none"), F.col(id_column).alias("id"), F.col("fingerprint").alias("fp"))).alias("w"))
-        .select(F.col("w.id").alias("_id"), F.col("w.fp").alias("_fp"))
+        .join(found, F.col("fingerprint") == F.col("fp"))
+        .groupBy("component_id", "root")
+        .agg(F.min(order).alias("w"))
+        .select(F.col("w.id").alias("best_id"), F.col("w.fp").alias("best_fp"))
     )
-    kept = held.join(best, F.col(id_column).eqNullSafe(F.col("_id")) & (F.col("fingerprint") == F.col("_fp")), "left_semi")
-    whole = F.min(F.struct(*[F.col(c) for c in columns])).alias("row")
-    return kept.groupBy(id_column, "fingerprint").agg(whole).select("row.*")
+    kept = held.join(best, F.col("id").eqNullSafe(F.col("best_id")) & (F.col("fingerprint") == F.col("best_fp")), "left_semi")
+    return kept.groupBy("id", "fingerprint").agg(F.min("row").alias("row")).select("row.*")
