@@ -4,8 +4,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from spoolway.llm import chunks, latent, packing, sharding, simhash, weakrules
-from spoolway.llm.common import stored, table
+from spoolway.llm import bytecnn, chunks, latent, packing, ppm, ruleensemble, sharding, simhash, textstats, tokencount, weakrules
+from spoolway.llm.common import remainder, stored, table
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,6 +50,50 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    doc_id = F.col("doc_id")
+    stats = textstats.with_stats(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
+    stats = stored(stats, "stats")
+    learned = table(spark, sf_dir, "labels").where(remainder(doc_id, 5) != 0)
+    model = ruleensemble.fit(stats, learned)
+    scored = stats.withColumn("score", model.score(textstats.ratios()))
+    return scored.select(
+        "doc_id",
+        (remainder(doc_id, 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+def op7_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = ppm.with_scores(docs, remainder(F.col("doc_id"), 7) != 2)
+    return found.select(
+        "row.doc_id",
+        (remainder(F.col("row.doc_id"), 7) == 2).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
+def op8_ragged_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = tokencount.with_token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select("row.doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
+def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    network = bytecnn.fit(docs, remainder(F.col("doc_id"), 4) != 2)
+    found = bytecnn.with_language(docs.select("doc_id", "text"), network)
+    return found.select("row.doc_id", (remainder(F.col("row.doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op9_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     found = weakrules.scored(docs, store=lambda df: stored(df.drop("text"), "votes"))
@@ -71,7 +115,11 @@ QUERIES = {
     "op3_lpt_shards": op3_lpt_shards,
     "op4_simhash": op4_simhash,
     "op5_length_buckets": op5_length_buckets,
+    "op6_rule_ensemble": op6_rule_ensemble,
+    "op7_ppm": op7_ppm,
+    "op8_ragged_bpe": op8_ragged_bpe,
     "op9_weak_rules": op9_weak_rules,
+    "op10_byte_cnn": op10_byte_cnn,
     "pipeline": pipeline,
 }
 ORACLE: dict[str, str] = {}
