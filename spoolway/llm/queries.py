@@ -96,7 +96,7 @@ def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    found = weakrules.scored(docs, store=lambda df: stored(df.drop("text"), "votes"))
+    found = weakrules.scored(docs, drop=("text",))
     counts = [F.col(f"stats.{c}") for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
     return found.select("doc_id", *counts, weakrules.base_failed().alias("base_failed"), "kept", "quality", "votes")
 
