@@ -171,9 +171,9 @@ ORACLE: dict[str, str] = {
     "at_most_once": _events(f"{_RECORDS} topic"),
     "read_committed_scan": _events(
         """select 'audit' as topic, part as "partition",
-          row_number() over (partition by part order by event_type, event_id) - 1 as "offset",
+          row_number() over (partition by part order by event_type not in ('purchase', 'click'), event_id) - 1 as "offset",
           persistence_id as key, props as value_text
-        from ev where event_type in ('purchase', 'view')"""
+        from ev"""
     ),
     "typed_scan": _events("select user_id, event_id, cents, props from journal where event_type <> 'error'"),
     "append_roundtrip": """
@@ -203,9 +203,17 @@ ORACLE: dict[str, str] = {
           coalesce(string_agg(off, ',' order by pos), '') as offsets_csv
         from customer c left join placed p on p.c_custkey = c.c_custkey group by c.c_custkey, c.c_name""",
     "exactly_once": _events("select persistence_id, seq_nr, ticks, tags_csv from journal where value > 50"),
-    "commit_ledger": _events(
+    "two_groups": _events(
+        """select g.group_id, part as "partition", max(off) + 1 as consumed_to,
+          count(case when g.group_id = 'second' or (value > 50 and not is_foreign) then 1 end) as records,
+          count(case when g.group_id = 'second' or (value > 50 and not is_foreign) then 1 end) as offsets,
+          nullif(count(case when g.group_id = 'second' or (value > 50 and not is_foreign) then 1 end) - 1, -1) as last_offset
+        from ev, (select unnest(['first', 'second']) as group_id) g group by g.group_id, part"""
+    ),
+    "commit_ledger": _snapshots(
         f"""select 'billing' as group_id, topic, part as "partition", max(off) + 1 as next_offset
-        from {_RECORD_UNION} group by topic, part"""
+        from (select topic, part, off from {_RECORD_UNION}
+          union all select 'akka-snapshots', part, off from snaplog) t group by topic, part"""
     ),
     "commit_flow": _events(
         f"""select 'billing' as group_id, topic, part as "partition", max(off) + 1 as next_offset
@@ -361,9 +369,9 @@ ORACLE: dict[str, str] = {
     ),
     "json_encode": """
         select event_id,
-          to_json({'eventId': event_id, 'userId': user_id, 'eventType': event_type, 'props': props})::varchar as body
+          to_json({'eventId': event_id, 'user_id': user_id, 'eventType': event_type, 'urlValue': props,
+            'id': case when event_id % 3 > 0 then event_id end})::varchar as body
         from events""",
-    "protobuf_decode": _events("select event_id, cents, props from ev"),
     "derive_schemas": """
         with fields as (
           select distinct concat('Shop.Events.', upper(event_type[1]), event_type[2:]) as manifest,

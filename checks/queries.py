@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +25,6 @@ from spoolway.schema import (
     OPAQUE_TYPE,
     POSITION_KEYS,
     SEQ_NR,
-    SNAPSHOT_TOPIC,
     TAGS,
     WRITER_UUID,
 )
@@ -132,16 +131,17 @@ def at_most_once(spark, sf):
 
 @query
 def read_committed_scan(spark, sf):
-    """Three batches, the second of which never commits."""
+    """Three batches, the second of which never commits; the third brings its rows again."""
     root = fresh_dir(spark, "read-committed")
     rows = W.events(spark, sf).select(
         "event_id", "event_type", "part", F.lit("audit").alias("topic"), F.col("persistence_id").alias("key"),
         F.encode("props", "UTF-8").alias("value"),
     )
     partitioner = F.col("part")
-    append_topic(rows.where("event_type = 'purchase'"), root, 0, ["event_id"], partitioner=partitioner)
+    append_topic(rows.where("event_type in ('purchase', 'click')"), root, 0, ["event_id"], partitioner=partitioner)
     write_batch(place(rows.where("event_type = 'error'"), ["event_id"], partitioner=partitioner), root, 1)
-    append_topic(rows.where("event_type = 'view'"), root, 2, ["event_id"], partitioner=partitioner)
+    later = rows.where("event_type not in ('purchase', 'click')")
+    append_topic(later, root, 2, ["event_id"], partitioner=partitioner)
     return SRC.read_topics(spark, root).select(*RECORD, codec.decode_string(F.col("value")).alias("value_text"))
 
 
@@ -280,10 +280,39 @@ def exactly_once(spark, sf):
     return stored.select("persistence_id", "seq_nr", "ticks", csv())
 
 
+@query
+def two_groups(spark, sf):
+    """Two groups copy the journal to one output, one after the other, under one ledger."""
+    work = fresh_dir(spark, "two-groups")
+    for group, wanted in (("first", F.array_contains("tags", "high")), ("second", F.lit(True))):
+
+        def copies(df: DataFrame, group: str = group, wanted: Column = wanted) -> DataFrame:
+            return df.where(wanted).select(
+                F.lit(group).alias("topic"), "key", "value", "headers", "timestamp",
+                F.col("partition").alias("source_partition"), F.col("offset").alias("source_offset"),
+            )
+
+        stream = SRC.stream_topics(spark, W.topics_root(spark, sf), Topics([JOURNAL_TOPIC]))
+        control.wait(
+            delivery.exactly_once(
+                stream, f"{work}/out", group, copies, ["source_partition", "source_offset"], f"{work}/{group}",
+                partitioner=F.col("source_partition"),
+            )
+        )
+    written = SRC.read_topics(spark, f"{work}/out").groupBy(*POSITION_KEYS).agg(
+        F.count(F.lit(1)).alias("records"), F.countDistinct("offset").alias("offsets"), F.max("offset").alias("last_offset")
+    )
+    consumed = delivery.group_positions(spark, f"{work}/out").where(F.col("topic") == JOURNAL_TOPIC)
+    consumed = consumed.select(F.col("group_id").alias("topic"), "partition", F.col("next_offset").alias("consumed_to"))
+    return consumed.join(written, POSITION_KEYS, "left").select(
+        F.col("topic").alias("group_id"), "partition", "consumed_to",
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("records", "offsets")], "last_offset",
+    )
+
+
 @query
 def commit_ledger(spark, sf):
-    topics = SRC.read_topics(spark, W.topics_root(spark, sf))
-    return C.commit_ledger(SRC.committable(topics.where(F.col("topic") != SNAPSHOT_TOPIC), GROUP))
+    return C.commit_ledger(SRC.committable(SRC.read_topics(spark, W.topics_root(spark, sf)), GROUP))
 
 
 @query
@@ -734,43 +763,12 @@ def json_decode(spark, sf):
 @query
 def json_encode(spark, sf):
     text = payload.encode_json(
-        {"EventId": F.col("event_id"), "user_id": F.col("user_id"), "EventType": F.col("event_type"), "props": F.col("props")}
+        {"EventId": F.col("event_id"), "user_id": F.col("user_id"), "EventType": F.col("event_type"), "URLValue": F.col("props"),
+         "ID": F.when(F.col("event_id") % 3 > 0, F.col("event_id"))}
     )
     return W.events(spark, sf).select("event_id", text.alias("body"))
 
 
-def protobuf_schema() -> str:
-    """A one-message file: ``shop.Event { int64 event_id = 1; int64 cents = 2; string props = 3; }``."""
-    from google.protobuf import descriptor_pb2
-
-    kinds = descriptor_pb2.FieldDescriptorProto
-    file = descriptor_pb2.FileDescriptorProto(name="shop.proto", package="shop", syntax="proto3")
-    message = file.message_type.add(name="Event")
-    for number, (name, kind) in enumerate(
-        [("event_id", kinds.TYPE_INT64), ("cents", kinds.TYPE_INT64), ("props", kinds.TYPE_STRING)], start=1
-    ):
-        message.field.add(name=name, number=number, type=kind, label=kinds.LABEL_OPTIONAL)
-    return payload.schema_reference(file.SerializeToString())
-
-
-def protobuf_decode(spark, sf):
-    reference = protobuf_schema()
-    plain = W.events(spark, sf).select("event_id", "cents", "props")
-    encoded = payload.encode_protobuf(plain, reference, "shop.Event", ["event_id", "cents", "props"])
-    framed = encoded.select(codec.frame(F.lit(9), F.col("payload")).alias("value"))
-    fields = T.StructType.fromDDL("event_id bigint, cents bigint, props string")
-    bare = framed.select(codec.frame_payload(F.col("value")).alias("payload"))
-    return payload.decode_protobuf(bare, reference, "shop.Event", fields).drop("payload")
-
-
-try:
-    import google.protobuf  # noqa: F401
-
-    query(protobuf_decode)
-except ImportError:
-    pass
-
-
 @query
 def derive_schemas(spark, sf):
     payloads = W.events(spark, sf).select(

@@ -1,6 +1,7 @@
 """Payload codecs: JSON in the JVM, protobuf by Arrow batches."""
 
 import base64
+import string
 from collections.abc import Iterator, Mapping
 
 import pandas as pd
@@ -21,14 +22,20 @@ JSON_KINDS = {
 
 
 def camel_case(name: str) -> str:
-    """``EventId`` and ``event_id`` become ``eventId``."""
-    head, *rest = name.split("_")
-    return head[:1].lower() + head[1:] + "".join(part[:1].upper() + part[1:] for part in rest)
+    """``EventId`` becomes ``eventId``, ``URLValue`` ``urlValue``, ``ID`` ``id``; ``event_id`` stays.
+
+    The capitals at the front are lowered, but not the last of several with a word after it.
+    """
+    capitals = len(name) - len(name.lstrip(string.ascii_uppercase))
+    if 1 < capitals < len(name):
+        capitals -= 1
+    return name[:capitals].lower() + name[capitals:]
 
 
 def encode_json(fields: Mapping[str, Column]) -> Column:
-    """Compact JSON text of the given fields, with names in camel case."""
-    return F.to_json(F.struct(*[column.alias(camel_case(name)) for name, column in fields.items()]))
+    """Compact JSON text of the given fields, with names in camel case; nulls are written."""
+    named = F.struct(*[column.alias(camel_case(name)) for name, column in fields.items()])
+    return F.to_json(named, {"ignoreNullFields": "false"})
 
 
 def json_text(value: Column) -> Column:
@@ -73,8 +80,11 @@ def decode_protobuf(df: DataFrame, reference: str, message: str, schema: T.Struc
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parser = _message_class(reference, message)
         for batch in batches:
-            messages = [parser.FromString(bytes(data)) for data in batch[column]]
-            yield batch.assign(**{name: [getattr(m, name) for m in messages] for name in names})
+            messages = [None if data is None else parser.FromString(bytes(data)) for data in batch[column]]
+            # as objects: a null payload gives null fields, and whole numbers stay exact
+            yield batch.assign(
+                **{name: pd.Series([m and getattr(m, name) for m in messages], dtype=object, index=batch.index) for name in names}
+            )
 
     return df.mapInPandas(parse, T.StructType([*df.schema.fields, *schema.fields]))
 

@@ -4,11 +4,13 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from spoolway.operators.skew import ROWS_PER_TASK, hot_groups
+from spoolway.operators.skew import ROWS_PER_TASK
 
 State = dict[str, Any]
 Step = Callable[[State, pd.DataFrame], State]
@@ -23,42 +25,61 @@ def fold_state(journal: DataFrame, **state: Column) -> DataFrame:
 
 
 def fold_events(
-    journal: DataFrame, initial: State, step: Step, merge: Merge, schema: T.StructType, rows_per_task: int = ROWS_PER_TASK
+    journal: DataFrame,
+    zero: State,
+    step: Step,
+    merge: Merge,
+    schema: T.StructType,
+    rows_per_task: int = ROWS_PER_TASK,
+    initial: State | None = None,
 ) -> DataFrame:
     """Fold by user code, in offset order.
 
-    ``step`` takes a state and the next events of one id as a frame. The events of
-    an id with more than ``rows_per_task`` rows are folded in stretches of offsets,
-    each from ``initial``; ``merge`` joins two neighbouring states. Tasks hold one
-    Arrow batch and one state at a time.
+    ``step`` takes a state and the next events of one id as a frame. Every id is folded
+    in stretches of ``rows_per_task`` offsets, each from ``zero``, and ``merge`` joins
+    neighbouring states; ``zero`` must be neutral for it. ``initial`` is the state an id
+    starts with, merged in once at the front. So the result does not depend on how many
+    events an id has. Tasks hold one Arrow batch and one state at a time.
     """
-    hot = [row["persistence_id"] for row in hot_groups(journal, ["persistence_id"], limit=rows_per_task)]
-    stretch = F.call_function("div", F.col("offset"), F.lit(rows_per_task))
-    cut = F.when(F.col("persistence_id").isin(hot), stretch).otherwise(F.lit(0).cast("bigint"))
     keys = ["persistence_id", "_stretch"]
     states = (
-        journal.withColumn("_stretch", cut)
+        journal.withColumn("_stretch", F.call_function("div", F.col("offset"), F.lit(rows_per_task)))
         .repartition(*keys)
         .sortWithinPartitions(*keys, "offset")
-        .mapInPandas(_folder(keys, initial, step, schema.names), _states_of(schema, keys[1:]))
+        .mapInPandas(_folder(keys, zero, step, schema.names), _states_of(schema, keys[1:]))
     )
-    # one state per stretch is left of a hot id
-    return merge_states(states, "_stretch", initial, merge, schema) if hot else states.drop("_stretch")
+    return merge_states(states, "_stretch", zero if initial is None else initial, merge, schema)
 
 
 def merge_states(states: DataFrame, position: str, initial: State, merge: Merge, schema: T.StructType) -> DataFrame:
-    """One state per id out of partial ones, joined in the order of ``position``."""
+    """One state per id out of partial ones, joined to ``initial`` in the order of ``position``.
+
+    States stay Arrow values and Python objects, so nulls leave whole numbers exact.
+    """
     names = schema.names
+    result = _states_of(schema)
 
-    def join_all(state: State, rows: pd.DataFrame) -> State:
-        for row in rows[names].to_dict("records"):
-            state = merge(state, row)
-        return state
+    def join_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = to_arrow_schema(result)
+        current, state, done, begun = None, None, [], False
+        for batch in batches:
+            for row in batch.to_pylist():
+                if not begun or row["persistence_id"] != current:
+                    if begun:
+                        done.append({"persistence_id": current} | {name: state[name] for name in names})
+                    current, state, begun = row["persistence_id"], dict(initial), True
+                state = merge(state, {name: row[name] for name in names})
+            if len(done) >= STATES_PER_FRAME:
+                yield pa.RecordBatch.from_pylist(done, kind)
+                done = []
+        if begun:
+            done.append({"persistence_id": current} | {name: state[name] for name in names})
+        yield pa.RecordBatch.from_pylist(done, kind)
 
     return (
         states.repartition("persistence_id")
         .sortWithinPartitions("persistence_id", position)
-        .mapInPandas(_folder(["persistence_id"], initial, join_all, names), _states_of(schema))
+        .mapInArrow(join_all, result)
     )
 
 
@@ -67,7 +88,7 @@ def _states_of(schema: T.StructType, more_keys: list[str] | None = None) -> T.St
     return T.StructType([*keys, *[T.StructField(name, T.LongType()) for name in more_keys or []], *schema.fields])
 
 
-def _folder(keys: list[str], initial: State, step: Step, names: list[str]) -> Callable:
+def _folder(keys: list[str], zero: State, step: Step, names: list[str]) -> Callable:
     """A fold over sorted batches: a group may go on from one batch into the next."""
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -77,13 +98,14 @@ def _folder(keys: list[str], initial: State, step: Step, names: list[str]) -> Ca
                 if key != current:
                     if current is not None:
                         done.append((*current, *[state[name] for name in names]))
-                    current, state = key, dict(initial)
+                    current, state = key, dict(zero)
                 state = step(state, rows)
             if len(done) >= STATES_PER_FRAME:
-                yield pd.DataFrame(done, columns=[*keys, *names])
+                yield pd.DataFrame(done, columns=[*keys, *names], dtype=object)
                 done = []
         if current is not None:
             done.append((*current, *[state[name] for name in names]))
-        yield pd.DataFrame(done, columns=[*keys, *names])
+        # as objects, so that a null does not turn whole numbers into floats
+        yield pd.DataFrame(done, columns=[*keys, *names], dtype=object)
 
     return fold

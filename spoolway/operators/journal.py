@@ -46,9 +46,11 @@ def validate(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     checked = events.withColumn("reason", reason)
     failed = checked.where(F.col("reason").isNotNull()).select("atomic_id").distinct().withColumn("_failed", F.lit(True))
+    # a null atomic id matches nothing here: such an event is a write of its own
     judged = skew_join(checked, failed, ["atomic_id"], "left")
-    accepted = judged.where(F.col("_failed").isNull()).drop("_failed", "reason")
-    rejected = judged.where(F.col("_failed")).drop("_failed")
+    fails = F.col("_failed").isNotNull() | F.col("reason").isNotNull()
+    accepted = judged.where(~fails).drop("_failed", "reason")
+    rejected = judged.where(fails).drop("_failed")
     return accepted, rejected.withColumn("reason", F.coalesce("reason", F.lit("atomic write rejected")))
 
 
@@ -118,9 +120,10 @@ def journal_index(journal: DataFrame, marks: DataFrame | None = None) -> DataFra
 
     Reads neither headers nor payloads.
     """
-    # by id and tag list first: after it only an id's distinct tag lists are left
+    # by id and tag first: after it only an id's distinct tags are left
     index = (
-        journal.groupBy("persistence_id", "tags")
+        journal.withColumn("tag", F.explode_outer("tags"))
+        .groupBy("persistence_id", "tag")
         .agg(
             F.max("seq_nr").alias("highest_seq_nr"),
             F.min("partition").alias("partition"),
@@ -135,7 +138,7 @@ def journal_index(journal: DataFrame, marks: DataFrame | None = None) -> DataFra
             F.min("first_offset").alias("first_offset"),
             F.max("last_offset").alias("last_offset"),
             F.max("last_updated").alias("last_updated"),
-            _union_of("tags"),
+            F.array_sort(F.collect_set("tag")).alias("tags"),
         )
     )
     deleted = F.lit(0).cast("bigint")

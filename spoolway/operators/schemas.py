@@ -3,12 +3,13 @@
 import json
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spoolway.functions.payload import JSON_KINDS, camel_case
-from spoolway.operators.skew import broadcast_small
+from spoolway.operators.skew import MAX_SMALL_ROWS, skew_join
+from spoolway.scratch import stored
 
 # Fixed value: the dialect named in derived documents.
 JSON_SCHEMA_DIALECT = "http://json-schema.org/draft-07/schema#"
@@ -28,7 +29,9 @@ def resolve_schema(records: DataFrame, schemas: DataFrame) -> DataFrame:
     current = latest_schemas(schemas).select(
         "subject", F.col("id").alias("schema_id"), F.col("type").alias("schema_type")
     )
-    return records.join(broadcast_small(current), "subject", "left")
+    if current.limit(MAX_SMALL_ROWS + 1).count() <= MAX_SMALL_ROWS:
+        return records.join(F.broadcast(current), "subject", "left")
+    return skew_join(records, current, ["subject"], "left")
 
 
 def unresolved(records: DataFrame, schemas: DataFrame) -> DataFrame:
@@ -45,17 +48,36 @@ def register_schemas(wanted: DataFrame, schemas: DataFrame) -> DataFrame:
     new = wanted.distinct().join(schemas.select("subject", "schema"), ["subject", "schema"], "left_anti")
     versions = schemas.groupBy("subject").agg(F.max("version").alias("_version"))
     top = schemas.agg(F.coalesce(F.max("id"), F.lit(0)).alias("top")).head()["top"]
-    rank = F.expr("row_number() over (partition by subject order by schema)")
-    number = F.expr("row_number() over (order by subject, schema)")
-    return new.join(versions, "subject", "left").select(
-        "subject",
-        (F.coalesce("_version", F.lit(0)) + rank).cast("int").alias("version"),
-        (F.lit(top) + number).cast("int").alias("id"),
-        "type",
-        "schema",
+    ranked = _in_order(new, ["subject", "schema"], "_rank")
+    first = ranked.groupBy("subject").agg(F.min("_rank").alias("_first"))
+    return (
+        ranked.join(first, "subject")
+        .join(versions, "subject", "left")
+        .select(
+            "subject",
+            (F.coalesce("_version", F.lit(0)) + F.col("_rank") - F.col("_first") + 1).cast("int").alias("version"),
+            (F.lit(top) + F.col("_rank")).cast("int").alias("id"),
+            "type",
+            "schema",
+        )
     )
 
 
+def _in_order(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """Number all rows from 1 in a total order: by ranges, each numbered on its own, and their offsets."""
+    ranged = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    ranged = stored(ranged, "ranges")
+    offsets, total = [], 0
+    # a row for each range, so for each task of the shuffle
+    for row in ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).orderBy("_range").collect():
+        offsets.append((row["_range"], total))
+        total += row["n"]
+    start = df.sparkSession.createDataFrame(offsets, "_range int, _start bigint")
+    within = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    placed = ranged.withColumn("_within", within).join(F.broadcast(start), "_range")
+    return placed.withColumn(name, F.col("_start") + F.col("_within")).drop("_range", "_start", "_within")
+
+
 def json_kind(variant_type: Column) -> Column:
     """JSON-schema type name for a type name given by ``schema_of_variant``."""
     return (

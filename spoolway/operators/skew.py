@@ -1,6 +1,7 @@
 """Running totals and joins that stay spread out when one group holds a large share of the rows."""
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, Window
@@ -9,8 +10,8 @@ from pyspark.sql import functions as F
 from spoolway.scratch import stored
 
 ROWS_PER_TASK = 4_000_000
-MAX_HOT_GROUPS = 10_000
-MAX_SPLITS = 8
+#: Differences of two longs do not fit in a long.
+WIDE = "decimal(20,0)"
 ROWS_PER_FAN_OUT = 50_000
 MAX_SMALL_ROWS = 100_000
 
@@ -18,11 +19,10 @@ MAX_SMALL_ROWS = 100_000
 def hot_groups(df: DataFrame, by: Sequence[str], order: Sequence[str] = (), limit: int = ROWS_PER_TASK) -> list[Row]:
     """Groups of more than ``limit`` rows, with the bounds of the order columns.
 
-    At most rows/limit groups qualify. Should more than ``MAX_HOT_GROUPS`` do, the
-    smaller ones are left to the plain plan, which is slower for them but exact.
+    At most rows/limit groups qualify, all of which are returned.
     """
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), *_bounds(order))
-    return sizes.where(F.col("rows") > limit).orderBy(F.desc("rows")).limit(MAX_HOT_GROUPS).collect()
+    return sizes.where(F.col("rows") > limit).collect()
 
 
 def _bounds(order: Sequence[str]) -> list[Column]:
@@ -79,17 +79,18 @@ def _running(
     if hot is None:
         hot = hot_groups(df, by, order, limit)
     splits = [split for split in (_split(row, by, order, limit) for row in hot) if split]
-    if not splits or depth == MAX_SPLITS:
+    # a split at least halves a range, so this ends; groups of equal order values have none
+    if not splits:
         window = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({name: F.sum(f"_{name}_in").over(window) for name in names})
 
     keys, slot = [f"_k{depth}_{i}" for i in range(len(by))], f"_slot{depth}"
     key_types = ", ".join(f"{key} {df.schema[column].dataType.simpleString()}" for key, column in zip(keys, by))
-    split_table = df.sparkSession.createDataFrame(splits, f"{key_types}, _pick int, _lo bigint, _width bigint")
+    split_table = df.sparkSession.createDataFrame(splits, f"{key_types}, _pick int, _lo {WIDE}, _width {WIDE}")
     picked = reduce(
-        lambda rest, i: F.when(F.col("_pick") == i, F.col(order[i]).cast("bigint")).otherwise(rest),
+        lambda rest, i: F.when(F.col("_pick") == i, F.col(order[i]).cast(WIDE)).otherwise(rest),
         range(len(order)),
-        F.lit(None).cast("bigint"),
+        F.lit(None).cast(WIDE),
     )
     position = F.coalesce(F.call_function("div", picked - F.col("_lo"), F.col("_width")), F.lit(-1).cast("bigint"))
     slotted = (
@@ -109,7 +110,7 @@ def _running(
         ),
         "slots",
     )
-    again = slots.where(F.col("rows") > limit).orderBy(F.desc("rows")).limit(MAX_HOT_GROUPS).collect()
+    again = slots.where(F.col("rows") > limit).collect()
     before = Window.partitionBy(*by).orderBy(slot).rowsBetween(Window.unboundedPreceding, -1)
     base = slots.select(
         *[F.col(column).alias(key) for column, key in zip(by, keys)],
@@ -130,7 +131,7 @@ def _split(row: Row, by: list[str], order: list[str], limit: int) -> tuple | Non
         lo, hi = row[f"lo_{i}"], row[f"hi_{i}"]
         if lo is not None and hi > lo:
             slots = -(-2 * row["rows"] // limit)
-            return (*[row[column] for column in by], i, int(lo), max(1, -(-(hi - lo + 1) // slots)))
+            return (*[row[column] for column in by], i, Decimal(lo), Decimal(max(1, -(-(hi - lo + 1) // slots))))
     return None
 
 
@@ -149,7 +150,7 @@ def skew_join(
     ``hot`` names those keys if they are known already.
     """
     on = list(on)
-    hot = hot_groups(left, on, limit=limit) if hot is None else hot[:MAX_HOT_GROUPS]
+    hot = hot_groups(left, on, limit=limit) if hot is None else hot
     if not hot:
         return left.join(right, on, how)
     keys = [f"_hot_{i}" for i in range(len(on))]

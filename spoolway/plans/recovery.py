@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spoolway.operators.journal import deleted_to
-from spoolway.operators.skew import MAX_HOT_GROUPS, ROWS_PER_TASK, skew_join
+from spoolway.operators.skew import ROWS_PER_TASK, skew_join
 
 
 def recovery_tail(
@@ -24,8 +24,8 @@ def recovery_tail(
             deleted_to(marks).select("persistence_id", F.col("deleted_to_seq_nr").alias("_after"))
         )
     start = start.groupBy("persistence_id").agg(F.max("_after").alias("_after"))
-    hot = index.where(F.col("highest_seq_nr") > rows_per_task).orderBy(F.desc("highest_seq_nr"))
-    hot_ids = hot.select("persistence_id").limit(MAX_HOT_GROUPS).collect()
+    hot = index.where(F.col("highest_seq_nr") > rows_per_task)
+    hot_ids = hot.select("persistence_id").collect()
     joined = skew_join(journal, start, ["persistence_id"], "left", hot=hot_ids)
     return joined.where(F.col("seq_nr") > F.coalesce("_after", F.lit(0))).drop("_after")
 

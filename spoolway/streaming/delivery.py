@@ -1,5 +1,6 @@
 """Consume, process and commit, with the three delivery promises."""
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +27,18 @@ def consumed_rows(df: DataFrame, group_id: str) -> DataFrame:
     )
 
 
+def table_batch(spark: SparkSession, group_id: str, batch: int) -> int:
+    """The number under which a group's running query writes its micro-batch.
+
+    Made of the group and the query's id, which a checkpoint keeps over restarts, so
+    groups and queries that share a root neither skip nor replace each other's batches,
+    and a repeated micro-batch has its number again.
+    """
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+    digest = hashlib.blake2b(f"{group_id}/{query}".encode(), digest_size=8).digest()
+    return (int.from_bytes(digest, "big") >> 33 << 32) + batch
+
+
 def is_committed(spark: SparkSession, root: str, batch: int) -> bool:
     return not batch_commits(spark, root, batch).isEmpty()
 
@@ -54,18 +67,19 @@ def exactly_once(
 ) -> StreamingQuery:
     """Consume, transform and produce; output and consumed offsets are committed by one write.
 
-    Until its commit rows exist a batch is invisible, and writing it again replaces
-    it with the same offsets.
+    Until its commit rows exist a batch is invisible, and writing it again replaces it.
+    Several groups may use one root, one after the other.
     """
 
     def process(df: DataFrame, batch: int) -> None:
         spark = df.sparkSession
-        if is_committed(spark, root, batch):
+        number = table_batch(spark, group_id, batch)
+        if is_committed(spark, root, number):
             return
-        base = next_offsets(spark, root, before_batch=batch)
-        placed = place(transform(df), order, partitions, partitioner, base)
-        produced = write_batch(placed, root, batch)
-        commit_batch(produced.unionByName(consumed_rows(df, group_id)), root, batch)
+        # it is not committed, so the others are all there is
+        placed = place(transform(df), order, partitions, partitioner, next_offsets(spark, root))
+        produced = write_batch(placed, root, number)
+        commit_batch(produced.unionByName(consumed_rows(df, group_id)), root, number)
 
     return _start(stream, process, checkpoint, every)
 
@@ -81,9 +95,10 @@ def at_most_once(
     """Commit first, process second; a batch that failed in between is not tried again."""
 
     def commit_then_process(df: DataFrame, batch: int) -> None:
-        if is_committed(df.sparkSession, root, batch):
+        number = table_batch(df.sparkSession, group_id, batch)
+        if is_committed(df.sparkSession, root, number):
             return
-        commit_batch(consumed_rows(df, group_id), root, batch)
+        commit_batch(consumed_rows(df, group_id), root, number)
         process(df, batch)
 
     return _start(stream, commit_then_process, checkpoint, every)
@@ -101,7 +116,7 @@ def commit_flow(
 
     def process_then_commit(df: DataFrame, batch: int) -> None:
         process(df, batch)
-        commit_batch(consumed_rows(df, group_id), root, batch)
+        commit_batch(consumed_rows(df, group_id), root, table_batch(df.sparkSession, group_id, batch))
 
     return _start(stream, process_then_commit, checkpoint, every)
 

@@ -18,7 +18,7 @@ def maintain_fold(
     path: str,
     checkpoint: str,
     prepare: Callable[[DataFrame], DataFrame],
-    initial: State,
+    zero: State,
     step: Step,
     merge: Merge,
     schema: T.StructType,
@@ -30,17 +30,18 @@ def maintain_fold(
 
     Later batches hold later offsets, so the partial states join in batch order. A
     repeated micro-batch replaces its own. ``prepare`` picks the journal columns
-    that ``step`` needs, next to ``persistence_id`` and ``offset``.
+    that ``step`` needs, next to ``persistence_id`` and ``offset``. ``zero`` is neutral for
+    ``merge``; a state to start from is given to ``read_fold``.
     """
 
     def write(records: DataFrame, batch: int) -> None:
-        folded = fold_events(prepare(decode_journal(records)), initial, step, merge, schema)
+        folded = fold_events(prepare(decode_journal(records)), zero, step, merge, schema)
         folded.write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
     return for_each_committed(spark, root, write, checkpoint, subscription, batches_per_trigger, every)
 
 
 def read_fold(spark: SparkSession, path: str, initial: State, merge: Merge, schema: T.StructType) -> DataFrame:
-    """The states reached so far."""
+    """The states reached so far, each from ``initial``."""
     fields = [T.StructField("persistence_id", T.StringType()), *schema.fields, T.StructField("batch", T.LongType())]
     return merge_states(spark.read.schema(T.StructType(fields)).parquet(path), "batch", initial, merge, schema)

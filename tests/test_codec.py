@@ -120,7 +120,9 @@ def test_names(spark):
 
 
 def test_camel_case():
-    assert [payload.camel_case(n) for n in ("EventId", "event_id", "id", "someURL")] == ["eventId", "eventId", "id", "someURL"]
+    assert [payload.camel_case(n) for n in ("EventId", "event_id", "id", "someURL", "URLValue", "ID", "")] == [
+        "eventId", "event_id", "id", "someURL", "urlValue", "id", ""
+    ]
 
 
 def test_codecs_stay_in_the_jvm(spark):

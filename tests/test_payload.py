@@ -12,7 +12,9 @@ from spoolway.operators import schemas as R
 def test_json_encode_is_compact_and_camel_case(spark):
     df = spark.createDataFrame([(1, "x")], "EventId int, user_name string")
     text = df.select(payload.encode_json({"EventId": F.col("EventId"), "user_name": F.col("user_name")})).head()[0]
-    assert text == '{"eventId":1,"userName":"x"}'
+    assert text == '{"eventId":1,"user_name":"x"}'
+    nulls = df.select(payload.encode_json({"URLValue": F.lit(None).cast("string"), "ID": F.col("EventId")})).head()[0]
+    assert nulls == '{"urlValue":null,"id":1}'
 
 
 def test_json_decode_with_and_without_a_type(spark):
@@ -41,9 +43,22 @@ def test_one_journal_may_hold_json_protobuf_and_opaque_records(spark):
     assert {r.serializer_id for r in got} == {-3} and {r.writer_uuid for r in got} == {"w"}
 
 
+def protobuf_schema() -> str:
+    """A one-message file: ``shop.Event { int64 event_id = 1; int64 cents = 2; string props = 3; }``."""
+    from google.protobuf import descriptor_pb2
+
+    kinds = descriptor_pb2.FieldDescriptorProto
+    file = descriptor_pb2.FileDescriptorProto(name="shop.proto", package="shop", syntax="proto3")
+    message = file.message_type.add(name="Event")
+    for number, (name, kind) in enumerate(
+        [("event_id", kinds.TYPE_INT64), ("cents", kinds.TYPE_INT64), ("props", kinds.TYPE_STRING)], start=1
+    ):
+        message.field.add(name=name, number=number, type=kind, label=kinds.LABEL_OPTIONAL)
+    return payload.schema_reference(file.SerializeToString())
+
+
 def test_protobuf_round_trip(spark):
     pytest.importorskip("google.protobuf")
-    from checks.queries import protobuf_schema
 
     fields = T.StructType.fromDDL("event_id bigint, cents bigint, props string")
     rows = [(1, -5, "x"), (2**62, 0, "\U0001f600" * 100), (3, None, None)]

@@ -52,3 +52,12 @@ def test_only_small_sides_are_marked_for_broadcast(spark):
     plan = lambda df: df._jdf.queryExecution().analyzed().toString()
     assert "broadcast" in plan(broadcast_small(spark.range(10), 10))
     assert "broadcast" not in plan(broadcast_small(spark.range(11), 10))
+
+
+@pytest.mark.parametrize("limit", [10_000, 10])
+def test_order_values_at_both_ends_of_a_long(spark, limit):
+    ends = [-(2**63), -(2**62), -12, 0, 7, 2**62, 2**63 - 1]
+    rows = [("g", x, i) for x in ends for i in range(9)]
+    df = spark.createDataFrame(rows, "g string, a bigint, b bigint")
+    got = {(r.a, r.b): r.n for r in numbered(df, ["g"], ["a", "b"], "n", limit).collect()}
+    assert got == {(a, b): i + 1 for i, (_, a, b) in enumerate(sorted(rows))}

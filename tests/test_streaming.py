@@ -157,7 +157,7 @@ def test_commit_flow_passes_everything_and_commits_after(spark, root, tmp_path):
     seen, work = [], str(tmp_path / "work")
 
     def process(df, batch):
-        assert not delivery.is_committed(spark, f"{work}/ledger", batch)
+        assert not delivery.is_committed(spark, f"{work}/ledger", delivery.table_batch(spark, "g", batch))
         seen.extend(df.select("offset").collect())
 
     stream = SRC.stream_topics(spark, root, files_per_trigger=4)
@@ -166,6 +166,23 @@ def test_commit_flow_passes_everything_and_commits_after(spark, root, tmp_path):
     assert {r.group_id for r in delivery.group_positions(spark, f"{work}/ledger").collect()} == {"g"}
 
 
+def test_groups_and_new_checkpoints_share_a_root(spark, root, tmp_path):
+    out, batches = str(tmp_path / "out"), []
+    for group, checkpoint in (("a", "1"), ("b", "2"), ("a", "3"), ("a", "1")):
+        stream = SRC.stream_topics(spark, root, files_per_trigger=4)
+        run = delivery.exactly_once(stream, out, group, even_records, ["p", "o"], str(tmp_path / checkpoint), partitions=2)
+        control.wait(run)
+        batches.append(SRC.read_topics(spark, out).count())
+    # the first three have a checkpoint of their own, the last one goes on with the first's
+    assert batches == [90, 180, 270, 270]
+    source = {(r.partition, r.m) for r in SRC.read_topics(spark, root).groupBy("partition").agg((F.max("offset") + 1).alias("m")).collect()}
+    for group in ("a", "b"):
+        ledger = delivery.group_positions(spark, out).where(F.col("group_id") == group)
+        assert {(r.partition, r.next_offset) for r in ledger.collect()} == source
+    produced = SRC.read_topics(spark, out)
+    assert produced.select("topic", "partition", "offset").distinct().count() == 270
+
+
 def test_committed_batches_are_streamed_once(spark, root, tmp_path):
     seen = []
 
