@@ -241,6 +241,16 @@ ORACLE: dict[str, str] = {
           (last_ticks - 621355968000000000) // 10 as last_micros
         from journal_index i join ({_TAGS_OF}) t using (persistence_id) left join deleted using (persistence_id)"""
     ),
+    "index_topic_roundtrip": _events(
+        f"""select 'akka-journal' as topic, persistence_id, highest_seq_nr, "partition", first_offset, last_offset,
+          greatest(coalesce(deleted_to_seq_nr, 0), 0) as deleted_to_seq_nr, tags_csv,
+          (last_ticks - 621355968000000000) // 10 as last_micros
+        from journal_index i join ({_TAGS_OF}) t using (persistence_id) left join deleted using (persistence_id)"""
+    ),
+    "delete_marks_roundtrip": _events(
+        f"""select {_EVENT} from journal left join deleted using (persistence_id)
+        where seq_nr > coalesce(deleted_to_seq_nr, 0)"""
+    ),
     "journal_index_live": _events(
         f"""select i.persistence_id, highest_seq_nr, "partition", first_offset, last_offset, tags_csv
         from journal_index i join ({_TAGS_OF}) t using (persistence_id)"""

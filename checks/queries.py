@@ -407,6 +407,33 @@ def journal_index_live(spark, sf):
     )
 
 
+def _index_topic(spark, sf) -> DataFrame:
+    """The index topic: every entry, then those of the deleted ids again with their marks."""
+    root = fresh_dir(spark, "index-topic")
+    index = J.journal_index(W.journal(spark, sf))
+    for batch, entries in enumerate((index, J.mark_deleted(index, W.marks(spark, sf)))):
+        records = J.encode_index(entries).withColumn("order", F.xxhash64("topic", "key"))
+        append_topic(records, root, batch, ["order"])
+    return SRC.read_topics(spark, root)
+
+
+@query
+def index_topic_roundtrip(spark, sf):
+    index = J.decode_index(J.compact_latest(_index_topic(spark, sf)))
+    return index.select(
+        "topic", "persistence_id", "highest_seq_nr", "partition", "first_offset", "last_offset", "deleted_to_seq_nr", csv(),
+        F.unix_micros("last_updated").alias("last_micros"),
+    )
+
+
+@query
+def delete_marks_roundtrip(spark, sf):
+    """Events left by the marks as they stand in the index topic."""
+    index = J.decode_index(J.compact_latest(_index_topic(spark, sf)))
+    marks = index.select("persistence_id", F.col("deleted_to_seq_nr").alias("to_seq_nr"))
+    return J.visible_events(W.journal(spark, sf), marks).select("persistence_id", "seq_nr", "partition", "offset")
+
+
 @query
 def compact_latest(spark, sf):
     return J.compact_latest(W.journal_topic(spark, sf)).select("key", "partition", "offset", "seq_nr")

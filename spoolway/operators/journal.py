@@ -1,6 +1,9 @@
 """The event journal: append, decode, index, logical delete, replay and tag tables."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from spoolway.functions import codec, naming
@@ -20,6 +23,23 @@ from spoolway.schema import (
 
 INDEX_FIELDS = ["highest_seq_nr", "partition", "first_offset", "last_offset", "deleted_to_seq_nr", "tags", "last_updated"]
 
+# The names of an index entry's body, and the end of an index topic's name.
+INDEX_NAMES = {
+    "highest_seq_nr": "HighestSequenceNr",
+    "partition": "Partition",
+    "first_offset": "FirstOffset",
+    "last_offset": "LastOffset",
+    "deleted_to_seq_nr": "DeletedToSequenceNr",
+    "tags": "Tags",
+    "last_updated": "LastUpdated",
+}
+INDEX_SUFFIX = "-index"
+INDEX_BODY = (
+    "HighestSequenceNr bigint, Partition int, FirstOffset bigint, LastOffset bigint, "
+    "DeletedToSequenceNr bigint, Tags array<string>, LastUpdated string"
+)
+INDEX_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
 # Event columns that go into a record's key, value and headers.
 ENCODED_FIELDS = [
     "persistence_id",
@@ -116,14 +136,14 @@ def decode_journal(records: DataFrame) -> DataFrame:
 
 
 def journal_index(journal: DataFrame, marks: DataFrame | None = None) -> DataFrame:
-    """One row per persistence id; built by partial aggregates, so hot ids do not gather.
+    """One row per topic and persistence id; built by partial aggregates, so hot ids do not gather.
 
-    Reads neither headers nor payloads.
+    Tenants have journal topics of their own, in which the same id is another entity. Reads neither headers nor payloads.
     """
     # by id and tag first: after it only an id's distinct tags are left
     index = (
         journal.withColumn("tag", F.explode_outer("tags"))
-        .groupBy("persistence_id", "tag")
+        .groupBy("topic", "persistence_id", "tag")
         .agg(
             F.max("seq_nr").alias("highest_seq_nr"),
             F.min("partition").alias("partition"),
@@ -131,7 +151,7 @@ def journal_index(journal: DataFrame, marks: DataFrame | None = None) -> DataFra
             F.max("offset").alias("last_offset"),
             F.max("timestamp").alias("last_updated"),
         )
-        .groupBy("persistence_id")
+        .groupBy("topic", "persistence_id")
         .agg(
             F.max("highest_seq_nr").alias("highest_seq_nr"),
             F.min("partition").alias("partition"),
@@ -145,7 +165,7 @@ def journal_index(journal: DataFrame, marks: DataFrame | None = None) -> DataFra
     if marks is not None:
         index = index.join(deleted_to(marks), "persistence_id", "left")
         deleted = F.coalesce("deleted_to_seq_nr", deleted)
-    return index.withColumn("deleted_to_seq_nr", deleted).select("persistence_id", *INDEX_FIELDS)
+    return index.withColumn("deleted_to_seq_nr", deleted).select("topic", "persistence_id", *INDEX_FIELDS)
 
 
 def _union_of(tags: str) -> Column:
@@ -153,15 +173,44 @@ def _union_of(tags: str) -> Column:
 
 
 def encode_index(index: DataFrame) -> DataFrame:
-    """Index rows as records of the compacted index topic, with a JSON body."""
-    body = F.to_json(F.struct(*INDEX_FIELDS))
-    return index.select(F.col("persistence_id").alias("key"), codec.encode_string(body).alias("value"))
+    """Index rows as records of the compacted index topic beside each journal topic, with a JSON body."""
+    fields = [F.col(name).alias(stored) for name, stored in INDEX_NAMES.items() if name != "last_updated"]
+    updated = F.date_format("last_updated", INDEX_TIME).alias(INDEX_NAMES["last_updated"])
+    body = F.to_json(F.struct(*fields, updated), {"ignoreNullFields": "false"})
+    return index.select(
+        F.concat("topic", F.lit(INDEX_SUFFIX)).alias("topic"),
+        F.col("persistence_id").alias("key"),
+        codec.encode_string(body).alias("value"),
+    )
+
+
+def decode_index(records: DataFrame) -> DataFrame:
+    """Index rows out of records of index topics, latest ones if the records are compacted."""
+    parsed = F.from_json(codec.decode_string(F.col("value")), INDEX_BODY)
+    columns = {name: F.col(f"_entry.{stored}") for name, stored in INDEX_NAMES.items()}
+    columns["last_updated"] = F.to_timestamp(columns["last_updated"], INDEX_TIME)
+    return (
+        records.where(F.col("key").isNotNull() & (F.length("value") > 0))
+        .withColumn("_entry", parsed)
+        .select(
+            F.regexp_replace("topic", f"{INDEX_SUFFIX}$", "").alias("topic"),
+            F.col("key").alias("persistence_id"),
+            *[columns[name].alias(name) for name in INDEX_FIELDS],
+        )
+    )
+
+
+def mark_deleted(index: DataFrame, marks: DataFrame) -> DataFrame:
+    """Index rows to append for delete marks: those of the marked ids, deleted at least as far as before."""
+    wanted = deleted_to(marks).withColumnRenamed("deleted_to_seq_nr", "_to")
+    marked = index.join(wanted, "persistence_id").withColumn("deleted_to_seq_nr", F.greatest("deleted_to_seq_nr", "_to"))
+    return marked.select(*index.columns)
 
 
 def merge_index(entries: DataFrame) -> DataFrame:
     """One row per id out of partial index rows, for instance one per streamed batch."""
     return (
-        entries.groupBy("persistence_id")
+        entries.groupBy("topic", "persistence_id")
         .agg(
             F.max("highest_seq_nr").alias("highest_seq_nr"),
             F.min("partition").alias("partition"),
@@ -171,15 +220,16 @@ def merge_index(entries: DataFrame) -> DataFrame:
             _union_of("tags"),
             F.max("last_updated").alias("last_updated"),
         )
-        .select("persistence_id", *INDEX_FIELDS)
+        .select("topic", "persistence_id", *INDEX_FIELDS)
     )
 
 
 def compact_latest(records: DataFrame) -> DataFrame:
-    """The last record of each key; null keys and empty values are left out, and do not delete."""
+    """The last record of each topic and key; null keys and empty values are left out, and do not delete."""
     kept = records.where(F.col("key").isNotNull() & (F.col("size") > 0))
-    rest = [c for c in records.columns if c != "key"]
-    return kept.groupBy("key").agg(F.max_by(F.struct(*rest), F.col("offset")).alias("_last")).select("key", "_last.*")
+    rest = [c for c in records.columns if c not in ("topic", "key")]
+    last = kept.groupBy("topic", "key").agg(F.max_by(F.struct(*rest), F.col("offset")).alias("_last"))
+    return last.select("topic", "key", "_last.*").select(*records.columns)
 
 
 def lookup_index(index: DataFrame, ids: DataFrame) -> DataFrame:
@@ -188,7 +238,8 @@ def lookup_index(index: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def highest_seq_nr(index: DataFrame, ids: DataFrame) -> DataFrame:
-    found = lookup_index(index.select("persistence_id", "highest_seq_nr"), ids)
+    highest = index.groupBy("persistence_id").agg(F.max("highest_seq_nr").alias("highest_seq_nr"))
+    found = lookup_index(highest, ids)
     return found.withColumn("highest_seq_nr", F.coalesce("highest_seq_nr", F.lit(0).cast("bigint")))
 
 
@@ -203,6 +254,20 @@ def visible_events(journal: DataFrame, marks: DataFrame) -> DataFrame:
     return joined.where(F.col("seq_nr") > F.coalesce("deleted_to_seq_nr", F.lit(0))).drop("deleted_to_seq_nr")
 
 
+def where_indexed(entries: Sequence[Row]) -> Column:
+    """Where the records of these index rows are: topic, partition and offsets of each."""
+    return reduce(
+        Column.__or__,
+        [
+            (F.col("topic") == entry["topic"])
+            & (F.col("partition") == entry["partition"])
+            & F.col("offset").between(entry["first_offset"], entry["last_offset"])
+            for entry in entries
+        ],
+        F.lit(False),
+    )
+
+
 def replay(
     records: DataFrame,
     index: DataFrame,
@@ -211,15 +276,15 @@ def replay(
     to_seq: int = MAX_LONG,
     most: int = MAX_LONG,
 ) -> DataFrame:
-    """Events of one id in offset order; its index row bounds the scan by literals."""
-    entry = index.where(F.col("persistence_id") == persistence_id).head()
-    if entry is None or entry["deleted_to_seq_nr"] >= to_seq:
+    """Events of one id in offset order; its index rows, one per topic, bound the scan by literals."""
+    entries = index.where((F.col("persistence_id") == persistence_id) & (F.col("deleted_to_seq_nr") < to_seq)).collect()
+    if not entries:
         return decode_journal(records.where(F.lit(False)))
+    deleted = min(entry["deleted_to_seq_nr"] for entry in entries)
     events = records.where(
-        (F.col("partition") == entry["partition"])
-        & F.col("offset").between(entry["first_offset"], entry["last_offset"])
+        where_indexed(entries)
         & (F.col("key") == persistence_id)
-        & F.col("seq_nr").between(max(from_seq, entry["deleted_to_seq_nr"] + 1), to_seq)
+        & F.col("seq_nr").between(max(from_seq, deleted + 1), to_seq)
     )
     ordered = decode_journal(events).orderBy("offset")
     # the limit is the caller's own count of events
@@ -230,7 +295,8 @@ def bulk_replay(
     journal: DataFrame, index: DataFrame, requests: DataFrame, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Replay every id of ``requests(persistence_id, from_seq, to_seq, most)`` at once."""
-    bounds = requests.join(index.select("persistence_id", "deleted_to_seq_nr"), "persistence_id").select(
+    known = index.groupBy("persistence_id").agg(F.max("deleted_to_seq_nr").alias("deleted_to_seq_nr"))
+    bounds = requests.join(known, "persistence_id").select(
         "persistence_id",
         F.greatest(F.col("from_seq"), F.col("deleted_to_seq_nr") + 1).alias("_from"),
         F.col("to_seq").alias("_to"),

@@ -7,7 +7,7 @@ columns first, so that the filters reach the scan, and decode what is left.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spoolway.operators.journal import decode_journal, visible_events
+from spoolway.operators.journal import decode_journal, visible_events, where_indexed
 from spoolway.schema import MAX_LONG
 from spoolway.sources.topics import from_positions
 
@@ -37,14 +37,12 @@ def events_by_id(
 ) -> DataFrame:
     """Events of one id by sequence number.
 
-    With ``index`` only the id's partition is read. Deleted events are included
+    With ``index`` only the id's partition and range of offsets in each topic are read. Deleted events are included
     unless ``hide_deleted`` gives the delete marks.
     """
-    partition = None
     if index is not None:
-        entry = index.where(F.col("persistence_id") == persistence_id).select("partition").head()
-        partition = -1 if entry is None else entry["partition"]
-    events = select_by_id(records, persistence_id, from_seq, to_seq, partition)
+        records = records.where(where_indexed(index.where(F.col("persistence_id") == persistence_id).collect()))
+    events = select_by_id(records, persistence_id, from_seq, to_seq)
     if hide_deleted is not None:
         events = visible_events(events, hide_deleted.where(F.col("persistence_id") == persistence_id))
     return events.orderBy("seq_nr", "offset")

@@ -133,6 +133,7 @@ def test_replay_reads_one_partition(spark, store):
 def test_by_id_filters_reach_the_scan(spark, store):
     rows, records = store
     index = J.journal_index(J.decode_journal(records))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     df = R.events_by_id(records, "id1", 2, 9, index=index)
     assert [r.seq_nr for r in df.collect()] == list(range(2, 10))
     plan = df._jdf.queryExecution().executedPlan().toString()
@@ -274,3 +275,17 @@ def test_events_without_an_atomic_id_are_writes_of_their_own(spark):
     assert {r.seq_nr for r in accepted.collect()} == {1, 5}
     reasons = {r.seq_nr: r.reason for r in rejected.collect()}
     assert reasons == {2: "no payload", 3: "atomic write rejected", 4: "no payload"}
+
+
+def test_one_id_in_two_topics_has_two_index_rows(spark, store):
+    rows, records = store
+    other = records.withColumns({"topic": F.lit("acme-akka-journal"), "offset": F.col("offset") + 1000, "partition": F.lit(1)})
+    both = records.unionByName(other)
+    index = J.journal_index(J.decode_journal(both)).cache()
+    assert index.count() == 2 * len({r[1] for r in rows})
+    n = sum(r[1] == "id1" for r in rows)
+    assert J.replay(both, index, "id1").count() == 2 * n
+    assert R.events_by_id(both, "id1", index=index).groupBy("topic").count().where(F.col("count") == n).count() == 2
+    entries = J.encode_index(index)
+    assert {r[0] for r in entries.select("topic").distinct().collect()} == {"akka-journal-index", "acme-akka-journal-index"}
+    assert sorted(map(repr, J.decode_index(entries).collect())) == sorted(map(repr, index.collect()))
