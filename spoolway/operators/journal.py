@@ -227,9 +227,10 @@ def merge_index(entries: DataFrame) -> DataFrame:
 def compact_latest(records: DataFrame) -> DataFrame:
     """The last record of each topic and key; null keys and empty values are left out, and do not delete."""
     kept = records.where(F.col("key").isNotNull() & (F.col("size") > 0))
-    rest = [c for c in records.columns if c not in ("topic", "key")]
-    last = kept.groupBy("topic", "key").agg(F.max_by(F.struct(*rest), F.col("offset")).alias("_last"))
-    return last.select("topic", "key", "_last.*").select(*records.columns)
+    by = [c for c in ("topic", "key") if c in records.columns]
+    rest = [c for c in records.columns if c not in by]
+    last = kept.groupBy(*by).agg(F.max_by(F.struct(*rest), F.col("offset")).alias("_last"))
+    return last.select(*by, "_last.*").select(*records.columns)
 
 
 def lookup_index(index: DataFrame, ids: DataFrame) -> DataFrame:
