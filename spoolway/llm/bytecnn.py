@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spoolway.llm.common import sampled
+
 #: Bytes of a window. Texts are cut into such windows, the last one padded with zeros.
 WINDOW = 256
 WIDTHS, FILTERS = (2, 3, 4), 8
@@ -110,7 +112,7 @@ def _windows(text: bytes):
 
 
 def fit(docs: DataFrame, train_rows: Column, text: str = "text", lang: str = "lang", rows: int = FIT_ROWS) -> Network | None:
-    """Train on one window each of at most ``rows`` labelled texts, chosen by a hash; none without any.
+    """Train on one window each of at most ``rows`` labelled texts, chosen by a hash of the row; none without any.
 
     Every other window is cut shorter, so that short texts are no surprise.
     """
@@ -119,13 +121,13 @@ def fit(docs: DataFrame, train_rows: Column, text: str = "text", lang: str = "la
     key = F.xxhash64(text).bitwiseAND(2**62 - 1)
     length = F.char_length(text)
     at = (F.lit(1) + key % F.greatest(F.lit(1), length - WINDOW + 1)).cast("int")
-    some = (
-        docs.where(F.coalesce(train_rows, F.lit(False)) & F.col(lang).isNotNull() & (length > 0))
-        .select(F.substring(F.col(text), at, F.lit(WINDOW)).alias("part"), F.col(lang).alias("lang"), key.alias("key"))
-        .orderBy("key", "lang")
-        .limit(rows)
-        .collect()
+    usable = docs.where(F.coalesce(train_rows, F.lit(False)) & F.col(lang).isNotNull() & (length > 0)).select(
+        F.substring(F.col(text), at, F.lit(WINDOW)).alias("part"),
+        F.col(lang).alias("lang"),
+        key.alias("key"),
+        F.xxhash64(*docs.columns).alias("row"),
     )
+    some = sampled(usable, rows, ["row", "part"]).collect()
     if not some:
         return None
     langs = sorted({r["lang"] for r in some})

@@ -6,6 +6,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spoolway.llm.common import sampled
 from spoolway.llm.textstats import ratios
 
 #: Labelled rows that the fit looks at, at most, chosen by a hash of the id.
@@ -136,19 +137,11 @@ def fit(stats: DataFrame, labels: DataFrame, id_column: str = "doc_id", label: s
     """
     import numpy as np
 
-    some = (
-        labels.where(F.col(label).isin(0, 1) & F.col(id_column).isNotNull())
-        .select(F.col(id_column).alias("of"), F.col(label).cast("int").alias("y"))
-        .orderBy(F.xxhash64("of"), "of", "y")
-        .limit(rows)
-    )
+    usable = labels.where(F.col(label).isin(0, 1) & F.col(id_column).isNotNull())
+    some = sampled(usable.select(F.col(id_column).alias("of"), F.col(label).cast("int").alias("y")), rows, ["of", "y"])
     features = ratios()
-    found = (
-        stats.join(F.broadcast(some), F.col(id_column) == F.col("of"))
-        .select("of", "y", *[c.alias(n) for n, c in features.items()])
-        .orderBy(F.xxhash64("of"), *("of", "y"), *features)
-        .limit(rows)
-        .toArrow()
-    )
+    met = stats.join(F.broadcast(some), F.col(id_column) == F.col("of"))
+    # more rows than labels only if ids repeat
+    found = sampled(met.select("of", "y", *[c.alias(n) for n, c in features.items()]), rows, ["of", "y", *features]).toArrow()
     columns = {n: found.column(n).to_numpy() for n in features}
     return train(columns, found.column("y").to_numpy())
