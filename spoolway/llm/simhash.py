@@ -130,16 +130,20 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     must be of kinds that can be ordered; equal rows leave one. Columns stay as they are.
     """
     row = docs.select(F.struct("*").alias("row"), F.col(id_column).alias("id"), F.col(text).alias("text"))
-    held = stored(with_fingerprint(row, drop=("text",)), "marked")
-    marked = held.select("id", "fingerprint")
+    marked = stored(with_fingerprint(row.select("id", "text"), drop=("text",)), "fingerprints")
     found = classes(marked, "id").withColumnRenamed("fingerprint", "fp")
     order = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("fingerprint").alias("fp"))
     best = (
-        marked.distinct()
+        marked.groupBy("id", "fingerprint")
+        .agg(F.count(F.lit(1)).alias("rows"))
         .join(found, F.col("fingerprint") == F.col("fp"))
         .groupBy("component_id", "root")
-        .agg(F.min(order).alias("w"))
-        .select(F.col("w.id").alias("best_id"), F.col("w.fp").alias("best_fp"))
+        .agg(F.min(order).alias("w"), F.min_by("rows", order).alias("rows"))
+        .select(F.col("w.id").alias("best_id"), F.col("w.fp").alias("best_fp"), "rows")
     )
-    kept = held.join(best, F.col("id").eqNullSafe(F.col("best_id")) & (F.col("fingerprint") == F.col("best_fp")), "left_semi")
-    return kept.groupBy("id", "fingerprint").agg(F.min("row").alias("row")).select("row.*")
+    same = F.col("id").eqNullSafe(F.col("best_id")) & (F.col("fingerprint") == F.col("best_fp"))
+    # texts are not stored but marked again: one shuffle of whole rows is all
+    kept = with_fingerprint(row, drop=("text",)).join(best, same).select("id", "fingerprint", "row", "rows")
+    alone = kept.where("rows = 1").select("row")
+    repeated = kept.where("rows > 1").groupBy("id", "fingerprint").agg(F.min("row").alias("row")).select("row")
+    return alone.unionByName(repeated).select("row.*")
