@@ -110,6 +110,20 @@ def test_pruned_trie_still_gives_probabilities(docs):
         assert p.sum() == pytest.approx(1, abs=1e-6)
 
 
+def test_rare_contexts_count_in_a_large_corpus(spark):
+    """In millions of training bytes, spellings that occurred once keep their nodes at every order."""
+    many = 1_400_000
+    counts = Counter({b"aaaa": many, b"qzxwvkj": 1, b"": 2})
+    rows = [(1, "aaaa " * many), (1, "qzxwvkj"), (0, "qzxwvkj aaaa qzxwvka bqzx")]
+    docs = spark.createDataFrame(rows, "learn int, text string")
+    held = ppm.with_scores(docs, F.col("learn") == 1).where("row.learn = 0").first()
+    levels = brute_levels(counts)
+    spellings = [x + b" " for x in rows[2][1].encode().split()] + [b"\n"]
+    want = sum(math.log10(brute_byte(levels, s[:i], b)) for s in spellings for i, b in enumerate(s))
+    assert held["score"] == pytest.approx(want, rel=1e-6)
+    assert (held["n_known"], held["train_tokens"]) == (3, sum(counts.values()))
+
+
 def test_few_frequent_tokens_change_nothing(docs, monkeypatch):
     columns = ["row.doc_id", "n_known", F.round("base_score", 6).alias("base")]
     order = lambda rows: sorted(map(tuple, rows), key=str)
