@@ -345,7 +345,7 @@ def drain(spark, sf):
 @query
 def typed_append(spark, sf):
     root = fresh_dir(spark, "typed-append")
-    body = payload.encode_json({"order_key": F.col("o_orderkey"), "status": F.col("o_orderstatus")})
+    body = payload.encode_json({"OrderKey": F.col("o_orderkey"), "status": F.col("o_orderstatus")})
     encoded = SINK.typed_append(
         W.table(spark, sf, "orders").withColumn("topic", F.lit("orders")),
         key=F.col("o_custkey").cast("string"),

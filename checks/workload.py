@@ -65,7 +65,7 @@ def _numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_payload() -> Column:
     """Errors are opaque bytes; the others are JSON behind a registry frame."""
-    body = payload.encode_json({"event_id": F.col("event_id"), "cents": F.col("cents"), "props": F.col("props")})
+    body = payload.encode_json({"EventId": F.col("event_id"), "cents": F.col("cents"), "props": F.col("props")})
     framed = codec.frame(event_schema_id(F.col("event_type")), codec.encode_string(body))
     return F.when(F.col("event_type") == "error", codec.encode_string(F.col("props"))).otherwise(framed)
 
@@ -107,7 +107,7 @@ def conversation_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snapshot_actions(own: DataFrame) -> dict[str, DataFrame]:
     """Saves and deletes that follow from the journal; ``sub`` orders those of one event."""
     round_seq = F.col("seq_nr") - F.col("seq_nr") % 10
-    body = codec.encode_string(payload.encode_json({"event_id": F.col("event_id"), "cents": F.col("cents")}))
+    body = codec.encode_string(payload.encode_json({"EventId": F.col("event_id"), "cents": F.col("cents")}))
     saves = own.where(F.col("seq_nr") % 10 == 0).withColumn("sub", F.lit(0))
     resaves = (
         own.where((F.col("event_type") == "purchase") & (F.col("seq_nr") % 9 == 0) & (F.col("seq_nr") > 10))
