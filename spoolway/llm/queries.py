@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from spoolway.llm import bytecnn, chunks, latent, packing, ppm, ruleensemble, sharding, simhash, textstats, tokencount, weakrules
+from spoolway.llm import bytecnn, chunks, contentsort, latent, packing, ppm, ruleensemble, sharding, simhash, textstats, tokencount, weakrules
 from spoolway.llm.common import remainder, stored, table
 
 
@@ -105,6 +105,11 @@ def op5_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op11_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contentsort.with_groups(documents(spark, sf_dir).select("doc_id", "text"), carry=["doc_id"])
+    return found.select("row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -120,6 +125,15 @@ QUERIES = {
     "op8_ragged_bpe": op8_ragged_bpe,
     "op9_weak_rules": op9_weak_rules,
     "op10_byte_cnn": op10_byte_cnn,
+    "op11_content_sort": op11_content_sort,
     "pipeline": pipeline,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op11_content_sort": r"""
+        with normal as (
+          select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as norm from documents)
+        select doc_id, min(doc_id) over same as keep_id, count(*) over same as group_size,
+          doc_id = min(doc_id) over same as kept, sha256(norm) as text_sha256
+        from normal window same as (partition by norm)
+    """,
+}
