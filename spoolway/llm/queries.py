@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from spoolway.llm import bytecnn, chunks, contentsort, latent, packing, ppm, ruleensemble, sharding, simhash, textstats, tokencount, weakrules
+from spoolway.llm import bytecnn, chunks, contentsort, latent, packing, ppm, prefixtrie, ruleensemble, sharding, simhash, textstats, tokencount, weakrules
 from spoolway.llm.common import remainder, stored, table
 
 
@@ -110,6 +110,13 @@ def op11_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, convs = prefixtrie.rebuilt(prefixtrie.digested(table(spark, sf_dir, "conversations")))
+    return prefixtrie.prefix_trie(turns, convs).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -126,6 +133,7 @@ QUERIES = {
     "op9_weak_rules": op9_weak_rules,
     "op10_byte_cnn": op10_byte_cnn,
     "op11_content_sort": op11_content_sort,
+    "op12_prefix_trie": op12_prefix_trie,
     "pipeline": pipeline,
 }
 ORACLE: dict[str, str] = {
