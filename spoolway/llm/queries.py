@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from spoolway.llm import bytecnn, chunks, contentsort, latent, packing, ppm, prefixtrie, ruleensemble, sharding, simhash, textstats, tokencount, weakrules
+from spoolway.llm import bytecnn, chunks, collocations, contentsort, latent, packing, ppm, prefixtrie, ruleensemble, sharding, simhash, textstats, tokencount, weakrules
 from spoolway.llm.common import remainder, stored, table
 
 
@@ -117,6 +117,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir).select("lang", "text"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -134,6 +138,7 @@ QUERIES = {
     "op10_byte_cnn": op10_byte_cnn,
     "op11_content_sort": op11_content_sort,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_collocations": op13_collocations,
     "pipeline": pipeline,
 }
 ORACLE: dict[str, str] = {
@@ -144,4 +149,40 @@ ORACLE: dict[str, str] = {
           doc_id = min(doc_id) over same as kept, sha256(norm) as text_sha256
         from normal window same as (partition by norm)
     """,
+    "op13_collocations": r"""
+        with pieces as (
+          select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?\x0A-\x0D]')) as piece
+          from documents),
+        split as (
+          select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') as words from pieces),
+        totals as (select lang, sum(len(words))::bigint as n from split group by lang),
+        sizes as (select unnest([1, 2, 3, 4]) as size),
+        grams as (
+          select lang, size, unnest([words[i:i + size - 1] for i in range(1, len(words) - size + 2)]) as phrase
+          from split, sizes where len(words) >= size),
+        counts as (select lang, size, phrase, count(*) as f from grams group by all having count(*) >= 30),
+        candidates as (select lang, size, phrase, f as a from counts where size > 1),
+        cuts as (
+          select c.lang, c.phrase, c.a, k, x.f as l, y.f as r, (2000000::hugeint * c.a) // (x.f + y.f) as score
+          from (select *, unnest(range(1, size)) as k from candidates) c
+          join counts x on x.lang = c.lang and x.phrase = c.phrase[1:k]
+          join counts y on y.lang = c.lang and y.phrase = c.phrase[k + 1:]),
+        best as (
+          select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+        inside as (
+          select lang, phrase[i:j] as phrase, a as longer
+          from (select *, unnest(range(1, size + 1)) as i from candidates), (select unnest([2, 3, 4]) as j)
+          where j <= size and i < j and j - i + 1 < size),
+        kept as (
+          select * from best b where not exists (
+            select 1 from inside w where w.lang = b.lang and w.phrase = b.phrase and 100::hugeint * w.longer >= 80::hugeint * b.a)),
+        ranked as (
+          select *, array_to_string(phrase, ' ') as words, row_number() over (
+            partition by lang order by score desc, a desc, array_to_string(phrase, ' ')) as rank
+          from kept)
+        select lang, rank, words as phrase, a, l, r, n, score::bigint as score
+        from ranked join totals using (lang) where rank <= 2000
+    """,
 }
