@@ -149,6 +149,40 @@ ORACLE: dict[str, str] = {
           doc_id = min(doc_id) over same as kept, sha256(norm) as text_sha256
         from normal window same as (partition by norm)
     """,
+    "op12_prefix_trie": r"""
+        with turns as (
+          select conv_id, turn, {'role': coalesce(role, ''), 'text': coalesce(text, '')} as said
+          from conversations where conv_id is not null),
+        convs as (
+          select conv_id, conv_id::varchar as digits, list(said order by turn nulls first) as own from turns group by conv_id),
+        opened as (
+          select *, conv_id - conv_id % 5 as base,
+            xor(4294967295, list_reduce(list_concat([4294967295::bigint], range(0, 8 * length(digits))), lambda crc, bit:
+              xor((case when bit % 8 = 0 then xor(crc, ascii(digits[bit // 8 + 1])::bigint) else crc end) // 2,
+                  (case when bit % 8 = 0 then xor(crc, ascii(digits[bit // 8 + 1])::bigint) else crc end) % 2 * 3988292384))) % 9 as h
+          from convs),
+        rebuilt as (
+          select c.conv_id, list_concat(coalesce(b.own[1:c.h], []), c.own[c.h + 1:]) as path
+          from opened c left join convs b on b.conv_id = c.base),
+        prefixes as (
+          select conv_id, depth, path[1:depth] as node, depth = len(path) as is_end
+          from (select *, unnest(range(0, len(path) + 1)) as depth from rebuilt)),
+        nodes as (
+          select node, depth, min(conv_id) as conv_id, count(*) as n_convs,
+            (count(*) - 1) * coalesce(strlen(node[depth].text), 0) as saved,
+            sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (is_end), '')) as ends_sha256
+          from prefixes group by node, depth),
+        children as (
+          select node[1:depth - 1] as node, count(*) as n_children from nodes where depth > 0 group by all),
+        marked as (select nodes.*, coalesce(n_children, 0) as n_children from nodes left join children using (node)),
+        sums as (
+          select node[1:above] as node, sum((n_children = 0)::int) as n_leaves, sum(saved) as saved_tokens
+          from (select *, unnest(range(0, depth + 1)) as above from marked) group by all)
+        select m.conv_id, m.depth, p.conv_id as parent_conv_id, m.n_convs, m.n_children, s.n_leaves::bigint as n_leaves,
+          s.saved_tokens::bigint as saved_tokens, m.ends_sha256
+        from marked m join sums s on s.node = m.node
+        left join nodes p on m.depth > 0 and p.node = m.node[1:m.depth - 1]
+    """,
     "op13_collocations": r"""
         with pieces as (
           select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
