@@ -6,7 +6,8 @@ from pyspark.sql import types as T
 
 from spoolway.operators.skew import skew_join
 from spoolway.schema import DEFAULT_PARTITIONS, POSITION_KEYS, TOPIC
-from spoolway.sinks.topics import commit_batch, next_offsets, place, write_batch
+from spoolway.sinks.commitlog import CommitLog
+from spoolway.sinks.topics import append, batch_path
 
 
 def explode_records(envelopes: DataFrame) -> DataFrame:
@@ -20,7 +21,7 @@ def produce(
     envelopes: DataFrame,
     records: DataFrame,
     root: str,
-    batch: int,
+    batch: int | None = None,
     partitions: int = DEFAULT_PARTITIONS,
     partitioner: Column | None = None,
 ) -> DataFrame:
@@ -33,13 +34,14 @@ def produce(
     """
     spark = envelopes.sparkSession
     order = ["envelope_id", "pos"]
-    base = next_offsets(spark, root, before_batch=batch)
-    placed = place(records, order, partitions, partitioner, base)
-    commit_batch(write_batch(placed, root, batch, keep=order), root, batch)
+    number = append(records, root, order, partitions, partitioner, key=batch, keep=order)
+    if number is None:
+        # a retry: the results of the first time
+        number = CommitLog(spark, root).batch_of(batch)
 
     columns = ["envelope_id", "pos", *POSITION_KEYS, "offset"]
-    schema = T.StructType([*TOPIC.fields, *[placed.schema[name] for name in order]])
-    written = spark.read.schema(schema).parquet(f"{root}/log/batch={batch}").select(*columns)
+    schema = T.StructType([*TOPIC.fields, *[records.schema[name] for name in order]])
+    written = spark.read.schema(schema).parquet(batch_path(root, number)).select(*columns)
     produced = skew_join(written, envelopes, ["envelope_id"]).withColumn("kind", F.lit("record"))
     passed = envelopes.join(records.select("envelope_id").distinct(), "envelope_id", "left_anti")
     return produced.unionByName(passed.withColumn("kind", F.lit("pass_through")), allowMissingColumns=True)

@@ -1,56 +1,34 @@
 """Append records to a topic table.
 
-Layout below a root folder: ``log/batch=N/topic=T/partition=P`` holds records and
-``commits/batch=N`` one row per topic partition, written after the records. Readers
-see a batch once its commit rows exist, and writing batch N again replaces it, so a
-repeated attempt leaves the same table. One writer per root is assumed.
+Layout below a root folder: ``log/batch=N/topic=T/partition=P`` holds the records of a
+batch, and ``sinks.commitlog`` tells which batches are committed. Readers see these
+only. A batch that was committed under a key stays as it is: writing it again does nothing.
 """
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from spoolway.functions import codec
 from spoolway.operators.skew import ROWS_PER_TASK, broadcast_small, numbered
 from spoolway.schema import COMMIT, DEFAULT_PARTITIONS, HEADERS, POSITION_KEYS, TOPIC
+from spoolway.sinks.commitlog import BATCHES_PER_TOKEN, CommitLog, Conflict, Head
 
+#: How often an append is planned anew because others committed meanwhile.
+TRIES = 20
 
-def _read_commits(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
 
-
-def commits(spark: SparkSession, root: str) -> DataFrame:
-    """Commit rows of all batches; empty for a table that was never written."""
-    return _read_commits(spark, f"{root}/commits", T.StructType([*COMMIT.fields, T.StructField("batch", T.LongType())]))
-
-
-def batch_commits(spark: SparkSession, root: str, batch: int) -> DataFrame:
-    """Commit rows of one batch; only its folder is listed."""
-    return _read_commits(spark, f"{root}/commits/batch={batch}", COMMIT)
-
-
-def next_offsets(spark: SparkSession, root: str, before_batch: int | None = None) -> DataFrame:
+def next_offsets(spark: SparkSession, root: str) -> DataFrame:
     """Where the next record of each topic partition goes, one row per topic partition."""
-    written = commits(spark, root).where(F.col("kind") == "out")
-    if before_batch is not None:
-        written = written.where(F.col("batch") < before_batch)
-    return written.groupBy(*POSITION_KEYS).agg(F.max("next_offset").alias("next_offset"))
+    log = CommitLog(spark, root)
+    return log.next_offsets(log.head())
 
 
 def edges(spark: SparkSession, root: str) -> DataFrame:
     """First and next offset of each topic partition, from the commit rows alone."""
-    written = commits(spark, root).where(F.col("kind") == "out")
-    return written.groupBy(*POSITION_KEYS).agg(
-        F.min("first_offset").alias("first_offset"), F.max("next_offset").alias("next_offset")
-    )
+    log = CommitLog(spark, root)
+    return log.edges(log.head())
 
 
 def default_partition(key: Column, order: Sequence[str], partitions: int) -> Column:
@@ -88,13 +66,17 @@ def as_topic(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return df.withColumns(codec.promoted()).select(*[F.col(f.name).cast(f.dataType) for f in TOPIC.fields], *keep)
 
 
+def batch_path(root: str, batch: int) -> str:
+    return f"{root}/log/batch={batch}"
+
+
 def write_batch(placed: DataFrame, root: str, batch: int, keep: Sequence[str] = ()) -> DataFrame:
     """Write placed records as one batch and return its commit rows, not yet committed.
 
     Rows come from ``place`` in offset order, so a file spans few offsets and their
     bounds prune. Columns named by ``keep`` are stored too; topic readers skip them.
     """
-    folder = f"{root}/log/batch={batch}"
+    folder = batch_path(root, batch)
     writer = as_topic(placed, keep).write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_TASK)
     writer.partitionBy(*POSITION_KEYS).parquet(folder)
     return (
@@ -110,28 +92,66 @@ def write_batch(placed: DataFrame, root: str, batch: int, keep: Sequence[str] =
     )
 
 
-def commit_batch(rows: DataFrame, root: str, batch: int) -> None:
-    """Make a batch visible; the rows are one per topic partition, hence one file."""
-    rows.select(*COMMIT.names).coalesce(1).write.mode("overwrite").parquet(f"{root}/commits/batch={batch}")
+def commit_batch(
+    rows: DataFrame,
+    root: str,
+    batch: int,
+    at: Head | None = None,
+    group: str | None = None,
+    token: int | None = None,
+    key: int | None = None,
+) -> int:
+    """Make a batch visible, planned on the state ``at`` (the present one by default)."""
+    log = CommitLog(rows.sparkSession, root)
+    return log.commit(rows, batch, at or log.head(), group, token, key)
+
+
+def append(
+    records: DataFrame,
+    root: str,
+    order: Sequence[str],
+    partitions: int = DEFAULT_PARTITIONS,
+    partitioner: Column | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
+    key: int | None = None,
+    keep: Sequence[str] = (),
+) -> int | None:
+    """Append records behind all that is committed; returns the batch, None if ``key`` was committed before.
+
+    If another writer commits first, offsets are given anew, so appends of any number
+    of writers neither overlap nor leave gaps.
+    """
+    log = CommitLog(records.sparkSession, root)
+    batch = None
+    for attempt in range(TRIES):
+        at = log.head()
+        if key is not None and at.has(key):
+            return None
+        batch = log.new_token() * BATCHES_PER_TOKEN if batch is None else batch
+        placed = place(records, order, partitions, partitioner, log.next_offsets(at), rows_per_task)
+        rows = write_batch(placed, root, batch, keep)
+        try:
+            log.commit(rows, batch, at, key=key)
+            return batch
+        except Conflict:
+            if attempt == TRIES - 1:
+                raise
 
 
 def append_topic(
     records: DataFrame,
     root: str,
-    batch: int,
+    batch: int | None,
     order: Sequence[str],
     partitions: int = DEFAULT_PARTITIONS,
     partitioner: Column | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> None:
-    """Append ``topic, key, value[, headers, timestamp]`` rows as batch ``batch``.
+    """Append ``topic, key, value[, headers, timestamp]`` rows, under the key ``batch`` if one is given.
 
-    A batch starts at the offsets left by the batches before it, so a retry of
-    batch N repeats its offsets.
+    A retry under a key that was committed leaves the table as it is.
     """
-    base = next_offsets(records.sparkSession, root, before_batch=batch)
-    placed = place(records, order, partitions, partitioner, base, rows_per_task)
-    commit_batch(write_batch(placed, root, batch), root, batch)
+    append(records, root, order, partitions, partitioner, rows_per_task, batch)
 
 
 def typed_append(records: DataFrame, key: Column | None = None, value: Column | None = None) -> DataFrame:

@@ -1,65 +1,111 @@
 """Read topic tables, in batch and as streams."""
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spoolway import files
 from spoolway.functions import codec
 from spoolway.operators.skew import ROWS_PER_TASK, running_totals, skew_join
 from spoolway.schema import POSITION_KEYS, TOPIC
-from spoolway.sinks.topics import commits
-from spoolway.sources.subscriptions import Assignment, Subscription
+from spoolway.sinks.commitlog import Generation, Head, head, newest_generation, runs_of, without
+from spoolway.sources.committed import CommittedTopics
+from spoolway.sources.subscriptions import Assignment, AssignmentWithOffset, Subscription, Topics
 
 MAX_POSITIONS = 10_000
+#: More batches than these are read from the log as a whole, by a predicate on their numbers.
+MAX_FOLDERS = 256
 STORED = T.StructType([*TOPIC.fields, T.StructField("batch", T.LongType())])
 
 
-def _runs(batches: list[int]) -> list[tuple[int, int]]:
-    """Runs of consecutive batch numbers."""
-    runs: list[tuple[int, int]] = []
-    for batch in sorted(batches):
-        if runs and runs[-1][1] == batch - 1:
-            runs[-1] = (runs[-1][0], batch)
-        else:
-            runs.append((batch, batch))
-    return runs
+def _located(df: DataFrame, located: bool) -> DataFrame:
+    where = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")] if located else []
+    return df.select(*TOPIC.names, *where)
+
+
+def _read_log(spark: SparkSession, root: str, runs: Sequence[tuple[int, int]], located: bool) -> DataFrame | None:
+    """Records of the batches in these runs; up to ``MAX_FOLDERS`` batches only their own folders are listed."""
+    if not runs:
+        return None
+    reader = spark.read.schema(STORED)
+    if sum(last - first + 1 for first, last in runs) <= MAX_FOLDERS:
+        folders = [f"{root}/log/batch={batch}" for first, last in runs for batch in range(first, last + 1)]
+        return _located(reader.option("basePath", f"{root}/log").parquet(*folders), located)
+    visible = reduce(Column.__or__, [F.col("batch").between(*run) for run in runs])
+    return _located(reader.parquet(f"{root}/log").where(visible), located)
+
+
+def read_state(spark: SparkSession, root: str, at: Head, generation: Generation, located: bool = False) -> DataFrame:
+    """All records committed up to a state: those of a generation, and the batches that it does not hold.
+
+    The generation must have been looked up after the state.
+    """
+    parts = [_read_log(spark, root, without(at.runs, generation.runs), located)]
+    if generation.path:
+        # one folder per topic and partition, whatever the number of batches
+        parts.insert(0, _located(spark.read.schema(TOPIC).parquet(generation.path), located))
+    parts = [part for part in parts if part is not None]
+    if not parts:
+        more = T.StructType.fromDDL("file string, row bigint").fields if located else []
+        return spark.createDataFrame([], T.StructType([*TOPIC.fields, *more]))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_topics(
-    spark: SparkSession, root: str, subscription: Subscription | None = None, batches: list[int] | None = None
+    spark: SparkSession,
+    root: str,
+    subscription: Subscription | None = None,
+    batches: list[int] | None = None,
+    located: bool = False,
 ) -> DataFrame:
-    """All committed records of the subscribed topics, or those of the given batches."""
+    """All committed records of the subscribed topics, or those of the given batches.
+
+    ``located`` adds where a record is stored, as ``file`` and ``row``.
+    """
+    root = files.qualified(spark, root)
     if batches is None:
-        batches = [row["batch"] for row in commits(spark, root).select("batch").distinct().collect()]
-    if not batches:
-        return spark.createDataFrame([], TOPIC)
-    visible = F.lit(False)
-    for first, last in _runs(batches):
-        visible = visible | F.col("batch").between(first, last)
-    df = spark.read.schema(STORED).parquet(f"{root}/log").where(visible)
-    if subscription is not None:
-        df = df.where(subscription.predicate())
-    return df.select(*TOPIC.names)
+        at = head(root)
+        df = read_state(spark, root, at, newest_generation(root), located)
+    else:
+        nothing = Head(-1, None, -1, (), tuple(runs_of(batches)), (), 0)
+        df = read_state(spark, root, nothing, Generation(-1, -1, None, ()), located)
+    return df if subscription is None else df.where(subscription.predicate())
 
 
 def stream_topics(
-    spark: SparkSession, root: str, subscription: Subscription | None = None, files_per_trigger: int | None = None
+    spark: SparkSession,
+    root: str,
+    subscription: Subscription | None = None,
+    commits_per_batch: int | None = None,
+    records_per_batch: int | None = None,
+    checkpoint: str | None = None,
 ) -> DataFrame:
-    """Records of the subscribed topics as they arrive; the checkpoint is the position.
+    """Committed records of the subscribed topics as commits arrive, in their order.
 
-    A file stream does not consult the commit rows, so it is for tables whose batches
-    are written once. A limit on files may split a batch in any order; where the order
-    of offsets counts, ``streaming.delivery.for_each_committed`` follows the commits.
+    A micro-batch takes all commits there are, or closes once it has so many commits or
+    records; then ``checkpoint`` has to name the query's checkpoint folder, next to which the
+    reader notes its position, and a trigger has to go on (``availableNow`` takes one batch).
     """
-    reader = spark.readStream.schema(STORED)
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    df = reader.parquet(f"{root}/log")
-    if subscription is not None:
-        df = df.where(subscription.predicate())
-    return df.select(*TOPIC.names)
+    options = {"root": files.qualified(spark, root)}
+    if isinstance(subscription, Topics):
+        options["topics"] = json.dumps(list(subscription.names))
+    elif isinstance(subscription, Assignment):
+        options["pairs"] = json.dumps([list(pair) for pair in subscription.pairs])
+    elif isinstance(subscription, AssignmentWithOffset):
+        options["pairs"] = json.dumps([[t, p] for t, p, _ in subscription.triples])
+    if commits_per_batch or records_per_batch:
+        if checkpoint is None:
+            raise ValueError("a limited stream needs its query's checkpoint folder")
+        limits = {"commits": commits_per_batch, "records": records_per_batch}
+        options |= {name: str(limit) for name, limit in limits.items() if limit}
+        options["progress"] = files.qualified(spark, f"{checkpoint.rstrip('/')}-admitted.json")
+    spark.dataSource.register(CommittedTopics)
+    df = spark.readStream.format(CommittedTopics.name()).options(**options).load()
+    return df if subscription is None else df.where(subscription.predicate())
 
 
 def from_kafka(df: DataFrame) -> DataFrame:

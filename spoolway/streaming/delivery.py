@@ -1,15 +1,17 @@
 """Consume, process and commit, with the three delivery promises."""
 
-import hashlib
+import itertools
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from spoolway import files
+from spoolway.operators.skew import broadcast_small
 from spoolway.schema import COMMIT, COMMIT_INTERVAL, DEFAULT_PARTITIONS, POSITION_KEYS
-from spoolway.sinks.topics import batch_commits, commit_batch, commits, next_offsets, place, write_batch
+from spoolway.sinks.commitlog import BATCHES_PER_TOKEN, LINE, CommitLog, Conflict
+from spoolway.sinks.topics import TRIES, commit_batch, place, write_batch
 from spoolway.sources.subscriptions import Subscription
 from spoolway.sources.topics import read_topics
 
@@ -27,26 +29,17 @@ def consumed_rows(df: DataFrame, group_id: str) -> DataFrame:
     )
 
 
-def table_batch(spark: SparkSession, group_id: str, batch: int) -> int:
-    """The number under which a group's running query writes its micro-batch.
-
-    Made of the group and the query's id, which a checkpoint keeps over restarts, so
-    groups and queries that share a root neither skip nor replace each other's batches,
-    and a repeated micro-batch has its number again.
-    """
-    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
-    digest = hashlib.blake2b(f"{group_id}/{query}".encode(), digest_size=8).digest()
-    return (int.from_bytes(digest, "big") >> 33 << 32) + batch
-
-
-def is_committed(spark: SparkSession, root: str, batch: int) -> bool:
-    return not batch_commits(spark, root, batch).isEmpty()
-
-
 def group_positions(spark: SparkSession, root: str) -> DataFrame:
     """The ledger: each group's next offset in each topic partition."""
-    consumed = commits(spark, root).where(F.col("kind") == "in")
-    return consumed.groupBy("group_id", *POSITION_KEYS).agg(F.max("next_offset").alias("next_offset"))
+    log = CommitLog(spark, root)
+    return log.positions(log.head())
+
+
+def unread(df: DataFrame, positions: DataFrame, group_id: str) -> DataFrame:
+    """Records that the group has not committed yet, whichever query or checkpoint read them."""
+    own = positions.where(F.col("group_id") == group_id).select(*POSITION_KEYS, F.col("next_offset").alias("_next"))
+    joined = df.join(broadcast_small(own), POSITION_KEYS, "left")
+    return joined.where(F.col("offset") >= F.coalesce("_next", F.lit(0))).select(*df.columns)
 
 
 def _start(stream: DataFrame, process: Callable, checkpoint: str, every: str | None) -> StreamingQuery:
@@ -54,6 +47,36 @@ def _start(stream: DataFrame, process: Callable, checkpoint: str, every: str | N
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
+class GroupWriter:
+    """A group's one writer to a table: starting another one takes the right to commit away from this."""
+
+    def __init__(self, spark: SparkSession, root: str, group_id: str):
+        self.root, self.group_id = root, group_id
+        self.token = CommitLog(spark, root).new_token(group_id)
+        self.numbers = itertools.count(self.token * BATCHES_PER_TOKEN)
+
+    def commit(self, df: DataFrame, make: Callable[[DataFrame, CommitLog, object, int], DataFrame | None]) -> bool:
+        """Commit what the group has not read yet; False if that is nothing.
+
+        ``make`` gets these records, the log, its state and the batch's number, and returns commit
+        rows of what it wrote. If others commit meanwhile, it is called again on the new state.
+        """
+        spark = df.sparkSession
+        log = CommitLog(spark, self.root)
+        for attempt in range(TRIES):
+            at, number = log.head(), next(self.numbers)
+            fresh = unread(df, log.positions(at), self.group_id)
+            rows = consumed_rows(fresh, self.group_id)
+            produced = make(fresh, log, at, number)
+            rows = rows if produced is None else produced.unionByName(rows)
+            try:
+                return commit_batch(rows, self.root, number, at, self.group_id, self.token) > at.seq
+            except Conflict:
+                if attempt == TRIES - 1:
+                    raise
+        return False
+
+
 def exactly_once(
     stream: DataFrame,
     root: str,
@@ -65,21 +88,22 @@ def exactly_once(
     partitioner: Column | None = None,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Consume, transform and produce; output and consumed offsets are committed by one write.
+    """Consume, transform and produce; output and consumed offsets are one commit.
 
-    Until its commit rows exist a batch is invisible, and writing it again replaces it.
-    Several groups may use one root, one after the other.
+    What a group has consumed is known from the table, not from the checkpoint: a repeated
+    micro-batch and a new checkpoint produce only what is missing. The records have to
+    come in the order of their offsets, as ``stream_topics`` and Kafka give them. Any
+    number of groups may write to a root at a time; of one group the newest query may
+    commit, an older one fails.
     """
+    writer = GroupWriter(stream.sparkSession, root, group_id)
 
     def process(df: DataFrame, batch: int) -> None:
-        spark = df.sparkSession
-        number = table_batch(spark, group_id, batch)
-        if is_committed(spark, root, number):
-            return
-        # it is not committed, so the others are all there is
-        placed = place(transform(df), order, partitions, partitioner, next_offsets(spark, root))
-        produced = write_batch(placed, root, number)
-        commit_batch(produced.unionByName(consumed_rows(df, group_id)), root, number)
+        def make(fresh, log, at, number):
+            placed = place(transform(fresh), order, partitions, partitioner, log.next_offsets(at))
+            return write_batch(placed, root, number)
+
+        writer.commit(df, make)
 
     return _start(stream, process, checkpoint, every)
 
@@ -93,13 +117,17 @@ def at_most_once(
     every: str | None = None,
 ) -> StreamingQuery:
     """Commit first, process second; a batch that failed in between is not tried again."""
+    writer = GroupWriter(stream.sparkSession, root, group_id)
 
     def commit_then_process(df: DataFrame, batch: int) -> None:
-        number = table_batch(df.sparkSession, group_id, batch)
-        if is_committed(df.sparkSession, root, number):
-            return
-        commit_batch(consumed_rows(df, group_id), root, number)
-        process(df, batch)
+        found = []
+
+        def make(fresh, log, at, number):
+            # the state's files are named, so these records stay the same after the commit
+            found.append(fresh)
+
+        if writer.commit(df, make):
+            process(found[-1], batch)
 
     return _start(stream, commit_then_process, checkpoint, every)
 
@@ -112,11 +140,17 @@ def commit_flow(
     checkpoint: str,
     every: str | None = COMMIT_INTERVAL,
 ) -> StreamingQuery:
-    """Process first, commit second: at least once. ``process`` sees every batch."""
+    """Process first, commit second: at least once. ``process`` sees what the group has not committed.
+
+    A batch holds what arrived within ``every``; ``records_per_batch`` of the stream closes it earlier.
+    """
+    writer = GroupWriter(stream.sparkSession, root, group_id)
 
     def process_then_commit(df: DataFrame, batch: int) -> None:
-        process(df, batch)
-        commit_batch(consumed_rows(df, group_id), root, table_batch(df.sparkSession, group_id, batch))
+        def make(fresh, log, at, number):
+            process(fresh, batch)
+
+        writer.commit(df, make)
 
     return _start(stream, process_then_commit, checkpoint, every)
 
@@ -132,18 +166,18 @@ def for_each_committed(
 ) -> StreamingQuery:
     """Follow a topic table by its commit rows, so that only committed batches are seen.
 
-    ``process`` gets the records of the batches committed since the last call; a batch
-    that is written again after its commit is delivered again.
+    ``process`` gets the records of the batches committed since the last call.
     """
-    reader = spark.readStream.schema(T.StructType([*COMMIT.fields, T.StructField("batch", T.LongType())]))
+    root = files.qualified(spark, root)
+    reader = spark.readStream.schema(LINE)
     if batches_per_trigger:
         # a commit is one file
         reader = reader.option("maxFilesPerTrigger", batches_per_trigger)
-    stream = reader.parquet(f"{root}/commits")
+    stream = reader.json(f"{root}/commits").where((F.col("kind") == "batch") & (F.col("records") > 0))
 
     def read_batches(df: DataFrame, batch: int) -> None:
-        # one row per topic partition and batch
-        found = [row["batch"] for row in df.select("batch").distinct().collect()]
+        # one row per commit
+        found = [row["batch"] for row in df.select("batch").collect()]
         process(read_topics(df.sparkSession, root, subscription, found), batch)
 
     return _start(stream, read_batches, checkpoint, every)

@@ -44,7 +44,9 @@ def rows(df, *columns):
 )
 def test_a_live_query_drained_equals_the_finite_one(spark, root, tmp_path, select):
     columns = ["persistence_id", "seq_nr", "partition", "offset", "ticks"]
-    stream = select(SRC.stream_topics(spark, root, files_per_trigger=2)).select(*columns)
+    # a folder without a commit, as a failed writer leaves it
+    SINK.write_batch(SINK.place(events(spark, 500, 9), ["n"], 2), root, 7)
+    stream = select(SRC.stream_topics(spark, root)).select(*columns)
     live = control.drain(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
     assert rows(live, *columns) == rows(select(SRC.read_topics(spark, root)), *columns) != []
 
@@ -113,8 +115,9 @@ def test_exactly_once_survives_a_failure(spark, root, tmp_path, monkeypatch, ste
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
 
     def run():
-        stream = SRC.stream_topics(spark, root, files_per_trigger=4)
-        control.wait(delivery.exactly_once(stream, out, "g", even_records, ["p", "o"], checkpoint, partitions=2))
+        stream = SRC.stream_topics(spark, root, commits_per_batch=1, checkpoint=checkpoint)
+        query = delivery.exactly_once(stream, out, "g", even_records, ["p", "o"], checkpoint, partitions=2, every="0 seconds")
+        control.drain_and_shutdown(query)
 
     monkeypatch.setattr(delivery, step, Once(getattr(delivery, step), after))
     with pytest.raises(Exception, match="executor lost"):
@@ -140,8 +143,10 @@ def test_at_most_once_does_not_repeat(spark, root, tmp_path):
         seen.extend(r.offset for r in df.select("offset").collect())
 
     def run():
-        stream = SRC.stream_topics(spark, root, files_per_trigger=4)
-        control.wait(delivery.at_most_once(stream, f"{work}/ledger", "g", process, f"{work}/checkpoint"))
+        checkpoint = f"{work}/checkpoint"
+        stream = SRC.stream_topics(spark, root, commits_per_batch=1, checkpoint=checkpoint)
+        query = delivery.at_most_once(stream, f"{work}/ledger", "g", process, checkpoint, every="0 seconds")
+        control.drain_and_shutdown(query)
 
     with pytest.raises(Exception, match="executor lost"):
         run()
@@ -157,10 +162,10 @@ def test_commit_flow_passes_everything_and_commits_after(spark, root, tmp_path):
     seen, work = [], str(tmp_path / "work")
 
     def process(df, batch):
-        assert not delivery.is_committed(spark, f"{work}/ledger", delivery.table_batch(spark, "g", batch))
+        assert delivery.group_positions(spark, f"{work}/ledger").isEmpty()
         seen.extend(df.select("offset").collect())
 
-    stream = SRC.stream_topics(spark, root, files_per_trigger=4)
+    stream = SRC.stream_topics(spark, root)
     control.wait(delivery.commit_flow(stream, f"{work}/ledger", "g", process, f"{work}/checkpoint", every=None))
     assert len(seen) == 180
     assert {r.group_id for r in delivery.group_positions(spark, f"{work}/ledger").collect()} == {"g"}
@@ -169,18 +174,90 @@ def test_commit_flow_passes_everything_and_commits_after(spark, root, tmp_path):
 def test_groups_and_new_checkpoints_share_a_root(spark, root, tmp_path):
     out, batches = str(tmp_path / "out"), []
     for group, checkpoint in (("a", "1"), ("b", "2"), ("a", "3"), ("a", "1")):
-        stream = SRC.stream_topics(spark, root, files_per_trigger=4)
+        stream = SRC.stream_topics(spark, root)
         run = delivery.exactly_once(stream, out, group, even_records, ["p", "o"], str(tmp_path / checkpoint), partitions=2)
         control.wait(run)
         batches.append(SRC.read_topics(spark, out).count())
-    # the first three have a checkpoint of their own, the last one goes on with the first's
-    assert batches == [90, 180, 270, 270]
+    # what a group has consumed it does not consume again, whatever the checkpoint
+    assert batches == [90, 180, 180, 180]
     source = {(r.partition, r.m) for r in SRC.read_topics(spark, root).groupBy("partition").agg((F.max("offset") + 1).alias("m")).collect()}
     for group in ("a", "b"):
         ledger = delivery.group_positions(spark, out).where(F.col("group_id") == group)
         assert {(r.partition, r.next_offset) for r in ledger.collect()} == source
+    # an append after the groups goes on behind them
+    SINK.append_topic(events(spark, 0, 40).withColumn("topic", F.lit("out")), out, 0, ["n"], 2)
+    produced = SRC.read_topics(spark, out).collect()
+    offsets = {}
+    for r in produced:
+        offsets.setdefault(r.partition, []).append(r.offset)
+    assert len(produced) == 220 and all(sorted(o) == list(range(len(o))) for o in offsets.values())
+
+
+def test_a_new_checkpoint_produces_only_what_is_missing(spark, root, tmp_path):
+    out = str(tmp_path / "out")
+    for n, checkpoint in ((90, "1"), (120, "2")):
+        query = delivery.exactly_once(SRC.stream_topics(spark, root), out, "g", even_records, ["p", "o"], str(tmp_path / checkpoint), partitions=2)
+        control.wait(query)
+        assert SRC.read_topics(spark, out).count() == n
+        SINK.append_topic(events(spark, 180, 60), root, 3, ["n"], 4)
+
+
+def test_a_replaced_writer_cannot_commit(spark, root, tmp_path):
+    out = str(tmp_path / "out")
+    older = delivery.exactly_once(SRC.stream_topics(spark, root), out, "g", even_records, ["p", "o"], str(tmp_path / "1"), partitions=2, every="1 second")
+    older.processAllAvailable()
+    newer = delivery.exactly_once(SRC.stream_topics(spark, root), out, "g", even_records, ["p", "o"], str(tmp_path / "2"), partitions=2, every="1 second")
+    SINK.append_topic(events(spark, 180, 60), root, 3, ["n"], 4)
+    newer.processAllAvailable()
+    with pytest.raises(Exception, match="newer writer"):
+        control.drain_and_shutdown(older)
+    control.drain_and_shutdown(newer)
     produced = SRC.read_topics(spark, out)
-    assert produced.select("topic", "partition", "offset").distinct().count() == 270
+    assert sorted(int(bytes(r.value)) for r in produced.collect()) == list(range(0, 240, 2))
+    assert produced.select("partition", "offset").distinct().count() == 120
+
+
+def test_two_groups_write_to_one_table_at_a_time(spark, root, tmp_path):
+    out = str(tmp_path / "out")
+    queries = [
+        delivery.exactly_once(
+            SRC.stream_topics(spark, root, commits_per_batch=1, checkpoint=str(tmp_path / g)), out, g, even_records, ["p", "o"],
+            str(tmp_path / g), partitions=2, every="0 seconds",
+        )
+        for g in ("a", "b")
+    ]
+    for query in queries:
+        control.drain_and_shutdown(query)
+    offsets = {}
+    for r in SRC.read_topics(spark, out).collect():
+        offsets.setdefault(r.partition, []).append(r.offset)
+    assert sum(map(len, offsets.values())) == 180
+    assert all(sorted(o) == list(range(len(o))) for o in offsets.values())
+
+
+def test_a_limited_stream_goes_on_after_a_restart(spark, root, tmp_path):
+    for batch in range(3, 8):
+        SINK.append_topic(events(spark, 60 * batch, 60), root, batch, ["n"], 4)
+    seen, checkpoint = [], str(tmp_path / "c")
+
+    def run(most=None, **limit):
+        def process(df, batch):
+            found = [int(bytes(r.value)) for r in df.select("value").collect()]
+            if most is not None and len(seen) == most:
+                raise RuntimeError("executor lost")
+            seen.append(found)
+
+        stream = SRC.stream_topics(spark, root, checkpoint=checkpoint, **limit)
+        control.drain_and_shutdown(stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint).start())
+
+    with pytest.raises(Exception, match="executor lost"):
+        run(2, commits_per_batch=2)
+    run(commits_per_batch=2)
+    assert [sorted(x) for x in seen] == [list(range(120 * k, 120 * k + 120)) for k in range(4)]
+    for batch in range(8, 12):
+        SINK.append_topic(events(spark, 60 * batch, 60), root, batch, ["n"], 4)
+    run(records_per_batch=100)
+    assert [len(x) for x in seen[4:]] == [120, 120] and sorted(sum(seen, [])) == list(range(720))
 
 
 def test_committed_batches_are_streamed_once(spark, root, tmp_path):
@@ -203,7 +280,7 @@ def test_committed_batches_are_streamed_once(spark, root, tmp_path):
 
 
 def test_streamed_index_equals_the_batch_index(spark, root, tmp_path):
-    stream = SRC.stream_topics(spark, root, files_per_trigger=3)
+    stream = SRC.stream_topics(spark, root)
     control.wait(maintain_index(stream, str(tmp_path / "index"), str(tmp_path / "checkpoint")))
     want = J.journal_index(J.decode_journal(SRC.read_topics(spark, root)))
     assert rows(read_index(spark, str(tmp_path / "index")), *want.columns) == rows(want, *want.columns)
