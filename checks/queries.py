@@ -499,7 +499,7 @@ def fold_state(spark, sf):
         high_events=F.count_if(F.array_contains("tags", "high")),
         json_cents=F.coalesce(F.sum("cents"), F.lit(0).cast("bigint")),
         last_manifest=F.max_by("manifest", "offset"),
-    )
+    ).drop("topic")
 
 
 @query
@@ -668,7 +668,7 @@ def recover_all(spark, sf):
         tail_cents=F.sum("cents"),
         first_tail_seq=F.min("seq_nr"),
         last_manifest=F.max_by("manifest", "offset"),
-    )
+    ).drop("topic")
 
 
 # --- envelopes and payloads ---

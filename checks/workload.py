@@ -229,4 +229,6 @@ def journal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snapshot_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.decode_snapshot_log(read_topics(spark, topics_root(spark, sf_dir), Topics([SNAPSHOT_TOPIC])))
+    """The snapshot log, with the place at which each record is stored."""
+    records = read_topics(spark, topics_root(spark, sf_dir), Topics([SNAPSHOT_TOPIC]), located=True)
+    return S.decode_snapshot_log(records)

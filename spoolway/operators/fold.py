@@ -1,6 +1,6 @@
 """Fold the events of every id to a state."""
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
 import pandas as pd
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from spoolway.operators.skew import ROWS_PER_TASK
+from spoolway.operators.skew import ROWS_PER_TASK, entity_keys
 
 State = dict[str, Any]
 Step = Callable[[State, pd.DataFrame], State]
@@ -21,7 +21,7 @@ STATES_PER_FRAME = 10_000
 
 def fold_state(journal: DataFrame, **state: Column) -> DataFrame:
     """Fold by aggregates, such as ``max_by(value, offset)``; partial sums spread a hot id."""
-    return journal.groupBy("persistence_id").agg(*[column.alias(name) for name, column in state.items()])
+    return journal.groupBy(*entity_keys(journal)).agg(*[column.alias(name) for name, column in state.items()])
 
 
 def fold_events(
@@ -39,14 +39,16 @@ def fold_events(
     in stretches of ``rows_per_task`` offsets, each from ``zero``, and ``merge`` joins
     neighbouring states; ``zero`` must be neutral for it. ``initial`` is the state an id
     starts with, merged in once at the front. So the result does not depend on how many
-    events an id has. Tasks hold one Arrow batch and one state at a time.
+    events an id has. Tasks hold one Arrow batch and one state at a time. Where the
+    journal has a topic, an id is folded for each topic.
     """
-    keys = ["persistence_id", "_stretch"]
+    ids = entity_keys(journal)
+    keys = [*ids, "_stretch"]
     states = (
         journal.withColumn("_stretch", F.call_function("div", F.col("offset"), F.lit(rows_per_task)))
         .repartition(*keys)
         .sortWithinPartitions(*keys, "offset")
-        .mapInPandas(_folder(keys, zero, step, schema.names), _states_of(schema, keys[1:]))
+        .mapInPandas(_folder(keys, zero, step, schema.names), _states_of(schema, ids, ["_stretch"]))
     )
     return merge_states(states, "_stretch", zero if initial is None else initial, merge, schema)
 
@@ -56,36 +58,37 @@ def merge_states(states: DataFrame, position: str, initial: State, merge: Merge,
 
     States stay Arrow values and Python objects, so nulls leave whole numbers exact.
     """
-    names = schema.names
-    result = _states_of(schema)
+    names, ids = schema.names, entity_keys(states)
+    result = _states_of(schema, ids)
 
     def join_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = to_arrow_schema(result)
         current, state, done, begun = None, None, [], False
         for batch in batches:
             for row in batch.to_pylist():
-                if not begun or row["persistence_id"] != current:
+                own = {name: row[name] for name in ids}
+                if not begun or own != current:
                     if begun:
-                        done.append({"persistence_id": current} | {name: state[name] for name in names})
-                    current, state, begun = row["persistence_id"], dict(initial), True
+                        done.append(current | {name: state[name] for name in names})
+                    current, state, begun = own, dict(initial), True
                 state = merge(state, {name: row[name] for name in names})
             if len(done) >= STATES_PER_FRAME:
                 yield pa.RecordBatch.from_pylist(done, kind)
                 done = []
         if begun:
-            done.append({"persistence_id": current} | {name: state[name] for name in names})
+            done.append(current | {name: state[name] for name in names})
         yield pa.RecordBatch.from_pylist(done, kind)
 
     return (
-        states.repartition("persistence_id")
-        .sortWithinPartitions("persistence_id", position)
+        states.repartition(*ids)
+        .sortWithinPartitions(*ids, position)
         .mapInArrow(join_all, result)
     )
 
 
-def _states_of(schema: T.StructType, more_keys: list[str] | None = None) -> T.StructType:
-    keys = [T.StructField("persistence_id", T.StringType())]
-    return T.StructType([*keys, *[T.StructField(name, T.LongType()) for name in more_keys or []], *schema.fields])
+def _states_of(schema: T.StructType, ids: list[str], more_keys: Sequence[str] = ()) -> T.StructType:
+    keys = [T.StructField(name, T.StringType()) for name in ids]
+    return T.StructType([*keys, *[T.StructField(name, T.LongType()) for name in more_keys], *schema.fields])
 
 
 def _folder(keys: list[str], zero: State, step: Step, names: list[str]) -> Callable:

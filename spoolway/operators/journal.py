@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from spoolway.functions import codec, naming
-from spoolway.operators.skew import ROWS_PER_TASK, numbered, skew_join
+from spoolway.operators.skew import ROWS_PER_TASK, entity_keys, numbered, skew_join
 from spoolway.schema import (
     CONTENT_TYPE,
     JOURNAL_TOPIC,
@@ -163,7 +163,7 @@ def journal_index(journal: DataFrame, marks: DataFrame | None = None) -> DataFra
     )
     deleted = F.lit(0).cast("bigint")
     if marks is not None:
-        index = index.join(deleted_to(marks), "persistence_id", "left")
+        index = index.join(deleted_to(marks), entity_keys(index, marks), "left")
         deleted = F.coalesce("deleted_to_seq_nr", deleted)
     return index.withColumn("deleted_to_seq_nr", deleted).select("topic", "persistence_id", *INDEX_FIELDS)
 
@@ -203,7 +203,7 @@ def decode_index(records: DataFrame) -> DataFrame:
 def mark_deleted(index: DataFrame, marks: DataFrame) -> DataFrame:
     """Index rows to append for delete marks: those of the marked ids, deleted at least as far as before."""
     wanted = deleted_to(marks).withColumnRenamed("deleted_to_seq_nr", "_to")
-    marked = index.join(wanted, "persistence_id").withColumn("deleted_to_seq_nr", F.greatest("deleted_to_seq_nr", "_to"))
+    marked = index.join(wanted, entity_keys(index, wanted)).withColumn("deleted_to_seq_nr", F.greatest("deleted_to_seq_nr", "_to"))
     return marked.select(*index.columns)
 
 
@@ -234,39 +234,39 @@ def compact_latest(records: DataFrame) -> DataFrame:
 
 
 def lookup_index(index: DataFrame, ids: DataFrame) -> DataFrame:
-    """Index rows of the requested ids; ids without events keep a row of nulls."""
-    return ids.join(index, "persistence_id", "left")
+    """Index rows of the requested ids, in their topic if one is given; ids without events keep a row of nulls."""
+    return ids.join(index, entity_keys(ids, index), "left")
 
 
 def highest_seq_nr(index: DataFrame, ids: DataFrame) -> DataFrame:
-    highest = index.groupBy("persistence_id").agg(F.max("highest_seq_nr").alias("highest_seq_nr"))
+    highest = index.groupBy(*entity_keys(index, ids)).agg(F.max("highest_seq_nr").alias("highest_seq_nr"))
     found = lookup_index(highest, ids)
     return found.withColumn("highest_seq_nr", F.coalesce("highest_seq_nr", F.lit(0).cast("bigint")))
 
 
 def deleted_to(marks: DataFrame) -> DataFrame:
     """How far each id is deleted; a later, lower mark does not bring events back."""
-    return marks.groupBy("persistence_id").agg(F.max("to_seq_nr").alias("deleted_to_seq_nr"))
+    return marks.groupBy(*entity_keys(marks)).agg(F.max("to_seq_nr").alias("deleted_to_seq_nr"))
 
 
 def visible_events(journal: DataFrame, marks: DataFrame) -> DataFrame:
     """Events that are not logically deleted."""
-    joined = skew_join(journal, deleted_to(marks), ["persistence_id"], "left")
+    joined = skew_join(journal, deleted_to(marks), entity_keys(journal, marks), "left")
     return joined.where(F.col("seq_nr") > F.coalesce("deleted_to_seq_nr", F.lit(0))).drop("deleted_to_seq_nr")
 
 
-def where_indexed(entries: Sequence[Row]) -> Column:
-    """Where the records of these index rows are: topic, partition and offsets of each."""
-    return reduce(
-        Column.__or__,
-        [
+def where_indexed(entries: Sequence[Row], undeleted: bool = False) -> Column:
+    """Where the records of these index rows are: topic, partition and offsets of each, past what is deleted there."""
+
+    def place(entry: Row) -> Column:
+        found = (
             (F.col("topic") == entry["topic"])
             & (F.col("partition") == entry["partition"])
             & F.col("offset").between(entry["first_offset"], entry["last_offset"])
-            for entry in entries
-        ],
-        F.lit(False),
-    )
+        )
+        return found & (F.col("seq_nr") > entry["deleted_to_seq_nr"]) if undeleted else found
+
+    return reduce(Column.__or__, [place(entry) for entry in entries], F.lit(False))
 
 
 def replay(
@@ -277,17 +277,20 @@ def replay(
     to_seq: int = MAX_LONG,
     most: int = MAX_LONG,
 ) -> DataFrame:
-    """Events of one id in offset order; its index rows, one per topic, bound the scan by literals."""
+    """Events of one id in offset order; its index rows, one per topic, bound the scan by literals.
+
+    Each topic has its own delete mark. With several topics their events come one topic
+    after the other; ``most`` counts them all.
+    """
     entries = index.where((F.col("persistence_id") == persistence_id) & (F.col("deleted_to_seq_nr") < to_seq)).collect()
     if not entries:
         return decode_journal(records.where(F.lit(False)))
-    deleted = min(entry["deleted_to_seq_nr"] for entry in entries)
     events = records.where(
-        where_indexed(entries)
+        where_indexed(entries, undeleted=True)
         & (F.col("key") == persistence_id)
-        & F.col("seq_nr").between(max(from_seq, deleted + 1), to_seq)
+        & F.col("seq_nr").between(from_seq, to_seq)
     )
-    ordered = decode_journal(events).orderBy("offset")
+    ordered = decode_journal(events).orderBy("topic", "offset")
     # the limit is the caller's own count of events
     return ordered if most == MAX_LONG else ordered.limit(most)
 
@@ -295,29 +298,32 @@ def replay(
 def bulk_replay(
     journal: DataFrame, index: DataFrame, requests: DataFrame, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
-    """Replay every id of ``requests(persistence_id, from_seq, to_seq, most)`` at once."""
-    known = index.groupBy("persistence_id").agg(F.max("deleted_to_seq_nr").alias("deleted_to_seq_nr"))
-    bounds = requests.join(known, "persistence_id").select(
-        "persistence_id",
+    """Replay every id of ``requests([topic, ]persistence_id, from_seq, to_seq, most)`` at once.
+
+    A request without a topic is one to each topic that has the id.
+    """
+    ids = entity_keys(journal, index)
+    known = index.select(*ids, "deleted_to_seq_nr")
+    bounds = requests.join(known, entity_keys(requests, known)).select(
+        *ids,
         F.greatest(F.col("from_seq"), F.col("deleted_to_seq_nr") + 1).alias("_from"),
         F.col("to_seq").alias("_to"),
         F.col("most").alias("_most"),
     )
-    events = skew_join(journal, bounds, ["persistence_id"], "inner", rows_per_task).where(
+    events = skew_join(journal, bounds, ids, "inner", rows_per_task).where(
         F.col("seq_nr").between(F.col("_from"), F.col("_to"))
     )
-    counted = numbered(events, ["persistence_id"], ["partition", "offset"], "_position", rows_per_task)
+    counted = numbered(events, ids, ["partition", "offset"], "_position", rows_per_task)
     return counted.where(F.col("_position") <= F.col("_most")).select(*journal.columns)
 
 
 def tag_union(known: DataFrame, added: DataFrame) -> DataFrame:
-    """Union of two ``(persistence_id, tags)`` tables; a missing or null list keeps the other."""
+    """Union of two ``([topic, ]persistence_id, tags)`` tables; a missing or null list keeps the other."""
+    ids = entity_keys(known, added)
     empty = F.array().cast("array<string>")
-    joined = known.join(
-        added.select("persistence_id", F.col("tags").alias("_added")), "persistence_id", "full_outer"
-    )
+    joined = known.join(added.select(*ids, F.col("tags").alias("_added")), ids, "full_outer")
     merged = F.array_union(F.coalesce("tags", empty), F.coalesce("_added", empty))
-    return joined.select("persistence_id", F.array_sort(merged).alias("tags"))
+    return joined.select(*ids, F.array_sort(merged).alias("tags"))
 
 
 def tag_records(journal: DataFrame, prefix: str = "") -> DataFrame:

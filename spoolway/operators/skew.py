@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from spoolway.schema import ENTITY
 from spoolway.scratch import stored
 
 ROWS_PER_TASK = 4_000_000
@@ -29,6 +30,15 @@ def _bounds(order: Sequence[str]) -> list[Column]:
     return [f(c).alias(f"{name}_{i}") for i, c in enumerate(order) for name, f in (("lo", F.min), ("hi", F.max))]
 
 
+def entity_keys(*tables: DataFrame) -> list[str]:
+    """What tells entities apart: the id, and the topic where all tables have it.
+
+    Tenants have topics of their own, in which the same id is another entity. A table
+    without a topic speaks of every topic.
+    """
+    return [name for name in ENTITY if all(name in df.columns for df in tables)]
+
+
 def broadcast_small(df: DataFrame, most_rows: int = MAX_SMALL_ROWS) -> DataFrame:
     """Mark a side for broadcast if its rows, which are counted, are few; else leave the join to Spark."""
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spoolway.functions import codec
-from spoolway.operators.skew import ROWS_PER_TASK, hot_groups, running_totals, skew_join, spread
+from spoolway.operators.skew import ROWS_PER_TASK, entity_keys, hot_groups, running_totals, skew_join, spread
 from spoolway.schema import (
     CONTENT_TYPE,
     MANIFEST,
@@ -27,13 +27,13 @@ from spoolway.schema import (
     TOMBSTONE_TIMESTAMP,
 )
 from spoolway.scratch import stored
+from spoolway.sources.located import fetched
 
 # The tree over the ranks of an id's saves has at most this many levels above its leaves.
 TREE_LEVELS = 62
 # Counted node rows, of some 80 bytes each, that are still sent to every executor.
 MAX_NODES_BROADCAST = 500_000
-SNAPSHOT_KEYS = ["persistence_id", "seq_nr"]
-NODE_KEYS = ["persistence_id", "seq_level", "seq_node", "ticks_level", "ticks_node"]
+NODE = ["seq_level", "seq_node", "ticks_level", "ticks_node"]
 
 
 def _record(df: DataFrame, value: Column, headers: dict[str, Column], topic: str) -> DataFrame:
@@ -112,6 +112,7 @@ def decode_snapshot_log(records: DataFrame) -> DataFrame:
         records.withColumn("kind", kind)
         .where(by_kind.isNotNull())
         .select(
+            *[name for name in ("topic", "file", "row") if name in records.columns],
             F.col("key").alias("persistence_id"),
             "partition",
             "offset",
@@ -173,12 +174,13 @@ def _ranked(saves: DataFrame, ranges: DataFrame, rows_per_task: int) -> DataFram
     One running count over the saves of an id, with the bounds of its ranges sorted in
     between, gives both. Rows without ``seq_nr`` are ranges; they span [low, high).
     """
+    ids = entity_keys(saves, ranges)
 
     def point(axis: str, side: int, value: str) -> Column:
         return F.struct(F.lit(axis).alias("axis"), F.lit(side).alias("side"), F.col(value).alias("value"))
 
     def points(df: DataFrame, seq_nr: Column, tie: str, *of: Column) -> DataFrame:
-        return df.select("persistence_id", seq_nr.alias("seq_nr"), "offset", F.col(tie).alias("tie"), F.inline(F.array(*of)))
+        return df.select(*ids, seq_nr.alias("seq_nr"), "offset", F.col(tie).alias("tie"), F.inline(F.array(*of)))
 
     both = points(saves, F.col("seq_nr"), "seq_nr", point("seq", 1, "seq_nr"), point("ticks", 1, "ticks")).unionByName(
         points(
@@ -193,7 +195,7 @@ def _ranked(saves: DataFrame, ranges: DataFrame, rows_per_task: int) -> DataFram
     )
     counted = running_totals(
         both,
-        ["persistence_id", "axis"],
+        [*ids, "axis"],
         ["value", "side", "tie"],
         {"below": (F.col("side") == 1).cast("bigint")},
         rows_per_task,
@@ -202,7 +204,7 @@ def _ranked(saves: DataFrame, ranges: DataFrame, rows_per_task: int) -> DataFram
     def found(axis: str, side: int) -> Column:
         return F.max(F.when((F.col("axis") == axis) & (F.col("side") == side), F.col("below")))
 
-    return counted.groupBy("persistence_id", "seq_nr", "offset").agg(
+    return counted.groupBy(*ids, "seq_nr", "offset").agg(
         (found("seq", 1) - 1).alias("seq_rank"),
         (found("ticks", 1) - 1).alias("ticks_rank"),
         found("seq", 0).alias("seq_low"),
@@ -219,12 +221,12 @@ def _range_nodes(ranges: DataFrame, saves: DataFrame, found: int, rows_per_task:
     Where an id's ticks rise with its numbers, a span of ticks is a span of numbers
     as well, and one axis does.
     """
-    ids = saves.groupBy("persistence_id").agg(
+    ids = entity_keys(saves)
+    known = saves.groupBy(*ids).agg(
         F.count(F.lit(1)).alias("saved"), F.bool_and(F.col("seq_rank") == F.col("ticks_rank")).alias("rising")
     )
-    hot = hot_groups(ranges, ["persistence_id"], limit=rows_per_task) if found > rows_per_task else []
-    bounded = skew_join(ranges, ids, ["persistence_id"], hot=hot)
-    bounded = spread(bounded, found, "persistence_id", "offset")
+    hot = hot_groups(ranges, ids, limit=rows_per_task) if found > rows_per_task else []
+    bounded = spread(skew_join(ranges, known, ids, hot=hot), found, *ids, "offset")
     rising, last = F.col("rising"), F.col("saved") - 1
     low = F.when(rising, F.greatest("seq_low", "ticks_low")).otherwise(F.col("seq_low"))
     high = F.when(rising, F.least("seq_high", "ticks_high")).otherwise(F.col("seq_high")) - 1
@@ -233,7 +235,7 @@ def _range_nodes(ranges: DataFrame, saves: DataFrame, found: int, rows_per_task:
     ticks_high = F.when(rising, whole).otherwise(_open_end(F.col("ticks_high") - 1, last))
     return (
         bounded.select(
-            "persistence_id",
+            *ids,
             "offset",
             _cover(low, _open_end(high, last)).alias("_seqs"),
             _cover(ticks_low, ticks_high).alias("_ticks"),
@@ -243,26 +245,27 @@ def _range_nodes(ranges: DataFrame, saves: DataFrame, found: int, rows_per_task:
         .withColumn("_tick", F.explode_outer("_ticks"))
         .where(F.col("_seq").isNotNull() & F.col("_tick").isNotNull())
         .select(
-            "persistence_id",
+            *ids,
             F.col("_seq.level").alias("seq_level"),
             F.col("_seq.node").alias("seq_node"),
             F.col("_tick.level").alias("ticks_level"),
             F.col("_tick.node").alias("ticks_node"),
             "offset",
         )
-        .groupBy(*NODE_KEYS)
+        .groupBy(*ids, *NODE)
         .agg(F.max("offset").alias("killed_before"))
     )
 
 
 def range_kills(saves: DataFrame, ranges: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """``(persistence_id, seq_nr)`` of the saves that a later range tombstone matches.
+    """Topic, id and ``seq_nr`` of the saves that a later range tombstone matches.
 
     Takes one save per (id, seq). Every tombstone becomes a few nodes of a binary tree
     over the ranks of the id's saves; of each node the greatest offset is kept. A save
     looks up the nodes above it, on the levels that its id uses. So one equi-join on
     nodes does it, and no pairs of saves and tombstones are formed.
     """
+    ids = entity_keys(saves, ranges)
     ranked = stored(_ranked(saves, ranges, rows_per_task), "ranked")
     saves, ranges = ranked.where(F.col("seq_nr").isNotNull()), ranked.where(F.col("seq_nr").isNull())
     found = ranked.count()
@@ -270,16 +273,17 @@ def range_kills(saves: DataFrame, ranges: DataFrame, rows_per_task: int = ROWS_P
     nodes = stored(_range_nodes(ranges, saves, found, rows_per_task), "nodes")
     # (levels + 1)^2 pairs at most, whatever the number of tombstones
     pair = (F.col("seq_level") * 64 + F.col("ticks_level")).cast("smallint")
-    used = nodes.groupBy("persistence_id").agg(F.collect_set(pair).alias("_pairs"))
-    hot = hot_groups(saves, ["persistence_id"], limit=rows_per_task) if may_be_hot else []
-    looking = skew_join(saves, used, ["persistence_id"], hot=hot)
+    used = nodes.groupBy(*ids).agg(F.collect_set(pair).alias("_pairs"))
+    hot = hot_groups(saves, ids, limit=rows_per_task) if may_be_hot else []
+    looking = skew_join(saves, used, ids, hot=hot)
     probes = (
-        spread(looking, found, "persistence_id", "seq_nr")
+        spread(looking, found, *ids, "seq_nr")
         .withColumn("_pair", F.explode("_pairs"))
         .withColumn("_pair", F.col("_pair").cast("int"))
         .withColumns({"seq_level": F.shiftright("_pair", 6), "ticks_level": F.col("_pair") % 64})
         .select(
-            *NODE_KEYS[:2],
+            *ids,
+            "seq_level",
             _shift(F.col("seq_rank"), F.col("seq_level")).alias("seq_node"),
             "ticks_level",
             _shift(F.col("ticks_rank"), F.col("ticks_level")).alias("ticks_node"),
@@ -288,39 +292,44 @@ def range_kills(saves: DataFrame, ranges: DataFrame, rows_per_task: int = ROWS_P
         )
     )
     if nodes.count() <= MAX_NODES_BROADCAST:
-        met = probes.join(F.broadcast(nodes), NODE_KEYS)
+        met = probes.join(F.broadcast(nodes), [*ids, *NODE])
     else:
         # the rows that explode made are not in the size estimate, so no other broadcast
         nodes = nodes.hint("merge")
         # a node of level n has 2^n saves below it: only wide nodes of hot ids can be hot
-        wide = F.col("persistence_id").isin([row["persistence_id"] for row in hot])
-        wide = wide & (F.col("seq_level") >= rows_per_task.bit_length() - 1)
-        met = probes.where(~wide).join(nodes, NODE_KEYS)
+        wide = F.col("seq_level") >= rows_per_task.bit_length() - 1
+        if not hot:
+            wide = F.lit(False)
+        met = probes.where(~wide).join(nodes, [*ids, *NODE])
         if hot:
-            met = met.unionByName(skew_join(probes.where(wide), nodes, NODE_KEYS, limit=rows_per_task))
-    return met.where(F.col("offset") < F.col("killed_before")).select(*SNAPSHOT_KEYS)
+            met = met.unionByName(skew_join(probes.where(wide), nodes, [*ids, *NODE], limit=rows_per_task))
+    return met.where(F.col("offset") < F.col("killed_before")).select(*ids, "seq_nr")
 
 
 def live_keys(log: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """A stored table of the live snapshots: ``persistence_id, seq_nr, ticks, partition, offset``.
+    """A stored table of the live snapshots: ``[topic, ]persistence_id, seq_nr, ticks, partition, offset``.
 
     The last save of each (id, seq) is live unless a later tombstone matches it.
     Tombstones for one sequence number are settled by aggregates: by (id, seq, ticks)
-    for those with an exact time, then by (id, seq).
+    for those with an exact time, then by (id, seq). An id is one within its topic. Where
+    the log tells the ``file`` and ``row`` of its records, the table does so too.
     """
+    by = [*entity_keys(log), "seq_nr"]
+    where = [name for name in ("file", "row") if name in log.columns]
     save, delete = F.col("kind") == "save", F.col("kind") == "del_seq"
     any_time = F.col("ticks") == 0
     by_time = (
         log.where(save | delete)
-        .groupBy(*SNAPSHOT_KEYS, "ticks", "partition")
+        .groupBy(*by, "ticks", "partition")
         .agg(
             F.max(F.when(save, F.col("offset"))).alias("saved"),
+            *[F.max_by(name, F.when(save, F.col("offset"))).alias(name) for name in where],
             F.max(F.when(delete & any_time, F.col("offset"))).alias("any_deleted"),
             F.max(F.when(delete & ~any_time, F.col("offset"))).alias("exact_deleted"),
         )
     )
-    by_seq = by_time.groupBy(*SNAPSHOT_KEYS).agg(
-        F.max_by(F.struct("ticks", "partition", "saved", "exact_deleted"), F.col("saved")).alias("_last"),
+    by_seq = by_time.groupBy(*by).agg(
+        F.max_by(F.struct("ticks", "partition", "saved", "exact_deleted", *where), F.col("saved")).alias("_last"),
         F.max("any_deleted").alias("any_deleted"),
     )
     saved = F.col("_last.saved")
@@ -329,14 +338,29 @@ def live_keys(log: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
         & (saved > F.coalesce("any_deleted", F.lit(-1)))
         & (saved > F.coalesce("_last.exact_deleted", F.lit(-1)))
     )
-    last = stored(kept.select(*SNAPSHOT_KEYS, "_last.ticks", "_last.partition", saved.alias("offset")), "last-saves")
-    kills = range_kills(last, log.where(F.col("kind") == "del_range"), rows_per_task)
-    return stored(last.join(kills, SNAPSHOT_KEYS, "left_anti"), "live")
+    last = kept.select(*by, "_last.ticks", "_last.partition", saved.alias("offset"), *[f"_last.{name}" for name in where])
+    last = stored(last, "last-saves")
+    ranges = log.where(F.col("kind") == "del_range")
+    if ranges.isEmpty():
+        return last
+    return stored(last.join(range_kills(last, ranges, rows_per_task), by, "left_anti"), "live")
 
 
 def with_payload(keys: DataFrame, log: DataFrame) -> DataFrame:
-    """Fetch the manifest, format and payload of chosen snapshots."""
-    where = ["persistence_id", "partition", "offset"]
+    """Fetch the manifest, format and payload of chosen snapshots.
+
+    Keys that tell where their records are stored are dealt out by file, and each task
+    reads the row groups that hold its records: no payload is shuffled. Others are joined.
+    """
+    if "file" in keys.columns:
+        found = fetched(keys, {"value": "binary", "headers": "map<string,binary>"})
+        return found.select(
+            *[name for name in keys.columns if name not in ("file", "row")],
+            codec.decode_string(codec.header(MANIFEST)).alias("manifest"),
+            codec.content_format().alias("format"),
+            F.col("value").alias("payload"),
+        )
+    where = [*entity_keys(keys, log), "partition", "offset"]
     bodies = log.where(F.col("kind") == "save").select(*where, "manifest", "format", "payload")
     return keys.join(bodies, where)
 
@@ -346,32 +370,37 @@ def live_snapshots(log: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFr
 
 
 def newest(live: DataFrame, criteria: DataFrame | None = None) -> DataFrame:
-    """Of each id the live snapshot with the highest sequence number.
+    """Of each topic and id the live snapshot with the highest sequence number.
 
-    ``criteria(persistence_id[, min_seq, max_seq, min_ticks, max_ticks])`` has one row
+    ``criteria([topic, ]persistence_id[, min_seq, max_seq, min_ticks, max_ticks])`` has one row
     per wanted id, with inclusive bounds.
     """
+    where = [name for name in ("file", "row") if name in live.columns]
     if criteria is not None:
-        given = set(criteria.columns)
+        given, on = set(criteria.columns), entity_keys(live, criteria)
         bounds = criteria.select(
-            "persistence_id",
+            *on,
             *[
                 (F.coalesce(F.col(name), F.lit(default)) if name in given else F.lit(default)).alias(f"_{name}")
                 for name, default in (("min_seq", 0), ("max_seq", MAX_LONG), ("min_ticks", 0), ("max_ticks", MAX_TICKS))
             ],
         )
-        live = skew_join(live, bounds, ["persistence_id"]).where(
+        live = skew_join(live, bounds, on).where(
             F.col("seq_nr").between(F.col("_min_seq"), F.col("_max_seq"))
             & F.col("ticks").between(F.col("_min_ticks"), F.col("_max_ticks"))
         )
-    best = F.max(F.struct("seq_nr", "ticks", "partition", "offset")).alias("_best")
-    return live.groupBy("persistence_id").agg(best).select("persistence_id", "_best.*")
+    best = F.max(F.struct("seq_nr", "ticks", "partition", "offset", *where)).alias("_best")
+    ids = entity_keys(live)
+    return live.groupBy(*ids).agg(best).select(*ids, "_best.*")
 
 
 def load_snapshots(log: DataFrame, criteria: DataFrame | None = None) -> DataFrame:
     """The newest live snapshot of each id with its payload; wanted ids without one keep a row of nulls."""
     found = with_payload(newest(live_keys(log), criteria), log)
-    return found if criteria is None else criteria.select("persistence_id").join(found, "persistence_id", "left")
+    if criteria is None:
+        return found
+    on = entity_keys(criteria, found)
+    return criteria.select(*on).join(found, on, "left")
 
 
 def compact_snapshot_log(log: DataFrame) -> DataFrame:

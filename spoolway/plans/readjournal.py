@@ -45,7 +45,7 @@ def events_by_id(
     events = select_by_id(records, persistence_id, from_seq, to_seq)
     if hide_deleted is not None:
         events = visible_events(events, hide_deleted.where(F.col("persistence_id") == persistence_id))
-    return events.orderBy("seq_nr", "offset")
+    return events.orderBy("topic", "seq_nr", "offset")
 
 
 def events_by_tag(records: DataFrame, tag: str, after: DataFrame | None = None) -> DataFrame:

@@ -4,7 +4,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spoolway.operators.journal import deleted_to
-from spoolway.operators.skew import ROWS_PER_TASK, skew_join
+from spoolway.operators.skew import ROWS_PER_TASK, entity_keys, skew_join
+from spoolway.schema import JOURNAL_TOPIC, SNAPSHOT_TOPIC
+
+
+def of_journal(snapshots: DataFrame, journal_topic: str = JOURNAL_TOPIC, snapshot_topic: str = SNAPSHOT_TOPIC) -> DataFrame:
+    """Snapshots with the topic of the journal beside their own: the same tenant's prefix, the other name."""
+    if "topic" not in snapshots.columns:
+        return snapshots
+    own = F.expr(f"left(topic, length(topic) - {len(snapshot_topic)})")
+    beside = F.when(F.endswith("topic", F.lit(snapshot_topic)), F.concat(own, F.lit(journal_topic))).otherwise(F.col("topic"))
+    return snapshots.withColumn("topic", beside)
 
 
 def recovery_tail(
@@ -16,17 +26,21 @@ def recovery_tail(
 ) -> DataFrame:
     """Events each id has to replay: after its snapshot, and after what is deleted.
 
-    The index tells which ids are hot, by their highest sequence number.
+    The index tells which ids are hot, by their highest sequence number. Snapshots and
+    marks with a topic, which is the journal's, hold for that topic only.
     """
-    start = snapshots.select("persistence_id", F.col("seq_nr").alias("_after"))
-    if marks is not None:
-        start = start.unionByName(
-            deleted_to(marks).select("persistence_id", F.col("deleted_to_seq_nr").alias("_after"))
-        )
-    start = start.groupBy("persistence_id").agg(F.max("_after").alias("_after"))
-    hot = index.where(F.col("highest_seq_nr") > rows_per_task)
-    hot_ids = hot.select("persistence_id").collect()
-    joined = skew_join(journal, start, ["persistence_id"], "left", hot=hot_ids)
+    joined = journal
+    for bound in (
+        snapshots.select(*entity_keys(snapshots), F.col("seq_nr").alias("_after")),
+        None if marks is None else deleted_to(marks).withColumnRenamed("deleted_to_seq_nr", "_after"),
+    ):
+        if bound is None:
+            continue
+        on = entity_keys(journal, bound)
+        hot = index.where(F.col("highest_seq_nr") > rows_per_task).select(*on).distinct().collect()
+        joined = skew_join(joined, bound.withColumnRenamed("_after", "_bound"), on, "left", hot=hot)
+        known = F.col("_after") if "_after" in joined.columns else F.lit(0)
+        joined = joined.withColumn("_after", F.greatest(known, F.coalesce("_bound", F.lit(0)))).drop("_bound")
     return joined.where(F.col("seq_nr") > F.coalesce("_after", F.lit(0))).drop("_after")
 
 
@@ -38,16 +52,20 @@ def recover_all(
     rows_per_task: int = ROWS_PER_TASK,
     **state: Column,
 ) -> DataFrame:
-    """One row per indexed id: its snapshot's number, the length of its tail and the folded tail."""
+    """One row per indexed topic and id: its snapshot's number, the length of its tail and the folded tail.
+
+    Snapshots belong to the journal with their tenant's prefix.
+    """
+    snapshots, ids = of_journal(snapshots), entity_keys(journal, index)
     tail = recovery_tail(journal, index, snapshots, marks, rows_per_task)
-    folded = tail.groupBy("persistence_id").agg(
+    folded = tail.groupBy(*ids).agg(
         F.count(F.lit(1)).alias("tail_events"), *[column.alias(name) for name, column in state.items()]
     )
-    chosen = snapshots.select("persistence_id", F.col("seq_nr").alias("snapshot_seq"))
+    chosen = snapshots.select(*entity_keys(snapshots), F.col("seq_nr").alias("snapshot_seq"))
     zero = F.lit(0).cast("bigint")
     return (
-        index.select("persistence_id", "highest_seq_nr")
-        .join(chosen, "persistence_id", "left")
-        .join(folded, "persistence_id", "left")
+        index.select(*ids, "highest_seq_nr")
+        .join(chosen, entity_keys(index, chosen), "left")
+        .join(folded, ids, "left")
         .withColumns({"snapshot_seq": F.coalesce("snapshot_seq", zero), "tail_events": F.coalesce("tail_events", zero)})
     )

@@ -77,3 +77,4 @@ COMMIT = T.StructType(
 )
 
 POSITION_KEYS = ["topic", "partition"]
+ENTITY = ["topic", "persistence_id"]
