@@ -2,11 +2,11 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spoolway.llm.common import sampled
+from spoolway.llm.common import hashable
 
 #: Bytes of a window. Texts are cut into such windows, the last one padded with zeros.
 WINDOW = 256
@@ -112,8 +112,11 @@ def _windows(text: bytes):
 
 
 def fit(docs: DataFrame, train_rows: Column, text: str = "text", lang: str = "lang", rows: int = FIT_ROWS) -> Network | None:
-    """Train on one window each of at most ``rows`` labelled texts, chosen by a hash of the row; none without any.
+    """Train on one window each of some ``rows`` labelled texts, chosen by a hash of the row; none without any.
 
+    Labelled rows are counted by language first. Each language has its share of the sample, but
+    not fewer than half an even share if it has so many rows, so no language is
+    missed for being rare; the sample is at most half as large again as ``rows``.
     Every other window is cut shorter, so that short texts are no surprise.
     """
     import numpy as np
@@ -125,11 +128,23 @@ def fit(docs: DataFrame, train_rows: Column, text: str = "text", lang: str = "la
         F.substring(F.col(text), at, F.lit(WINDOW)).alias("part"),
         F.col(lang).alias("lang"),
         key.alias("key"),
-        F.xxhash64(*docs.columns).alias("row"),
+        F.xxhash64(*hashable(docs)).alias("row"),
     )
-    some = sampled(usable, rows, ["row", "part"]).collect()
+    # a language has its share of the sample, and a rare one half an even share at least
+    sizes = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    total, some = sum(sizes.values()), []
+    if total <= rows:
+        some = usable.collect()
+    else:
+        wanted = {x: max(rows * n // total, min(n, rows // (2 * len(sizes)))) for x, n in sizes.items()}
+        table = docs.sparkSession.createDataFrame([(x, wanted[x], min(1.0, 1.5 * wanted[x] / n)) for x, n in sizes.items()], "lang string, wanted long, rate double")
+        spread = F.xxhash64("row", "part")
+        near = usable.join(F.broadcast(table), "lang").where(spread <= (F.col("rate") * 2.0**64 - 2.0**63))
+        place = F.row_number().over(Window.partitionBy("lang").orderBy(spread, "row", "part"))
+        some = near.withColumn("place", place).where("place <= wanted").collect()
     if not some:
         return None
+    some.sort(key=lambda r: (r["row"], r["part"]))
     langs = sorted({r["lang"] for r in some})
     cut = [8 + (r["key"] >> 8) % (WINDOW - 8) if r["key"] % 2 else WINDOW for r in some]
     windows = np.concatenate([_windows(r["part"].encode()[:n] or b" ")[:1] for r, n in zip(some, cut)])

@@ -20,6 +20,8 @@ SNAP_BYTES = 32
 #: two chunks at its ends, about 8 words, before they fall into step: of passages of 51
 #: words 99 % have such a run, of those of 60 nearly all.
 MIN_WORDS = 25
+#: Bytes that count as a passage where words are this long on average.
+UNSPACED_BYTES, LONG_WORD = 150, 24
 
 
 @lru_cache(1)
@@ -79,6 +81,12 @@ def chunk_digests(text: bytes) -> tuple[list[int], list[int]]:
     return at, [d - (1 << 64) if d >> 63 else d for d in found]
 
 
+def _long_enough(run: bytes, min_words: int) -> bool:
+    """Enough words; or, in writing without spaces, enough bytes."""
+    words = len(run.split())
+    return words >= min_words or (len(run) >= UNSPACED_BYTES and words * LONG_WORD <= len(run))
+
+
 def repeated_runs(text: bytes, known: set[int], min_words: int) -> tuple[int, int, list[tuple[int, int]]]:
     """Chunk count, repeated chunk count, and the spans (start, end) of long runs of these.
 
@@ -94,7 +102,7 @@ def repeated_runs(text: bytes, known: set[int], min_words: int) -> tuple[int, in
         if dup and begin is None:
             begin = i
         elif not dup and begin is not None:
-            if len(text[at[begin] : at[i]].split()) >= min_words:
+            if _long_enough(text[at[begin] : at[i]], min_words):
                 spans.append((at[begin], at[i]))
             begin = None
     return len(digests), sum(again), spans
@@ -107,22 +115,26 @@ def _place(id_column: str, text: str) -> Column:
 
 
 def dedup_substrings(
-    docs: DataFrame, id_column: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, name: str = "dedup"
 ) -> DataFrame:
     """Cut out of each text the passages that an earlier document, or the text itself, has had.
 
     Each distinct digest of a text is compared over all documents: the document with
     the least id keeps it. Runs of repeated chunks with ``min_words`` words or more are
     cut out; shorter ones stay, so neither a chance match of single chunks nor a short
-    stock phrase changes a text, and a false digest match alone has no effect.
+    stock phrase changes a text, and a false digest match alone has no effect. Where words
+    have ``LONG_WORD`` bytes and more on average, as in writing without spaces,
+    ``UNSPACED_BYTES`` do instead.
 
-    Adds ``dedup``: struct of ``n_chunks``, ``n_dup_chunks`` (int), ``spans`` (array of
+    Adds ``name``: struct of ``n_chunks``, ``n_dup_chunks`` (int), ``spans`` (array of
     start and end in bytes of the whole text) and ``kept_text``. All columns stay. A
     text that is repeated as a whole keeps its row and an empty text. A null text stays
     null and has no chunks. Rows of one id are one document: they lose what another
     document had first or what they repeat within a row, but nothing to each other. A
     row without id is a document of its own text, after (nearly) all others.
     """
+    if name in docs.columns:
+        raise ValueError(f"{name} is a column already")
     held = docs.select(F.struct("*").alias("row"), _place(id_column, text).alias("place"))
 
     def digest(batches):
@@ -175,4 +187,4 @@ def dedup_substrings(
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(rows, kind)], names=["row", "dedup"])
 
     done = joined.mapInArrow(cut, schema)
-    return done.select(*[F.col("row").getField(c).alias(c) for c in docs.columns if c != "dedup"], "dedup")
+    return done.select(*[F.col("row").getField(c).alias(c) for c in docs.columns], F.col("dedup").alias(name))

@@ -416,7 +416,12 @@ def collocations(
         .groupBy("lang", "phrase")
         .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "word"))), lambda x: x["word"]), " ").alias("text"))
     )
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
+    order = [F.desc("score"), F.desc("a"), "phrase"]
     named = kept.join(spelt, ["lang", "phrase"]).select("lang", F.col("text").alias("phrase"), "a", "best.l", "best.r", "best.score")
-    ranked = named.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    # the best of a language are among the best of each share of its phrases, so no task ranks them all
+    shares = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = F.pmod(F.xxhash64("phrase"), F.lit(shares))
+    first = named.withColumn("share", share).withColumn("rank", F.row_number().over(Window.partitionBy("lang", "share").orderBy(*order)))
+    ranked = first.where(F.col("rank") <= top).withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+    ranked = ranked.where(F.col("rank") <= top)
     return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

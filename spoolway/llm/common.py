@@ -4,6 +4,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spoolway.scratch import stored
 
@@ -24,6 +25,26 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), GAP), lambda w: w != "")
 
 
+def hashable(df: DataFrame, prefix: str = "") -> list[Column]:
+    """The columns that can be hashed: all but those that hold a map, a variant or the like."""
+
+    def plain(kind: T.DataType) -> bool:
+        if isinstance(kind, T.StructType):
+            return all(plain(f.dataType) for f in kind.fields)
+        if isinstance(kind, T.ArrayType):
+            return plain(kind.elementType)
+        return not isinstance(kind, (T.MapType, T.VariantType, T.NullType))
+
+    return [F.col(f"{prefix}`{f.name}`") for f in df.schema.fields if plain(f.dataType)]
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """The name, lengthened until no column has it."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return name
+
+
 def remainder(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo n; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
@@ -76,4 +97,4 @@ def utf8(column) -> Iterator[bytes]:
         yield value or b""
 
 
-__all__ = ["GAP", "numbered", "remainder", "sampled", "stored", "table", "utf8", "words"]
+__all__ = ["GAP", "hashable", "numbered", "remainder", "sampled", "stored", "table", "unused", "utf8", "words"]

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spoolway.llm.common import stored, utf8
+from spoolway.llm.common import hashable, stored, utf8
 from spoolway.llm.components import components
 
 SEED = 42
@@ -41,8 +41,10 @@ def with_fingerprint(docs: DataFrame, text: str = "text", name: str = "fingerpri
 
     A-Z are lowered; shingles are three words, repeats included, or the whole sequence
     of fewer words. A bit is 1 if it is set in over half of the shingles' XXH64. A null
-    or empty text and one of white space alone give zero.
+    or empty text and one of white space alone give zero. The name must be a new one.
     """
+    if name in docs.columns:
+        raise ValueError(f"{name} is a column already")
     schema = T.StructType([*docs.drop(name, *drop).schema.fields, T.StructField(name, T.LongType())])
     names = schema.fieldNames()
 
@@ -126,8 +128,8 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Keep one whole row of each near-copy group, that of the least id (nulls last).
 
-    Rows that share id and fingerprint are settled by the order of their columns, which
-    must be of kinds that can be ordered; equal rows leave one. Columns stay as they are.
+    Rows that share id and fingerprint are settled by a hash of their columns, but for maps
+    and the like, which can't be hashed; equal rows leave one. Columns stay as they are.
     """
     row = docs.select(F.struct("*").alias("row"), F.col(id_column).alias("id"), F.col(text).alias("text"))
     marked = stored(with_fingerprint(row.select("id", "text"), drop=("text",)), "fingerprints")
@@ -145,5 +147,6 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     # texts are not stored but marked again: one shuffle of whole rows is all
     kept = with_fingerprint(row, drop=("text",)).join(best, same).select("id", "fingerprint", "row", "rows")
     alone = kept.where("rows = 1").select("row")
-    repeated = kept.where("rows > 1").groupBy("id", "fingerprint").agg(F.min("row").alias("row")).select("row")
+    own = F.xxhash64(*hashable(docs, "row."))
+    repeated = kept.where("rows > 1").groupBy("id", "fingerprint").agg(F.min_by("row", own).alias("row")).select("row")
     return alone.unionByName(repeated).select("row.*")

@@ -70,3 +70,12 @@ def test_passages_of_over_fifty_words_are_cut(spark):
 
 def test_empty_table(empty):
     assert chunks.dedup_substrings(empty).count() == 0
+
+
+def test_passages_without_spaces_are_cut(spark):
+    rng = random.Random(6)
+    block = "".join(chr(rng.randrange(0x4E00, 0x5E00)) for _ in range(700))
+    rows = [(1, block), (2, "甲" + block), (3, "".join(chr(rng.randrange(0x4E00, 0x5E00)) for _ in range(700)))]
+    got = {r.doc_id: r.dedup for r in chunks.dedup_substrings(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert not got[1].spans and not got[3].spans
+    assert sum(s["end"] - s["start"] for s in got[2].spans) > 0.8 * len(block.encode())

@@ -184,3 +184,14 @@ def test_held_out_language(spark):
     got = QUERIES["op10_byte_cnn"](spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id")
     held = got.where("held_out").collect()
     assert np.mean([r["lang"] == r["lang_pred"] for r in held]) > 0.97
+
+
+def test_rare_languages_are_learned(spark):
+    """Six labelled rows among very many are in the sample."""
+    rows = [(i, "the cat sat on the mat and the dog ran " + str(i), "en") for i in range(3000)]
+    rows += [(5000 + i, "žluťoučký kůň úpěl ďábelské ódy " + str(i), "cs") for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert bytecnn.fit(df, F.lit(True), rows=200).langs == ["cs", "en"]
+    odd = df.limit(20).selectExpr("*", "map('a', 1) as m")
+    network = bytecnn.fit(odd, F.lit(True), rows=10)
+    assert bytecnn.with_language(odd, network).count() == 20
