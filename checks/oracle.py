@@ -175,6 +175,7 @@ ORACLE: dict[str, str] = {
           persistence_id as key, props as value_text
         from ev"""
     ),
+    "compacted_scan": _events("""select 'audit' as topic, part as "partition", off as "offset", persistence_id as key from ev"""),
     "typed_scan": _events("select user_id, event_id, cents, props from journal where event_type <> 'error'"),
     "append_roundtrip": """
         select case when o_orderstatus <> 'P' then cast(o_custkey as varchar) end as key, o_orderkey as order_key,
@@ -203,6 +204,13 @@ ORACLE: dict[str, str] = {
           coalesce(string_agg(off, ',' order by pos), '') as offsets_csv
         from customer c left join placed p on p.c_custkey = c.c_custkey group by c.c_custkey, c.c_name""",
     "exactly_once": _events("select persistence_id, seq_nr, ticks, tags_csv from journal where value > 50"),
+    "new_checkpoint": _events("select persistence_id, seq_nr, ticks, tags_csv from journal where value > 50"),
+    "append_after_group": _events(
+        """select 'high-events' as topic, part as "partition",
+          row_number() over (partition by part order by second, event_id) - 1 as "offset", key
+        from (select part, event_id, 0 as second, persistence_id as key from journal where value > 50
+          union all select part, event_id, 1, persistence_id from ev where event_type = 'error') t"""
+    ),
     "two_groups": _events(
         """select g.group_id, part as "partition", max(off) + 1 as consumed_to,
           count(case when g.group_id = 'second' or (value > 50 and not is_foreign) then 1 end) as records,
@@ -292,6 +300,24 @@ ORACLE: dict[str, str] = {
     ),
     "fold_udf": _events(_LONGEST_RUN),
     "fold_live": _events(_LONGEST_RUN),
+    "two_tenants": _events(
+        """select concat(tenant, 'akka-journal') as topic, persistence_id, max(seq) as highest_seq_nr, max(saved) as snapshot_seq,
+          count(*) filter (seq > greatest(saved, mark)) as tail_events, count(*) filter (seq > mark) as visible,
+          least(count(*) filter (seq > mark), 6) as replayed
+        from (
+          select *, coalesce(max(case
+              when tenant = '' and event_type = 'error' and seq % 5 = 0 then seq - 3
+              when tenant <> '' and event_type = 'view' and seq % 7 = 0 then seq - 2 end)
+            over (partition by tenant, persistence_id), 0) as mark,
+            coalesce(max(case when seq % 4 = 0 and next_type is distinct from 'click' then seq end)
+            over (partition by tenant, persistence_id), 0) as saved
+          from (
+            select *, lead(event_type) over own as next_type, row_number() over own as seq
+            from (select *, case when event_id % 3 = 0 then 'acme-' else '' end as tenant from ev where not is_foreign) t
+            window own as (partition by tenant, persistence_id order by event_id)) n) m
+        group by tenant, persistence_id"""
+    ),
+    "tag_index": _events('select persistence_id, seq_nr, part as "partition", ticks, tags_csv from journal where value > 50'),
     "tag_union": _events(_TAGS_OF),
     "tag_topic": _events(
         """select tag, concat('acme-akka-journal-tag-', tag) as tag_topic, persistence_id, seq_nr,
@@ -309,6 +335,10 @@ ORACLE: dict[str, str] = {
         where seq_nr > coalesce(deleted_to_seq_nr, 0)"""
     ),
     "events_by_id_live": _events(_BY_ID),
+    "events_by_id_ordered": _events(
+        """select persistence_id, seq_nr, ticks, tags_csv from journal join busiest using (persistence_id)
+        where seq_nr between 2 and (select max(highest_seq_nr) from journal_index) - 2"""
+    ),
     "events_by_tag": _events(_BY_TAG),
     "events_by_tag_live": _events(_BY_TAG),
     "all_events": _events(

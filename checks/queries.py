@@ -25,15 +25,17 @@ from spoolway.schema import (
     OPAQUE_TYPE,
     POSITION_KEYS,
     SEQ_NR,
+    SNAPSHOT_TOPIC,
     TAGS,
     WRITER_UUID,
 )
 from spoolway.scratch import fresh_dir
+from spoolway.sinks import generations as GEN
 from spoolway.sinks import topics as SINK
 from spoolway.sinks.topics import append_topic, place, write_batch
 from spoolway.sources import topics as SRC
 from spoolway.sources.subscriptions import Assignment, AssignmentWithOffset, TopicPattern, Topics
-from spoolway.streaming import control, delivery
+from spoolway.streaming import control, delivery, ordered, tags
 from spoolway.streaming import fold as live
 from spoolway.streaming.index import maintain_index, read_index
 
@@ -145,6 +147,22 @@ def read_committed_scan(spark, sf):
     return SRC.read_topics(spark, root).select(*RECORD, codec.decode_string(F.col("value")).alias("value_text"))
 
 
+@query
+def compacted_scan(spark, sf):
+    """Three batches, a compaction before the last one, and a folder without a commit."""
+    root = fresh_dir(spark, "compacted")
+    rows = W.events(spark, sf).select(
+        "event_id", "part", F.lit("audit").alias("topic"), F.col("persistence_id").alias("key"), F.encode("props", "UTF-8").alias("value")
+    )
+    third = F.floor(F.col("event_id") * 3 / (rows.agg(F.max("event_id")).head()[0] + 1))
+    for batch in range(3):
+        append_topic(rows.where(third == batch), root, batch, ["event_id"], partitioner=F.col("part"))
+        if batch == 1:
+            write_batch(place(rows.where("event_id < 5"), ["event_id"]), root, 99)
+            GEN.compact(spark, root)
+    return SRC.read_topics(spark, root).select(*RECORD)
+
+
 @query
 def typed_scan(spark, sf):
     records = W.journal_topic(spark, sf).where(F.col("seq_nr").isNotNull() & (codec.content_format() == "json"))
@@ -265,21 +283,50 @@ def exactly_once(spark, sf):
     stream = SRC.stream_topics(spark, W.topics_root(spark, sf), Topics([JOURNAL_TOPIC]))
     work = fresh_dir(spark, "exactly-once")
 
-    def high_events(df: DataFrame) -> DataFrame:
-        high = df.where(F.array_contains("tags", "high"))
-        return high.select(
-            F.lit("high-events").alias("topic"), "key", "value", "headers", "timestamp",
-            F.col("partition").alias("source_partition"), F.col("offset").alias("source_offset"),
-        )
-
     running = delivery.exactly_once(
-        stream, f"{work}/out", GROUP, high_events, ["source_partition", "source_offset"], f"{work}/checkpoint"
+        stream, f"{work}/out", GROUP, _high_events, ["source_partition", "source_offset"], f"{work}/checkpoint"
     )
     control.wait(running)
     stored = J.decode_journal(SRC.read_topics(spark, f"{work}/out"))
     return stored.select("persistence_id", "seq_nr", "ticks", csv())
 
 
+def _high_events(df: DataFrame) -> DataFrame:
+    return df.where(F.array_contains("tags", "high")).select(
+        F.lit("high-events").alias("topic"), "key", "value", "headers", "timestamp",
+        F.col("partition").alias("source_partition"), F.col("offset").alias("source_offset"),
+    )
+
+
+def _run_group(spark, sf, out, checkpoint):
+    stream = SRC.stream_topics(spark, W.topics_root(spark, sf), Topics([JOURNAL_TOPIC]))
+    order = ["source_partition", "source_offset"]
+    run = delivery.exactly_once(stream, out, GROUP, _high_events, order, checkpoint, partitioner=F.col("source_partition"))
+    control.wait(run)
+
+
+@query
+def new_checkpoint(spark, sf):
+    """A group that loses its checkpoint and reads everything again produces nothing twice."""
+    work = fresh_dir(spark, "new-checkpoint")
+    for checkpoint in ("first", "second"):
+        _run_group(spark, sf, f"{work}/out", f"{work}/{checkpoint}")
+    stored = J.decode_journal(SRC.read_topics(spark, f"{work}/out"))
+    return stored.select("persistence_id", "seq_nr", "ticks", csv())
+
+
+@query
+def append_after_group(spark, sf):
+    """A plain append to what a group has produced goes on behind it."""
+    work = fresh_dir(spark, "after-group")
+    _run_group(spark, sf, f"{work}/out", f"{work}/checkpoint")
+    errors = W.events(spark, sf).where("event_type = 'error'").select(
+        "event_id", "part", F.lit("high-events").alias("topic"), F.col("persistence_id").alias("key"), F.encode("props", "UTF-8").alias("value")
+    )
+    append_topic(errors, f"{work}/out", 0, ["event_id"], partitioner=F.col("part"))
+    return SRC.read_topics(spark, f"{work}/out").select(*RECORD)
+
+
 @query
 def two_groups(spark, sf):
     """Two groups copy the journal to one output, one after the other, under one ledger."""
@@ -536,6 +583,46 @@ def fold_live(spark, sf):
     return states.select("persistence_id", "events", "longest")
 
 
+@query
+def two_tenants(spark, sf):
+    """The same ids in two tenants' topics, with marks and snapshots of their own."""
+    root = fresh_dir(spark, "two-tenants")
+    tenant = F.when(F.col("event_id") % 3 == 0, W.TENANT).otherwise("")
+    own = W.events(spark, sf).where(~F.col("foreign")).withColumn("tenant", tenant)
+    own = numbered(own, ["tenant", "user_id"], ["event_id"], "seq_nr").withColumns(
+        {
+            "tags": F.array("event_type"),
+            "manifest": F.lit("Shop.Event"),
+            "writer_uuid": F.lit("w"),
+            "payload": F.encode("props", "UTF-8"),
+            "journal_topic": naming.topic_name(JOURNAL_TOPIC, F.col("tenant")),
+        }
+    )
+    journal = J.encode_events(own, F.col("journal_topic")).select("event_id", "part", "topic", "key", "value", "headers", "timestamp")
+    to = F.when((F.col("tenant") == "") & (F.col("event_type") == "error") & (F.col("seq_nr") % 5 == 0), F.col("seq_nr") - 3)
+    to = F.when((F.col("tenant") != "") & (F.col("event_type") == "view") & (F.col("seq_nr") % 7 == 0), F.col("seq_nr") - 2).otherwise(to)
+    marks = own.select(F.col("journal_topic").alias("topic"), "persistence_id", to.alias("to_seq_nr")).where("to_seq_nr is not null")
+    saves = S.encode_saves(own.where("seq_nr % 4 = 0"))
+    deletes = own.where("event_type = 'click' and seq_nr % 4 = 1 and seq_nr > 1").withColumns({"seq_nr": F.col("seq_nr") - 1, "ticks": F.lit(0).cast("bigint")})
+    log = [df.withColumn("topic", naming.topic_name(SNAPSHOT_TOPIC, F.col("tenant"))) for df in (saves, S.encode_seq_deletes(deletes))]
+    columns = ["event_id", "part", "topic", "key", "value", "headers"]
+    append_topic(journal, root, 0, ["event_id"], partitioner=F.col("part"))
+    append_topic(log[0].select(*columns).unionByName(log[1].select(*columns)), root, 1, ["event_id"], partitioner=F.col("part"))
+
+    events = J.decode_journal(SRC.read_topics(spark, root, TopicPattern(f".*{JOURNAL_TOPIC}")))
+    index = J.journal_index(events, marks)
+    requests = index.select(
+        "persistence_id", F.lit(1).cast("bigint").alias("from_seq"), F.lit(10**9).cast("bigint").alias("to_seq"), F.lit(6).cast("bigint").alias("most")
+    ).distinct()
+    keys = ["topic", "persistence_id"]
+    live = S.live_keys(S.decode_snapshot_log(SRC.read_topics(spark, root, TopicPattern(f".*{SNAPSHOT_TOPIC}"), located=True)))
+    recovered = recovery.recover_all(events, index, S.newest(live), marks)
+    for name, found in (("visible", J.visible_events(events, marks)), ("replayed", J.bulk_replay(events, index, requests))):
+        counted = found.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+        recovered = recovered.join(counted, keys, "left").withColumn(name, F.coalesce(name, F.lit(0)))
+    return recovered
+
+
 @query
 def tag_union(spark, sf):
     journal = W.journal(spark, sf)
@@ -589,6 +676,24 @@ def events_by_id_live(spark, sf):
     return _drained(spark, sf, "by-id", lambda stream: R.select_by_id(stream, wanted, from_seq=2))
 
 
+@query
+def events_by_id_ordered(spark, sf):
+    """A live query by id that gives numbers in order though files hold the later half first, and ends at its last number."""
+    work = fresh_dir(spark, "ordered")
+    wanted = _busiest_id(W.index(spark, sf))
+    own = W.journal_events(spark, sf).where(F.col("persistence_id") == wanted)
+    last = own.agg(F.max("seq_nr")).head()[0]
+    # the last number that is asked for is missing, but a later one is there
+    asked = last - 1
+    for batch, rows in enumerate((own.where(f"seq_nr > {last // 2} and seq_nr <> {asked}"), own.where(f"seq_nr <= {last // 2}"))):
+        append_topic(J.encode_events(rows), f"{work}/topics", batch, ["event_id"], partitioner=F.col("part"))
+    checkpoint = f"{work}/checkpoint"
+    stream = SRC.stream_topics(spark, f"{work}/topics", commits_per_batch=1, checkpoint=checkpoint)
+    events = R.select_by_id(stream, wanted).select("topic", "persistence_id", "seq_nr", "ticks", csv())
+    control.tail_until(ordered.in_order(events, 2, asked, wait=2.0), f"{work}/out", checkpoint, asked)
+    return spark.read.parquet(f"{work}/out").where(~F.col("end")).select("persistence_id", "seq_nr", "ticks", "tags_csv")
+
+
 @query
 def events_by_tag(spark, sf):
     return R.events_by_tag(W.journal_topic(spark, sf), "high").select(*EVENT, "ticks", csv())
@@ -599,6 +704,21 @@ def events_by_tag_live(spark, sf):
     return _drained(spark, sf, "by-tag", lambda stream: R.select_by_tag(stream, "high"))
 
 
+@query
+def tag_index(spark, sf):
+    """Events of a tag out of an index that a stream keeps, with a merge of its deltas in between."""
+    work = fresh_dir(spark, "tag-index")
+    own = W.journal_events(spark, sf)
+    half = own.agg(F.max("event_id")).head()[0] // 2
+    for batch, rows in enumerate((own.where(F.col("event_id") <= half), own.where(F.col("event_id") > half))):
+        append_topic(J.encode_events(rows), f"{work}/topics", batch, ["event_id"], partitioner=F.col("part"))
+        # the second run reads everything again, under a new checkpoint
+        control.wait(tags.maintain_tags(SRC.stream_topics(spark, f"{work}/topics"), f"{work}/index", f"{work}/checkpoint-{batch}"))
+        if batch == 0:
+            tags.compact_tags(spark, f"{work}/index")
+    return tags.events_by_tag(spark, f"{work}/index", "high").select("persistence_id", "seq_nr", "partition", "ticks", csv())
+
+
 @query
 def all_events(spark, sf):
     found = R.all_events(W.journal_topic(spark, sf))

@@ -42,7 +42,8 @@ def unread(df: DataFrame, positions: DataFrame, group_id: str) -> DataFrame:
     return joined.where(F.col("offset") >= F.coalesce("_next", F.lit(0))).select(*df.columns)
 
 
-def _start(stream: DataFrame, process: Callable, checkpoint: str, every: str | None) -> StreamingQuery:
+def start(stream: DataFrame, process: Callable, checkpoint: str, every: str | None) -> StreamingQuery:
+    """Run ``process`` on each micro-batch, again and again or, without ``every``, on what there is."""
     writer = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
@@ -105,7 +106,7 @@ def exactly_once(
 
         writer.commit(df, make)
 
-    return _start(stream, process, checkpoint, every)
+    return start(stream, process, checkpoint, every)
 
 
 def at_most_once(
@@ -129,7 +130,7 @@ def at_most_once(
         if writer.commit(df, make):
             process(found[-1], batch)
 
-    return _start(stream, commit_then_process, checkpoint, every)
+    return start(stream, commit_then_process, checkpoint, every)
 
 
 def commit_flow(
@@ -152,7 +153,32 @@ def commit_flow(
 
         writer.commit(df, make)
 
-    return _start(stream, process_then_commit, checkpoint, every)
+    return start(stream, process_then_commit, checkpoint, every)
+
+
+def follow_commits(
+    spark: SparkSession,
+    root: str,
+    process: Callable[[SparkSession, list[int], int], None],
+    checkpoint: str,
+    commits_per_trigger: int | None = None,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Follow a topic table by its commits; ``process`` gets the session and the new batches, in their order."""
+    reader = spark.readStream.schema(LINE)
+    if commits_per_trigger:
+        # a commit is one file
+        reader = reader.option("maxFilesPerTrigger", commits_per_trigger)
+    lines = reader.json(f"{files.qualified(spark, root)}/commits")
+    stream = lines.where((F.col("kind") == "batch") & (F.col("records") > 0))
+
+    def batches(df: DataFrame, batch: int) -> None:
+        # one row per commit
+        found = [row["batch"] for row in sorted(df.select("seq", "batch").collect())]
+        if found:
+            process(df.sparkSession, found, batch)
+
+    return start(stream, batches, checkpoint, every)
 
 
 def for_each_committed(
@@ -164,20 +190,12 @@ def for_each_committed(
     batches_per_trigger: int | None = None,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Follow a topic table by its commit rows, so that only committed batches are seen.
+    """Hand over the records of the batches committed since the last call, read in the JVM.
 
-    ``process`` gets the records of the batches committed since the last call.
+    Unlike ``stream_topics`` it is for sinks only, but takes its limit with any trigger.
     """
-    root = files.qualified(spark, root)
-    reader = spark.readStream.schema(LINE)
-    if batches_per_trigger:
-        # a commit is one file
-        reader = reader.option("maxFilesPerTrigger", batches_per_trigger)
-    stream = reader.json(f"{root}/commits").where((F.col("kind") == "batch") & (F.col("records") > 0))
 
-    def read_batches(df: DataFrame, batch: int) -> None:
-        # one row per commit
-        found = [row["batch"] for row in df.select("batch").collect()]
-        process(read_topics(df.sparkSession, root, subscription, found), batch)
+    def read_batches(session: SparkSession, found: list[int], batch: int) -> None:
+        process(read_topics(session, root, subscription, found), batch)
 
-    return _start(stream, read_batches, checkpoint, every)
+    return follow_commits(spark, root, read_batches, checkpoint, batches_per_trigger, every)
