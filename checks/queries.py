@@ -690,7 +690,7 @@ def events_by_id_ordered(spark, sf):
     checkpoint = f"{work}/checkpoint"
     stream = SRC.stream_topics(spark, f"{work}/topics", commits_per_batch=1, checkpoint=checkpoint)
     events = R.select_by_id(stream, wanted).select("topic", "persistence_id", "seq_nr", "ticks", csv())
-    control.tail_until(ordered.in_order(events, 2, asked, wait=2.0), f"{work}/out", checkpoint, asked)
+    control.tail_until(ordered.in_order(events, 2, asked, wait=30.0), f"{work}/out", checkpoint, asked)
     return spark.read.parquet(f"{work}/out").where(~F.col("end")).select("persistence_id", "seq_nr", "ticks", "tags_csv")
 
 

@@ -77,6 +77,37 @@ def test_live_set_equals_the_sequential_fold(spark, seed, rising, rows_per_task,
     assert all(bytes(r.payload) == str(r.offset).encode() for r in got)
 
 
+def test_payloads_are_fetched_by_position(spark, tmp_path):
+    rows = random_log(7, ids=8, actions=40)
+    path = str(tmp_path / "bodies")
+    headers = F.map_from_arrays(F.array(F.lit("akka-manifest"), F.lit("content-type")), F.array(F.encode("manifest", "UTF-8"), F.lit(b"application/json")))
+    stored = spark.createDataFrame(rows, LOG).withColumns({"value": F.col("payload"), "headers": headers})
+    stored.repartition(3).write.option("parquet.block.size", "4096").parquet(path)
+    read = spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    log = read.withColumn("topic", F.lit("akka-snapshots")).drop("value", "headers")
+    found = S.live_snapshots(log)
+    got = found.collect()
+    assert {(r.persistence_id, r.seq_nr, r.ticks, r.offset) for r in got} == fold(rows) and len(got) == len(fold(rows))
+    assert all(bytes(r.payload) == str(r.offset).encode() and (r.manifest, r.format) == ("M", "json") for r in got)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # only keys and places are dealt out
+    plan = plan.split("== Initial Plan ==")[0]
+    assert "SortMergeJoin" not in plan and plan.count("Exchange ") == 1
+
+
+def test_one_id_in_two_topics_is_two_entities(spark):
+    rows = random_log(3, ids=4)
+    log = spark.createDataFrame(rows, LOG)
+    others = [r for r in rows if r[3] != "del_range"]
+    both = log.withColumn("topic", F.lit("akka-snapshots")).unionByName(
+        spark.createDataFrame(others, LOG).withColumn("topic", F.lit("acme-akka-snapshots"))
+    )
+    got = {}
+    for r in S.live_keys(both).collect():
+        got.setdefault(r.topic, set()).add((r.persistence_id, r.seq_nr, r.ticks, r.offset))
+    assert got == {"akka-snapshots": fold(rows), "acme-akka-snapshots": fold(others)}
+
+
 def test_load_takes_the_highest_match_of_every_wanted_id(spark):
     rows = random_log(9)
     criteria = [(f"id{n}", 3, 25, 0, 10**16) for n in range(0, 30, 2)]

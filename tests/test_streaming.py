@@ -1,4 +1,5 @@
 import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,9 +9,9 @@ from spoolway.plans import readjournal as R
 from spoolway.schema import TOPIC
 from spoolway.sinks import topics as SINK
 from spoolway.sources import topics as SRC
-from spoolway.streaming import control, delivery
+from spoolway.streaming import control, delivery, ordered, tags
 from spoolway.streaming import fold as live_fold
-from spoolway.streaming.index import maintain_index, read_index
+from spoolway.streaming.index import maintain_index, maintain_index_topic, read_index
 
 
 def events(spark, start, n):
@@ -308,4 +309,92 @@ def test_live_fold_joins_its_batches_in_order(spark, root, tmp_path):
     assert run() == [(f"id{k}", 60, 6, 60 % 7) for k in range(3)]
     SINK.append_topic(events(spark, 180, 60), root, 3, ["n"], 4)
     assert run() == [(f"id{k}", 80, 6, 80 % 7) for k in range(3)]
-    assert len(list((tmp_path / "states").glob("batch=*"))) == 4
+    levels = live_fold.Levels(spark, path, folds.RUN, ["persistence_id"])
+    assert [r["level"] for r in levels.manifest()[1]["runs"]] == [0] * 4
+
+
+def test_states_of_many_batches_stay_few(spark, root, tmp_path, monkeypatch):
+    from checks import folds
+
+    monkeypatch.setattr(live_fold, "RUNS_PER_LEVEL", 2)
+    for batch in range(3, 7):
+        SINK.append_topic(events(spark, 60 * batch, 60), root, batch, ["n"], 4)
+    path = str(tmp_path / "states")
+
+    def flags(journal):
+        return journal.select("topic", "persistence_id", "offset", (F.col("seq_nr") % 7 != 0).cast("bigint").alias("high"))
+
+    levels = live_fold.Levels(spark, path, folds.RUN, ["topic", "persistence_id"])
+    # the second run reads all commits again, under a new checkpoint
+    for checkpoint in ("1", "2"):
+        query = live_fold.maintain_fold(
+            spark, root, path, str(tmp_path / checkpoint), flags, folds.NO_RUN, folds.add_events, folds.join_runs, folds.RUN, batches_per_trigger=1
+        )
+        control.wait(query)
+        # seven batches are 4 + 2 + 1
+        assert [r["level"] for r in levels.manifest()[1]["runs"]] == [2, 1, 0]
+        states = live_fold.read_fold(spark, path, folds.NO_RUN, folds.join_runs, folds.RUN)
+        assert rows(states, "topic", "persistence_id", "events", "longest", "trailing") == [("akka-journal", f"id{k}", 140, 6, 0) for k in range(3)]
+
+
+def test_tag_index_equals_the_scan_after_failures(spark, root, tmp_path, monkeypatch):
+    path, columns = str(tmp_path / "tags"), ["persistence_id", "seq_nr", "partition", "offset", "ticks"]
+
+    def run(checkpoint="c"):
+        control.wait(tags.maintain_tags(SRC.stream_topics(spark, root), path, str(tmp_path / checkpoint), buckets=4))
+
+    monkeypatch.setattr(delivery, "commit_batch", Once(delivery.commit_batch, 0))
+    with pytest.raises(Exception, match="executor lost"):
+        run()
+    run()
+    want = rows(R.events_by_tag(SRC.read_topics(spark, root), "even"), *columns)
+    assert rows(tags.events_by_tag(spark, path, "even", buckets=4), *columns) == want != []
+    assert tags.events_by_tag(spark, path, "odd", buckets=4).count() == 0
+    # another delta, a merge in between, and a new checkpoint that reads everything again
+    held = tags.events_by_tag(spark, path, "even", buckets=4)
+    tags.compact_tags(spark, path)
+    SINK.append_topic(events(spark, 180, 60), root, 3, ["n"], 4)
+    run("other")
+    found = tags.events_by_tag(spark, path, "even", buckets=4)
+    assert rows(found, *columns) == rows(R.events_by_tag(SRC.read_topics(spark, root), "even"), *columns)
+    assert rows(held, *columns) == want
+    filters = found._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1:]
+    assert filters and all("tag_bucket" in f.split("]")[0] for f in filters)
+    after = spark.createDataFrame([("akka-journal", p, 10) for p in range(4)], "topic string, partition int, start bigint")
+    assert rows(tags.events_by_tag(spark, path, "even", after, 4), *columns) == [r for r in rows(found, *columns) if r[3] > 10]
+
+
+def test_numbers_come_in_order_and_gaps_are_waited_for(spark, tmp_path):
+    root, checkpoint = str(tmp_path / "j"), str(tmp_path / "c")
+    given = [[5, 6, 3], [1, 3, 9], [2], [12]]
+    schema = "n bigint, topic string, persistence_id string, seq_nr bigint, payload binary, tags array<string>, manifest string, writer_uuid string, ticks bigint"
+    for batch, numbers in enumerate(given):
+        rows_of = [(i, "akka-journal", pid, s, b"x", [], "M", "w", 10**17 + s) for i, (pid, s) in enumerate([(p, s) for p in ("a", "b") for s in numbers])]
+        frame = spark.createDataFrame(rows_of, schema)
+        SINK.append_topic(J.encode_events(frame.drop("topic")), root, batch, ["n"], 1)
+    stream = SRC.stream_topics(spark, root, commits_per_batch=1, checkpoint=checkpoint)
+    found = ordered.in_order(R.select_all(stream).select("topic", "persistence_id", "seq_nr", "ticks"), 1, 10, wait=10.0)
+    seen = []
+
+    def take(df, batch):
+        seen.extend((r.persistence_id, r.seq_nr, r.end) for r in df.collect())
+
+    query = found.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(processingTime="500 milliseconds").start()
+    for _ in range(480):
+        if sum(end for *_, end in seen) == 2 or not query.isActive:
+            break
+        time.sleep(0.25)
+    query.stop()
+    for pid in ("a", "b"):
+        # 4, 7, 8 and 10 never come; 12 is past the end
+        assert [(s, e) for p, s, e in seen if p == pid] == [(s, False) for s in (1, 2, 3, 5, 6, 9)] + [(10, True)]
+
+
+def test_the_index_topic_is_kept_by_a_stream(spark, root, tmp_path):
+    out = str(tmp_path / "index")
+    for checkpoint in ("1", "2"):
+        control.wait(maintain_index_topic(SRC.stream_topics(spark, root), out, str(tmp_path / checkpoint)))
+        SINK.append_topic(events(spark, 180, 60), root, 3, ["n"], 4)
+    got = J.decode_index(J.compact_latest(SRC.read_topics(spark, out)))
+    want = J.journal_index(J.decode_journal(SRC.read_topics(spark, root)))
+    assert rows(got, *want.columns) == rows(want, *want.columns)
