@@ -263,6 +263,10 @@ ORACLE: dict[str, str] = {
         f"""select i.persistence_id, highest_seq_nr, "partition", first_offset, last_offset, tags_csv
         from journal_index i join ({_TAGS_OF}) t using (persistence_id)"""
     ),
+    "index_topic_live": _events(
+        f"""select 'akka-journal' as topic, i.persistence_id, highest_seq_nr, "partition", first_offset, last_offset, tags_csv
+        from journal_index i join ({_TAGS_OF}) t using (persistence_id)"""
+    ),
     "compact_latest": _events(
         """select key, part as "partition", off as "offset", seq_nr from topic where key is not null and has_body
         qualify row_number() over (partition by key order by off desc) = 1"""

@@ -37,7 +37,7 @@ from spoolway.sources import topics as SRC
 from spoolway.sources.subscriptions import Assignment, AssignmentWithOffset, TopicPattern, Topics
 from spoolway.streaming import control, delivery, ordered, tags
 from spoolway.streaming import fold as live
-from spoolway.streaming.index import maintain_index, read_index
+from spoolway.streaming.index import maintain_index, maintain_index_topic, read_index
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -454,6 +454,17 @@ def journal_index_live(spark, sf):
     )
 
 
+@query
+def index_topic_live(spark, sf):
+    """The index topic as a stream keeps it, read again from the start by a second checkpoint."""
+    work = fresh_dir(spark, "index-topic-live")
+    for checkpoint in ("first", "second"):
+        stream = SRC.stream_topics(spark, W.topics_root(spark, sf), Topics([JOURNAL_TOPIC]))
+        control.wait(maintain_index_topic(stream, f"{work}/index", f"{work}/{checkpoint}"))
+    index = J.decode_index(J.compact_latest(SRC.read_topics(spark, f"{work}/index")))
+    return index.select("topic", "persistence_id", "highest_seq_nr", "partition", "first_offset", "last_offset", csv())
+
+
 def _index_topic(spark, sf) -> DataFrame:
     """The index topic: every entry, then those of the deleted ids again with their marks."""
     root = fresh_dir(spark, "index-topic")

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from spoolway.functions import codec, naming
-from spoolway.operators.skew import ROWS_PER_TASK, entity_keys, numbered, skew_join
+from spoolway.operators.skew import ROWS_PER_TASK, entity_keys, join_few, numbered, skew_join
 from spoolway.schema import (
     CONTENT_TYPE,
     JOURNAL_TOPIC,
@@ -65,9 +65,9 @@ def validate(events: DataFrame) -> tuple[DataFrame, DataFrame]:
         .when(F.col("payload").isNull(), "no payload")
     )
     checked = events.withColumn("reason", reason)
-    failed = checked.where(F.col("reason").isNotNull()).select("atomic_id").distinct().withColumn("_failed", F.lit(True))
     # a null atomic id matches nothing here: such an event is a write of its own
-    judged = skew_join(checked, failed, ["atomic_id"], "left")
+    failed = checked.where(F.col("reason").isNotNull() & F.col("atomic_id").isNotNull()).select("atomic_id").distinct()
+    judged = join_few(checked, failed.withColumn("_failed", F.lit(True)), ["atomic_id"], "left")
     fails = F.col("_failed").isNotNull() | F.col("reason").isNotNull()
     accepted = judged.where(~fails).drop("_failed", "reason")
     rejected = judged.where(fails).drop("_failed")

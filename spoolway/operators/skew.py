@@ -44,6 +44,17 @@ def broadcast_small(df: DataFrame, most_rows: int = MAX_SMALL_ROWS) -> DataFrame
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
 
 
+def join_few(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join a large side with one that usually has few rows, one per key, without a shuffle if it has.
+
+    The right side is stored, so that it is computed once, and its rows are counted.
+    """
+    right = stored(right, "few")
+    if right.count() <= MAX_SMALL_ROWS:
+        return left.join(F.broadcast(right), list(on), how)
+    return skew_join(left, right, on, how)
+
+
 def spread(df: DataFrame, found: int, *by: str, rows: int = ROWS_PER_FAN_OUT) -> DataFrame:
     """Partition ``found`` rows ahead of a step that makes many rows of each.
 

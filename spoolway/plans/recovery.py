@@ -29,18 +29,20 @@ def recovery_tail(
     The index tells which ids are hot, by their highest sequence number. Snapshots and
     marks with a topic, which is the journal's, hold for that topic only.
     """
-    joined = journal
-    for bound in (
-        snapshots.select(*entity_keys(snapshots), F.col("seq_nr").alias("_after")),
-        None if marks is None else deleted_to(marks).withColumnRenamed("deleted_to_seq_nr", "_after"),
-    ):
-        if bound is None:
-            continue
-        on = entity_keys(journal, bound)
-        hot = index.where(F.col("highest_seq_nr") > rows_per_task).select(*on).distinct().collect()
-        joined = skew_join(joined, bound.withColumnRenamed("_after", "_bound"), on, "left", hot=hot)
-        known = F.col("_after") if "_after" in joined.columns else F.lit(0)
-        joined = joined.withColumn("_after", F.greatest(known, F.coalesce("_bound", F.lit(0)))).drop("_bound")
+    ids = entity_keys(journal, index)
+
+    def bound(df: DataFrame, column: str) -> DataFrame:
+        found = df.select(*entity_keys(df), F.col(column).alias("_after"))
+        on = entity_keys(found, index)
+        # what speaks of every topic is told apart by the topics that have the id
+        return found.select(*ids, "_after") if on == ids else found.join(index.select(*ids), on).select(*ids, "_after")
+
+    start = bound(snapshots, "seq_nr")
+    if marks is not None:
+        start = start.unionByName(bound(deleted_to(marks), "deleted_to_seq_nr"))
+    start = start.groupBy(*ids).agg(F.max("_after").alias("_after"))
+    hot = index.where(F.col("highest_seq_nr") > rows_per_task).select(*ids).collect()
+    joined = skew_join(journal, start, ids, "left", hot=hot)
     return joined.where(F.col("seq_nr") > F.coalesce("_after", F.lit(0))).drop("_after")
 
 
