@@ -7,6 +7,7 @@ are written to Spark's ``noop`` sink, so all rows and columns are computed.
 
 import json
 import os
+import tempfile
 import time
 
 from checks import workload
@@ -50,7 +51,9 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    spark = session(f"local[{cpus}]", int(cpus), **{"spark.ui.enabled": "false", "spark.driver.memory": "8g"})
+    shared = tempfile.mkdtemp(prefix="spoolway-bench-")
+    conf = {"spark.ui.enabled": "false", "spark.driver.memory": "8g", "spark.checkpoint.dir": shared}
+    spark = session(f"local[{cpus}]", int(cpus), **conf)
     spark.sparkContext.setLogLevel("OFF")
 
     def run(name: str) -> None:

@@ -1,6 +1,7 @@
 """Run each query in Spark and its SQL in DuckDB, and compare names and values."""
 
 import sys
+import tempfile
 import time
 from decimal import Decimal
 from pathlib import Path
@@ -24,7 +25,8 @@ def normal(columns, rows):
 
 
 def main(sf_dir: str, names: list[str]) -> int:
-    spark = session("local[8]", 8, **{"spark.ui.enabled": "false"})
+    shared = tempfile.mkdtemp(prefix="spoolway-compare-")
+    spark = session("local[8]", 8, **{"spark.ui.enabled": "false", "spark.checkpoint.dir": shared})
     spark.sparkContext.setLogLevel("OFF")
     con = duckdb.connect()
     for path in Path(sf_dir).glob("*.parquet"):

@@ -62,20 +62,24 @@ class GroupWriter:
         ``make`` gets these records, the log, its state and the batch's number, and returns commit
         rows of what it wrote. If others commit meanwhile, it is called again on the new state.
         """
-        spark = df.sparkSession
-        log = CommitLog(spark, self.root)
-        for attempt in range(TRIES):
-            at, number = log.head(), next(self.numbers)
-            fresh = unread(df, log.positions(at), self.group_id)
-            rows = consumed_rows(fresh, self.group_id)
-            produced = make(fresh, log, at, number)
-            rows = rows if produced is None else produced.unionByName(rows)
-            try:
-                return commit_batch(rows, self.root, number, at, self.group_id, self.token) > at.seq
-            except Conflict:
-                if attempt == TRIES - 1:
-                    raise
-        return False
+        log = CommitLog(df.sparkSession, self.root)
+        # records are numbered, written and counted; a lost block is read again
+        df = df.persist()
+        try:
+            for attempt in range(TRIES):
+                at, number = log.head(), next(self.numbers)
+                fresh = df if at.seq < 0 else unread(df, log.positions(at), self.group_id)
+                rows = consumed_rows(fresh, self.group_id)
+                produced = make(fresh, log, at, number)
+                rows = rows if produced is None else produced.unionByName(rows)
+                try:
+                    return commit_batch(rows, self.root, number, at, self.group_id, self.token) > at.seq
+                except Conflict:
+                    if attempt == TRIES - 1:
+                        raise
+            return False
+        finally:
+            df.unpersist()
 
 
 def exactly_once(
