@@ -1,5 +1,6 @@
 """Near copies by SimHash, found through an inverted index of positional bytes."""
 
+from collections.abc import Callable
 from itertools import accumulate, combinations
 
 from pyspark.sql import Column, DataFrame
@@ -131,9 +132,24 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     Rows that share id and fingerprint are settled by a hash of their columns, but for maps
     and the like, which can't be hashed; equal rows leave one. Columns stay as they are.
     """
+
+    def mark(df: DataFrame) -> DataFrame:
+        return with_fingerprint(df, drop=("text",))
+
+    marked = stored(mark(docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))), "fingerprints")
+    return least_of_classes(docs, id_column, text, marked, classes(marked, "id"), mark)
+
+
+def least_of_classes(
+    docs: DataFrame, id_column: str, text: str, marked: DataFrame, found: DataFrame, mark: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """The whole row of the least id of each class.
+
+    ``marked`` has id and fingerprint of all rows, ``found`` the class of each fingerprint, and
+    ``mark`` puts the fingerprint in place of the column ``text``.
+    """
     row = docs.select(F.struct("*").alias("row"), F.col(id_column).alias("id"), F.col(text).alias("text"))
-    marked = stored(with_fingerprint(row.select("id", "text"), drop=("text",)), "fingerprints")
-    found = classes(marked, "id").withColumnRenamed("fingerprint", "fp")
+    found = found.withColumnRenamed("fingerprint", "fp")
     order = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("fingerprint").alias("fp"))
     best = (
         marked.groupBy("id", "fingerprint")
@@ -145,7 +161,7 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     )
     same = F.col("id").eqNullSafe(F.col("best_id")) & (F.col("fingerprint") == F.col("best_fp"))
     # texts are not stored but marked again: one shuffle of whole rows is all
-    kept = with_fingerprint(row, drop=("text",)).join(best, same).select("id", "fingerprint", "row", "rows")
+    kept = mark(row).join(best, same).select("id", "fingerprint", "row", "rows")
     alone = kept.where("rows = 1").select("row")
     own = F.xxhash64(*hashable(docs, "row."))
     repeated = kept.where("rows > 1").groupBy("id", "fingerprint").agg(F.min_by("row", own).alias("row")).select("row")
