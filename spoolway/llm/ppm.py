@@ -8,37 +8,59 @@ from pyspark.sql import types as T
 
 from spoolway.llm.common import stored, utf8
 
-#: A context has up to so many bytes and does not reach past the start of the word.
-ORDER = 6
+#: A context has up to so many bytes, those of earlier words and the spaces between included.
+ORDER = 5
 #: Nodes of the lowest orders, up to this one, go with the tasks: 65,536 and 256 at most.
 LOW = 1
-#: Codes of at least one in so many bytes of the distinct tokens' spellings go with the tasks.
-HOT = 1 << 20
+#: Codes of at least one in so many bytes of all texts go with the tasks; there are no more.
+HOT = 1 << 22
 #: Tokens of at least one in so many tokens go with the tasks; there are no more.
 FREQUENT = 1 << 20
 #: A word ends in a space; a line feed, which no word holds, ends the text.
 WORD_END, TEXT_END = b" ", b"\n"
 DISCOUNT = 0.5
 FLUSH = 500_000
+#: Bytes of text whose codes are in memory at a time, and the codes that a task holds back.
+BLOCK, HELD = 1 << 20, 1 << 21
 
 
-def _codes(tokens: list[bytes]):
-    """Each byte of the spelled tokens with its context, as one number, and the token it belongs to.
+def _spelled(tokens: list[bytes]) -> bytes:
+    """The bytes that are predicted: each word with the space after it, then the end of the text."""
+    return b"".join([WORD_END.join(tokens), WORD_END if tokens else b"", TEXT_END])
 
-    The number holds ``ORDER`` bytes of context, zero before the word, and the byte.
+
+def _codes(spelled: list[bytes]):
+    """Blocks of (code, text): each byte with its context as one number, and the text it is from.
+
+    The number holds ``ORDER`` bytes of context, zero before the start of the text, and the
+    byte. Blocks cut long texts; contexts reach back over the cut.
     """
     import numpy as np
 
-    spelled = [t + WORD_END if t else TEXT_END for t in tokens]
     pad = b"\0" * ORDER
-    raw = np.frombuffer(pad + pad.join(spelled), np.uint8).astype(np.int64)
-    size = np.array([len(s) for s in spelled])
-    own = np.repeat(np.arange(len(spelled)), size)
-    at = np.arange(len(own)) + ORDER * (own + 1)
-    code = np.zeros(len(at), np.int64)
-    for back in range(ORDER, -1, -1):
-        code = code << 8 | raw[at - back]
-    return code, own
+    raw = np.frombuffer(pad + pad.join(spelled), np.uint8)
+    size = np.array([len(x) for x in spelled], np.int64)
+    start = np.cumsum(size + ORDER) - size
+    for first in range(ORDER, len(raw), BLOCK):
+        last = min(first + BLOCK, len(raw))
+        code = np.zeros(last - first, np.int64)
+        for back in range(ORDER, -1, -1):
+            code <<= 8
+            code |= raw[first - back : last - back]
+        at = np.arange(first, last)
+        own = np.searchsorted(start, at, "right") - 1
+        inside = at < start[own] + size[own]
+        yield code[inside], own[inside]
+
+
+def _summed(codes, *weights):
+    """The distinct codes in order, and for each the sums of its weights."""
+    import numpy as np
+
+    order = np.argsort(codes, kind="stable")
+    codes = codes[order]
+    first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])) if len(codes) else np.empty(0, np.int64)
+    return codes[first], *(np.add.reduceat(w[order], first) if len(codes) else w for w in weights)
 
 
 def token_counts(docs: DataFrame, text: str, train: Column | None = None) -> DataFrame:
@@ -76,29 +98,54 @@ def token_counts(docs: DataFrame, text: str, train: Column | None = None) -> Dat
     return partial.groupBy("token").agg(F.sum("n").alias("n"), F.sum("times").alias("times"))
 
 
-def context_counts(tokens: DataFrame) -> DataFrame:
-    """(code, n, spelled): how often each byte follows each context of the highest order, from (token, n).
+def context_counts(docs: DataFrame, text: str, train: Column | None = None) -> DataFrame:
+    """(code, n, uses): how often each byte follows each context of the highest order.
 
-    ``spelled`` counts each token once; ``n`` is zero for codes of tokens that are not learned.
+    ``uses`` counts all texts, ``n`` those for which ``train`` is true, all without it. A
+    task adds up its blocks first and sends what it has met, in parts of bounded size.
     """
 
     def count(batches):
         import numpy as np
         import pyarrow as pa
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            code, own = _codes(batch.column(0).to_pylist())
-            weight = batch.column(1).to_numpy()[own]
-            order = np.argsort(code, kind="stable")
-            code, weight = code[order], weight[order]
-            first = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
-            sums = [np.add.reduceat(weight, first), np.diff(np.append(first, len(code)))]
-            yield pa.RecordBatch.from_arrays([pa.array(code[first]), *map(pa.array, sums)], names=["code", "n", "spelled"])
+        def out(parts):
+            found = _summed(*map(np.concatenate, zip(*parts)))
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["code", "n", "uses"])
+
+        parts, held = [], 0
+        for spelled, learned in _texts(batches):
+            learned = np.array(learned, bool)
+            for code, own in _codes(spelled):
+                parts.append(_summed(code, learned[own].astype(np.int64), np.ones(len(code), np.int64)))
+                held += len(parts[-1][0])
+                if held > HELD:
+                    parts = [_summed(*map(np.concatenate, zip(*parts)))]
+                    held = len(parts[0][0])
+                    if 2 * held > HELD:
+                        yield out(parts)
+                        parts, held = [], 0
+        if parts:
+            yield out(parts)
+
+    learned = F.lit(True) if train is None else F.coalesce(train, F.lit(False))
+    partial = docs.select(F.col(text), learned.alias("_learned")).mapInArrow(count, "code bigint, n bigint, uses bigint")
+    return partial.groupBy("code").agg(F.sum("n").alias("n"), F.sum("uses").alias("uses"))
 
-    partial = tokens.select("token", "n").mapInArrow(count, "code bigint, n bigint, spelled bigint")
-    return partial.groupBy("code").agg(F.sum("n").alias("n"), F.sum("spelled").alias("spelled"))
+
+def _texts(batches):
+    """Lists of spelled texts with their marks, of about a block each; a longer text is a list of its own."""
+    spelled, marks, size = [], [], 0
+    for batch in batches:
+        for value, mark in zip(utf8(batch.column(0)), batch.column(1).to_pylist()):
+            spelled.append(_spelled(value.lower().split()))
+            marks.append(mark)
+            size += len(spelled[-1])
+            if size > BLOCK:
+                yield spelled, marks
+                spelled, marks, size = [], [], 0
+    if spelled:
+        yield spelled, marks
 
 
 @dataclass
@@ -165,7 +212,7 @@ def fit(counts: DataFrame, nodes: int | None = None, order: int = ORDER) -> list
 
 
 def code_scores(counts: DataFrame) -> DataFrame:
-    """(code, score, spelled): the log10 probability of each code of ``counts`` under the whole trie.
+    """(code, score, uses): the log10 probability of each code of ``counts`` under the whole trie.
 
     All nodes count, however rare. Codes are grouped by the last ``LOW + 1`` bytes of
     their contexts, so each group has all nodes of the higher orders that its codes ask
@@ -190,11 +237,11 @@ def code_scores(counts: DataFrame) -> DataFrame:
         _exclude([*levels, low.value[0]])
         found = byte_scores([*levels, *low.value], codes)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(codes), pa.array(found), table.column("spelled").combine_chunks()], names=["code", "score", "spelled"]
+            [pa.array(codes), pa.array(found), table.column("uses").combine_chunks()], names=["code", "score", "uses"]
         )
 
     suffix = F.shiftrightunsigned("code", 8).bitwiseAND((1 << 8 * (LOW + 1)) - 1)
-    return counts.withColumn("suffix", suffix).groupBy("suffix").applyInArrow(_whole(score), "code bigint, score double, spelled bigint")
+    return counts.withColumn("suffix", suffix).groupBy("suffix").applyInArrow(_whole(score), "code bigint, score double, uses bigint")
 
 
 def _whole(function):
@@ -248,52 +295,19 @@ def byte_scores(levels: list[Level], codes):
     return out
 
 
-def token_scores(tokens: DataFrame, codes: DataFrame) -> DataFrame:
-    """(token, n, times, score): log10 probability of each token's spelling, from the scores of codes.
-
-    Codes that many tokens share go with the tasks; the others meet them in a join.
-    """
-    spark = tokens.sparkSession
-    size = codes.agg(F.coalesce(F.sum("spelled"), F.lit(0))).first()[0]
-    rows = codes.where(F.col("spelled") * HOT >= F.lit(size)).orderBy("code").toArrow()
-    hot = spark.sparkContext.broadcast((rows.column("code").to_numpy(), rows.column("score").to_numpy()))
-
-    def spell(batches):
-        import numpy as np
-        import pyarrow as pa
-
-        often, value = hot.value
-        for batch in batches:
-            for start in range(0, batch.num_rows, 4096):
-                part = batch.slice(start, 4096)
-                code, own = _codes(part.column("token").to_pylist())
-                at, hit = _find(often, code)
-                sums = np.bincount(own[hit], value[at[hit]], part.num_rows)
-                ends = np.append(0, np.cumsum(np.bincount(own[~hit], minlength=part.num_rows)))
-                rest = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(code[~hit]))
-                arrays = [*(part.column(c) for c in ("token", "n", "times")), pa.array(sums), rest]
-                yield pa.RecordBatch.from_arrays(arrays, names=["token", "n", "times", "part", "rest"])
-
-    spelled = stored(tokens.mapInArrow(spell, "token binary, n bigint, times bigint, part double, rest array<bigint>"), "spelled")
-    each = spelled.select(F.col("token").alias("of"), F.explode("rest").alias("asked"))
-    sums = each.join(codes, F.col("asked") == F.col("code")).groupBy("of").agg(F.sum("score").alias("more"))
-    joined = spelled.join(sums, F.col("token") == F.col("of"), "left")
-    return joined.select("token", "n", "times", (F.col("part") + F.coalesce("more", F.lit(0.0))).alias("score"))
-
-
 def with_scores(docs: DataFrame, train: Column, text: str = "text") -> DataFrame:
     """Score each whole text by a model of the texts for which ``train`` is true.
 
     One row per row of ``docs``: ``row`` with all its columns, ``n_tokens`` (words and
     one end), ``n_known`` (tokens that the training texts have), ``train_tokens``,
-    ``base_score`` (token counts with one added) and ``score``: log10 probability of the
-    lowered words and the end under the trie, each word spelled with the space after it.
-    Null counts as empty: one token, the end. Without training rows nothing is known,
-    the base is 0 and bytes are equally likely.
-
-    Counts cover all training rows and all contexts, however rare. Each distinct token
-    of the texts is scored once, in Spark. The frequent ones go with the tasks, bounded
-    by relative frequency; all others meet the texts in a join on the token, where by
+    ``base_score`` (token counts with one added) and ``score``: log10 probability under the
+    trie of the lowered words, each with a space after it, and the end, byte after byte;
+    contexts go on from word to word. Null counts as empty: one token, the end. Without
+    training rows nothing is known, the base is 0 and bytes are equally likely.
+
+    Counts cover all training rows and all contexts, however rare. Each distinct byte in
+    its context is scored once, in Spark. Frequent ones and frequent tokens go with
+    the tasks, bounded by relative frequency; all others meet the texts in joins, where by
     that bound none has a large share.
     """
     import math
@@ -302,31 +316,57 @@ def with_scores(docs: DataFrame, train: Column, text: str = "text") -> DataFrame
     counts = stored(token_counts(docs, text, train), "tokens")
     sums = [F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "times")]
     total, everywhere, distinct = counts.agg(*sums, F.count(F.when(F.col("n") > 0, 1))).first()
-    codes = stored(code_scores(stored(context_counts(counts), "contexts")), "codes")
-    counts = stored(token_scores(counts, codes), "scores")
+    codes = stored(code_scores(stored(context_counts(docs, text, train), "contexts")), "codes")
+    size = codes.agg(F.coalesce(F.sum("uses"), F.lit(0))).first()[0]
+    rows = codes.where(F.col("uses") * HOT >= F.lit(size)).orderBy("code").toArrow()
+    hot = spark.sparkContext.broadcast((rows.column("code").to_numpy(), rows.column("score").to_numpy()))
     often = counts.where(F.col("times") * FREQUENT >= F.lit(everywhere)).toArrow()
-    values = zip(*(often.column(c).to_pylist() for c in ("n", "score")))
-    frequent = spark.sparkContext.broadcast(dict(zip(often.column("token").to_pylist(), values)))
+    frequent = spark.sparkContext.broadcast(dict(zip(often.column("token").to_pylist(), often.column("n").to_pylist())))
     base = math.log10(total + distinct + 1)
 
     row = docs.select(F.struct("*").alias("row"))
-    fields = "n_tokens bigint, known bigint, part double, score double, tokens array<binary>, times array<int>"
+    fields = (
+        "n_tokens bigint, known bigint, part double, score double, "
+        "tokens array<binary>, times array<int>, codes array<bigint>, uses array<bigint>"
+    )
     schema = T.StructType([row.schema[0], *T.StructType.fromDDL(fields).fields])
 
     def score(batches):
         from collections import Counter
 
+        import numpy as np
         import pyarrow as pa
 
-        often = {token: (n > 0, math.log10(n + 1), score) for token, (n, score) in frequent.value.items()}
+        often = {token: (n > 0, math.log10(n + 1)) for token, n in frequent.value.items()}
+        table, value = hot.value
+
+        def coded(spelled):
+            """For each text the sum of its frequent codes; its other codes and their number."""
+            sums, rare = np.zeros(len(spelled)), []
+            for code, own in _codes(spelled):
+                at, hit = _find(table, code)
+                if len(table):
+                    sums += np.bincount(own[hit], value[at[hit]], len(spelled))
+                rare.append((code[~hit], own[~hit]))
+            code, own = (np.concatenate(x) for x in zip(*rare))
+            order = np.lexsort((code, own))
+            code, own = code[order], own[order]
+            new = np.append(True, (code[1:] != code[:-1]) | (own[1:] != own[:-1])) if len(code) else np.empty(0, bool)
+            first = np.flatnonzero(new)
+            ends = pa.array(np.append(0, np.cumsum(np.bincount(own[first], minlength=len(spelled)))), pa.int32())
+            uses = np.diff(np.append(first, len(code)))
+            return sums, pa.ListArray.from_arrays(ends, pa.array(code[first])), pa.ListArray.from_arrays(ends, pa.array(uses))
+
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                rows = []
+                found, spelled = [], []
                 for x in utf8(part.column("row").field(text)):
-                    seen = Counter(x.lower().split())
+                    tokens = x.lower().split()
+                    spelled.append(_spelled(tokens))
+                    seen = Counter(tokens)
                     seen[b""] = 1
-                    known, sums, value, rare = 0, 0.0, 0.0, {}
+                    known, sums, rare = 0, 0.0, {}
                     for token, times in seen.items():
                         hit = often.get(token)
                         if hit is None:
@@ -334,21 +374,31 @@ def with_scores(docs: DataFrame, train: Column, text: str = "text") -> DataFrame
                         else:
                             known += times * hit[0]
                             sums += times * hit[1]
-                            value += times * hit[2]
-                    rows.append((sum(seen.values()), known, sums, value, list(rare), list(rare.values())))
-                kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32()))
-                arrays = [pa.array(list(x), kind) for x, kind in zip(zip(*rows), kinds)]
-                yield pa.RecordBatch.from_arrays([part.column("row"), *arrays], names=schema.fieldNames())
+                    found.append((len(tokens) + 1, known, sums, list(rare), list(rare.values())))
+                kinds = (pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32()))
+                n, known, sums, tokens, times = (pa.array(list(x), kind) for x, kind in zip(zip(*found), kinds))
+                scores, others, uses = coded(spelled)
+                arrays = [part.column("row"), n, known, sums, pa.array(scores), tokens, times, others, uses]
+                yield pa.RecordBatch.from_arrays(arrays, names=schema.fieldNames())
 
     scored = row.mapInArrow(score, schema).withColumn("uid", F.monotonically_increasing_id())
     scored = stored(scored, "scored")  # fixes the numbers of the rows
-    rare = scored.select("uid", F.explode(F.arrays_zip("tokens", "times")).alias("x")).select("uid", "x.tokens", F.col("x.times").alias("uses"))
-    met = rare.join(counts, F.col("tokens") == F.col("token")).groupBy("uid").agg(
-        F.sum(F.when(F.col("n") > 0, F.col("uses")).otherwise(0)).alias("more"),
-        F.sum(F.col("uses") * F.log10(F.col("n") + 1)).alias("rest"),
-        F.sum(F.col("uses") * F.col("score")).alias("spelled"),
+
+    def listed(what: str, times: str) -> DataFrame:
+        each = scored.select("uid", F.explode(F.arrays_zip(what, times)).alias("x"))
+        return each.select("uid", F.col(f"x.{what}").alias("asked"), F.col(f"x.{times}").alias("by"))
+
+    words = listed("tokens", "times").join(counts, F.col("asked") == F.col("token")).groupBy("uid").agg(
+        F.sum(F.when(F.col("n") > 0, F.col("by")).otherwise(0)).alias("more"),
+        F.sum(F.col("by") * F.log10(F.col("n") + 1)).alias("rest"),
+        F.lit(0.0).alias("bytes"),
+    )
+    rare = codes.select("code", F.col("score").alias("value"))
+    spelled = listed("codes", "uses").join(rare, F.col("asked") == F.col("code")).groupBy("uid").agg(
+        F.lit(0).cast("long").alias("more"), F.lit(0.0).alias("rest"), F.sum(F.col("by") * F.col("value")).alias("bytes")
     )
-    joined = scored.drop("tokens", "times").join(met.withColumnRenamed("uid", "of"), F.col("uid") == F.col("of"), "left")
+    met = words.unionByName(spelled).groupBy(F.col("uid").alias("of")).agg(*(F.sum(c).alias(c) for c in ("more", "rest", "bytes")))
+    joined = scored.drop("tokens", "times", "codes", "uses").join(met, F.col("uid") == F.col("of"), "left")
     zero = F.lit(0.0)
     return joined.select(
         "row",
@@ -356,5 +406,5 @@ def with_scores(docs: DataFrame, train: Column, text: str = "text") -> DataFrame
         (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("part") + F.coalesce("rest", zero) - F.col("n_tokens") * base).alias("base_score"),
-        (F.col("score") + F.coalesce("spelled", zero)).alias("score"),
+        (F.col("score") + F.coalesce("bytes", zero)).alias("score"),
     )

@@ -47,18 +47,26 @@ def test_full_cache_changes_nothing(library, monkeypatch):
         assert tokencount.count_batch(merges, [text], cache) == [len(library.encode(text))]
 
 
-def brute_levels(counts):
-    """Counts by context (bytes since the word's start, six at most) of every order, without pruning."""
+def spell(text):
+    return b"".join(w + b" " for w in (text or "").encode().lower().split()) + b"\n"
+
+
+def brute_levels(texts):
+    """Counts by context (the bytes before, across words) of every order; ``texts`` tells how often each text is there."""
     levels = [defaultdict(Counter) for _ in range(ppm.ORDER + 1)]
-    for token, n in counts.items():
-        spelled = token + b" " if token else b"\n"
-        for i, b in enumerate(spelled):
+    for text, n in texts.items():
+        spelled = b"\0" * ppm.ORDER + spell(text)
+        for i in range(ppm.ORDER, len(spelled)):
             for order in range(ppm.ORDER + 1):
-                context = (b"\0" * ppm.ORDER + spelled[:i])[-order:] if order else b""
-                levels[order][context][b] += n
+                levels[order][spelled[i - order : i]][spelled[i : i + 1][0]] += n
     return levels
 
 
+def brute_score(levels, text):
+    s = spell(text)
+    return sum(math.log10(brute_byte(levels, s[max(0, i - ppm.ORDER) : i], b)) for i, b in enumerate(s))
+
+
 def brute_byte(levels, past, b):
     """Probability of a byte, by the definition: one order after the other, seen bytes excluded."""
     p, excluded = 1.0, set()
@@ -82,26 +90,36 @@ def test_scores_equal_the_definition(docs, rows):
     token = lambda t: [*(t or "").encode().lower().split(), b""]
     counts = Counter(x for r in rows if r["doc_id"] is not None and r["doc_id"] % 3 for x in token(r["text"]))
     total, distinct = sum(counts.values()), len(counts)
-    levels = brute_levels(counts)
-    cache = {}
-
-    def spelled(x):
-        if x not in cache:
-            s = x + b" " if x else b"\n"
-            cache[x] = sum(math.log10(brute_byte(levels, s[:i], b)) for i, b in enumerate(s))
-        return cache[x]
-
+    levels = brute_levels(Counter(r["text"] for r in rows if r["doc_id"] is not None and r["doc_id"] % 3))
     for r in got:
         own = token(r["row"]["text"])
         assert (r["n_tokens"], r["train_tokens"]) == (len(own), total)
         assert r["n_known"] == sum(x in counts for x in own)
         assert r["base_score"] == pytest.approx(sum(math.log10((counts[x] + 1) / (total + distinct + 1)) for x in own))
         if len(own) < 100:
-            assert r["score"] == pytest.approx(sum(map(spelled, own)), rel=1e-6)
+            assert r["score"] == pytest.approx(brute_score(levels, r["row"]["text"]), rel=1e-6)
+
+
+def test_the_order_of_words_counts(spark):
+    rows = [(1, "the cat sat on the mat and the dog sat on the log")] * 3 + [(0, "the cat sat on the mat"), (0, "mat the on sat cat the")]
+    docs = spark.createDataFrame(rows, "learn int, text string")
+    got = {r["row"]["text"]: r["score"] for r in ppm.with_scores(docs, F.col("learn") == 1).collect()}
+    assert got["the cat sat on the mat"] > got["mat the on sat cat the"] + 3
+
+
+def test_blocks_change_nothing(docs, monkeypatch):
+    """Texts cut into small blocks, sums held back for a few codes and rare codes met by a join give the same scores."""
+    columns = ["row.doc_id", "n_known", "base_score", "score"]
+    rounded = lambda df: sorted(map(repr, ((*r[:2], round(r[2], 6), round(r[3], 6)) for r in df.select(*columns).collect())))
+    want = rounded(ppm.with_scores(docs, F.lit(True)))
+    monkeypatch.setattr(ppm, "BLOCK", 64)
+    monkeypatch.setattr(ppm, "HELD", 100)
+    monkeypatch.setattr(ppm, "HOT", 50)
+    assert rounded(ppm.with_scores(docs, F.lit(True))) == want
 
 
 def test_pruned_trie_still_gives_probabilities(docs):
-    counts = ppm.context_counts(ppm.token_counts(docs, "text"))
+    counts = ppm.context_counts(docs, "text")
     levels = ppm.fit(counts, nodes=200)
     assert all(len(x.codes) <= 200 for x in levels[:-1])
     for context in (b"", b"ba", b"ken", b"wor", b"zzz"):
@@ -113,15 +131,17 @@ def test_pruned_trie_still_gives_probabilities(docs):
 def test_rare_contexts_count_in_a_large_corpus(spark):
     """In millions of training bytes, spellings that occurred once keep their nodes at every order."""
     many = 1_400_000
-    counts = Counter({b"aaaa": many, b"qzxwvkj": 1, b"": 2})
     rows = [(1, "aaaa " * many), (1, "qzxwvkj"), (0, "qzxwvkj aaaa qzxwvka bqzx")]
     docs = spark.createDataFrame(rows, "learn int, text string")
     held = ppm.with_scores(docs, F.col("learn") == 1).where("row.learn = 0").first()
-    levels = brute_levels(counts)
-    spellings = [x + b" " for x in rows[2][1].encode().split()] + [b"\n"]
-    want = sum(math.log10(brute_byte(levels, s[:i], b)) for s in spellings for i, b in enumerate(s))
-    assert held["score"] == pytest.approx(want, rel=1e-6)
-    assert (held["n_known"], held["train_tokens"]) == (3, sum(counts.values()))
+    levels = brute_levels({"aaaa " * 20: 1, "qzxwvkj": 1})
+    less, more = (brute_levels({"aaaa " * k: 1}) for k in (20, 21))
+    for order, contexts in enumerate(more):  # each further word adds the same counts
+        for context, seen in contexts.items():
+            for byte, n in seen.items():
+                levels[order][context][byte] += (many - 20) * (n - less[order][context][byte])
+    assert held["score"] == pytest.approx(brute_score(levels, rows[2][1]), rel=1e-6)
+    assert (held["n_known"], held["train_tokens"]) == (3, many + 3)
 
 
 def test_few_frequent_tokens_change_nothing(docs, monkeypatch):
