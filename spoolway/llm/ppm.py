@@ -47,9 +47,13 @@ def _codes(spelled: list[bytes]):
         for back in range(ORDER, -1, -1):
             code <<= 8
             code |= raw[first - back : last - back]
-        at = np.arange(first, last)
-        own = np.searchsorted(start, at, "right") - 1
-        inside = at < start[own] + size[own]
+        # the texts of the block: each owns its bytes and, up to the next one, the padding
+        low, high = np.searchsorted(start, (first, last - 1), "right") - 1
+        edges = np.clip(np.append(start[low : high + 1], last), first, last)
+        own = np.repeat(np.arange(low, high + 1), np.diff(edges))
+        inside = np.ones(len(code), bool)
+        gaps = (start + size)[low : high + 1, None] + np.arange(ORDER) - first
+        inside[gaps[(gaps >= 0) & (gaps < len(code))]] = False
         yield code[inside], own[inside]
 
 
@@ -117,7 +121,10 @@ def context_counts(docs: DataFrame, text: str, train: Column | None = None) -> D
         for spelled, learned in _texts(batches):
             learned = np.array(learned, bool)
             for code, own in _codes(spelled):
-                parts.append(_summed(code, learned[own].astype(np.int64), np.ones(len(code), np.int64)))
+                both = np.sort(code << 1 | learned[own])  # plain sorting is much faster than that of indices
+                code = both >> 1
+                at = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.empty(0, np.int64)
+                parts.append((code[at], np.add.reduceat(both & 1, at) if len(at) else at, np.diff(np.append(at, len(code)))))
                 held += len(parts[-1][0])
                 if held > HELD:
                     parts = [_summed(*map(np.concatenate, zip(*parts)))]
@@ -262,6 +269,37 @@ def _find(table, values):
     return at, table[at] == values
 
 
+class Places:
+    """Places of values in a sorted table, through a hash table of four slots and more for each entry.
+
+    Values that share a slot with another entry are searched for as in ``_find``.
+    """
+
+    def __init__(self, table):
+        import numpy as np
+
+        bits = max(4 * len(table), 2).bit_length()
+        self.table, self.shift = table, np.uint64(64 - bits)
+        self.slots = np.full(1 << bits, -1, np.int32)
+        self.slots[self._slot(table)] = np.arange(len(table), dtype=np.int32)
+
+    def _slot(self, values):
+        import numpy as np
+
+        return (values.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift
+
+    def find(self, values):
+        import numpy as np
+
+        at = self.slots[self._slot(values)]
+        hit = at >= 0
+        if len(self.table):
+            hit &= self.table[at] == values
+            other = np.flatnonzero(~hit & (at >= 0))
+            at[other], hit[other] = _find(self.table, values[other])
+        return at, hit
+
+
 def byte_scores(levels: list[Level], codes):
     """log10 probability of each byte after its context.
 
@@ -338,14 +376,14 @@ def with_scores(docs: DataFrame, train: Column, text: str = "text") -> DataFrame
         import pyarrow as pa
 
         often = {token: (n > 0, math.log10(n + 1)) for token, n in frequent.value.items()}
-        table, value = hot.value
+        places, value = Places(hot.value[0]), hot.value[1]
 
         def coded(spelled):
             """For each text the sum of its frequent codes; its other codes and their number."""
             sums, rare = np.zeros(len(spelled)), []
             for code, own in _codes(spelled):
-                at, hit = _find(table, code)
-                if len(table):
+                at, hit = places.find(code)
+                if len(value):
                     sums += np.bincount(own[hit], value[at[hit]], len(spelled))
                 rare.append((code[~hit], own[~hit]))
             code, own = (np.concatenate(x) for x in zip(*rare))
