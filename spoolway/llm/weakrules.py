@@ -22,12 +22,15 @@ RULES: dict[str, tuple[str, tuple[float, float] | None, tuple[float, float]]] =
     "distinct": ("distinct", (0.3, 1.0), (0.05, 2.0)),
     "stops": ("stops", (0.01, 0.4), (-1.0, 0.9)),
 }
-#: Ranges of the accuracies. A rule speaks against a text for a gross fault only, and is
-#: trusted to be right in nearly all such cases; that a text looks usual is weak evidence.
-#: Where faults hardly ever come together, agreement alone could not tell this.
-FOR_RANGE, AGAINST_RANGE = (0.5, 0.6), (0.97, 0.999)
-START_FOR, START_AGAINST = 0.55, 0.98
-PRIOR = (0.5, 0.8)
+#: Where the estimates start: shares of good and of bad texts that get a vote for them, and how
+#: often a vote against a text is right. A rule speaks against a text for a gross fault only, so
+#: such votes are trusted; that a text looks usual is weak evidence. Faults hardly ever come
+#: together, so the start weighs in on the estimates, in proportion to the rows: as much as
+#: ``FOR_WEIGHT`` times all texts, and as ``AGAINST_WEIGHT`` times the votes that were cast. No
+#: estimate is held within a range, so texts that look good otherwise can outvote a rule.
+START_FOR, START_AGAINST = (0.85, 0.5), 0.98
+FOR_WEIGHT, AGAINST_WEIGHT = 0.1, 2.0
+START_PRIOR, PRIOR = 0.8, (0.5, 0.99)
 ROUNDS = 200
 
 
@@ -53,52 +56,71 @@ def _logit(p: float) -> float:
 
 @dataclass(frozen=True)
 class Model:
-    """Share of good texts, and how often each rule is right when it speaks for or against a text."""
+    """Share of good texts; of each rule the shares of good and of bad texts that it speaks for, and how
+    often it is right when it speaks against a text."""
 
     prior: float
-    speaks_for: tuple[float, ...]
+    speaks_for: tuple[tuple[float, float], ...]
     against: tuple[float, ...]
 
+    def weights(self, j: int) -> tuple[float, float]:
+        """What a vote of rule ``j`` for a text, and one against it, adds to the log-odds."""
+        good, bad = self.speaks_for[j]
+        # the prior is part of how often a vote against is right, and counts once
+        return math.log(good / bad), -_logit(self.against[j]) - _logit(self.prior)
+
     def log_odds(self, pattern: str) -> float:
         odds = _logit(self.prior)
-        for vote, a, b in zip(pattern, self.speaks_for, self.against):
-            odds += _logit(a) if vote == "1" else -_logit(b) if vote == "0" else 0.0
+        for j, vote in enumerate(pattern):
+            a, b = self.weights(j)
+            odds += a if vote == "1" else b if vote == "0" else 0.0
         return odds
 
     def posterior(self, pattern: Column) -> Column:
         """The same as a Spark column over a column of vote strings."""
         odds = F.lit(_logit(self.prior))
-        for i, (a, b) in enumerate(zip(self.speaks_for, self.against)):
-            vote = F.substring(pattern, i + 1, 1)
-            odds += F.when(vote == "1", _logit(a)).when(vote == "0", -_logit(b)).otherwise(0.0)
+        for j in range(len(self.against)):
+            vote, (a, b) = F.substring(pattern, j + 1, 1), self.weights(j)
+            odds += F.when(vote == "1", a).when(vote == "0", b).otherwise(0.0)
         return 1 / (1 + F.exp(-odds))
 
 
 def fit(patterns: dict[str, int]) -> Model:
     """Expectation-maximisation over the counts of vote strings, of which there are 3^rules at most.
 
-    Without rows it returns the starting values; so does a rule that never votes.
+    Without rows it returns the starting values; so it does for the accuracy of a rule that never
+    speaks against a text.
     """
     rules, total = len(RULES), sum(patterns.values())
-    model = Model(PRIOR[1], (START_FOR,) * rules, (START_AGAINST,) * rules)
+    model = Model(START_PRIOR, (START_FOR,) * rules, (START_AGAINST,) * rules)
+    known = FOR_WEIGHT * total
+
+    def spoke_for(j: int, good: dict[str, float]) -> tuple[float, float]:
+        cast = [(good[p], n) for p, n in patterns.items() if p[j] == "1"]
+        all_good = sum(good[p] * n for p, n in patterns.items())
+        return (
+            (known * START_FOR[0] + sum(w * n for w, n in cast)) / (known + all_good),
+            (known * START_FOR[1] + sum((1 - w) * n for w, n in cast)) / (known + total - all_good),
+        )
 
-    def share(j: int, vote: str, right: dict[str, float], start: float, bounds: tuple[float, float]) -> float:
-        cast = [(p, n) for p, n in patterns.items() if p[j] == vote]
-        found = (start + sum(right[p] * n for p, n in cast)) / (1 + sum(n for _, n in cast))
-        return min(max(found, bounds[0]), bounds[1])
+    def right_against(j: int, good: dict[str, float]) -> float:
+        cast = [(good[p], n) for p, n in patterns.items() if p[j] == "0"]
+        votes = sum(n for _, n in cast)
+        trusted = 1 + AGAINST_WEIGHT * votes
+        return (trusted * START_AGAINST + sum((1 - w) * n for w, n in cast)) / (trusted + votes)
 
     for _ in range(ROUNDS if total else 0):
         good = {p: 1 / (1 + math.exp(-model.log_odds(p))) for p in patterns}
-        bad = {p: 1 - w for p, w in good.items()}
+        share = (known * START_PRIOR + sum(good[p] * n for p, n in patterns.items())) / (known + total)
         after = Model(
-            min(max(sum(good[p] * n for p, n in patterns.items()) / total, PRIOR[0]), PRIOR[1]),
-            tuple(share(j, "1", good, START_FOR, FOR_RANGE) for j in range(rules)),
-            tuple(share(j, "0", bad, START_AGAINST, AGAINST_RANGE) for j in range(rules)),
+            min(max(share, PRIOR[0]), PRIOR[1]),
+            tuple(spoke_for(j, good) for j in range(rules)),
+            tuple(right_against(j, good) for j in range(rules)),
         )
         moved = max(
             abs(a - b)
             for a, b in zip(
-                (model.prior, *model.speaks_for, *model.against), (after.prior, *after.speaks_for, *after.against)
+                (model.prior, *sum(model.speaks_for, ()), *model.against), (after.prior, *sum(after.speaks_for, ()), *after.against)
             )
         )
         model = after
@@ -115,7 +137,7 @@ def base_failed() -> Column:
 def scored(docs: DataFrame, text: str = "text", drop: tuple[str, ...] = ()) -> DataFrame:
     """Add ``stats``, ``votes``, ``quality`` (posterior of a good text) and ``kept`` to each row.
 
-    ``kept`` asks for no base failure and a posterior of 0.5 or more. The accuracies come
+    ``kept`` asks for no base failure and a posterior of 0.5 or more. The estimates come
     from all rows of ``docs``: vote strings are counted in Spark and the counts, bounded
     by the number of rules, are fitted. Rows with equal texts get equal results. Null,
     empty and white-space texts have no words, no votes, and are not kept.

@@ -50,6 +50,15 @@ def test_posterior_column_equals_the_model(spark):
     assert model.log_odds("0-----111") < 0
 
 
+def test_the_fit_decides_verdicts():
+    """The same vote against a text counts where texts look alike anyway, and is outvoted where they don't."""
+    alike = weakrules.fit({"------111": 8544, "0-----111": 705, "-000--1-1": 272, "---0--10-": 87})
+    assert alike.log_odds("------111") > 0 > alike.log_odds("0-----111")
+    apart = weakrules.fit({"------111": 6000, "0-----111": 6000, "-000-0-0-": 2000, "-0-0--00-": 3000})
+    assert apart.log_odds("0-----111") > 0 > apart.log_odds("-000-0-0-")
+    assert apart.against[0] < alike.against[0]
+
+
 def test_kept_rows_are_whole(docs, rows, empty):
     kept = weakrules.kept_documents(docs)
     assert kept.columns == docs.columns
