@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spoolway.operators.skew import skew_join
+from spoolway.operators.skew import ROWS_PER_SORT, skew_join
 from spoolway.schema import DEFAULT_PARTITIONS, POSITION_KEYS, TOPIC
 from spoolway.sinks.commitlog import CommitLog
 from spoolway.sinks.topics import append, batch_path
@@ -42,8 +42,15 @@ def produce(
     columns = ["envelope_id", "pos", *POSITION_KEYS, "offset"]
     schema = T.StructType([*TOPIC.fields, *[records.schema[name] for name in order]])
     written = spark.read.schema(schema).parquet(batch_path(root, number)).select(*columns)
-    produced = skew_join(written, envelopes, ["envelope_id"]).withColumn("kind", F.lit("record"))
-    passed = envelopes.join(records.select("envelope_id").distinct(), "envelope_id", "left_anti")
+    # both sides may be large, so a task's share is a number of rows whatever the shuffle partitions
+    found = written.count()
+    tasks = -(-found // ROWS_PER_SORT) if found > ROWS_PER_SORT else None
+    produced = skew_join(written, envelopes, ["envelope_id"], tasks=tasks).withColumn("kind", F.lit("record"))
+    with_records = records.select("envelope_id").distinct()
+    if tasks is None:
+        passed = envelopes.join(with_records, "envelope_id", "left_anti")
+    else:
+        passed = envelopes.repartition(tasks, "envelope_id").join(with_records.repartition(tasks, "envelope_id"), "envelope_id", "left_anti")
     return produced.unionByName(passed.withColumn("kind", F.lit("pass_through")), allowMissingColumns=True)
 
 

@@ -6,11 +6,15 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spoolway.schema import ENTITY
 from spoolway.scratch import stored
 
 ROWS_PER_TASK = 4_000_000
+#: Rows that one task sorts, for a window or a join: what a task holds follows from this, neither
+#: from the number of rows nor from that of the session's shuffle partitions.
+ROWS_PER_SORT = 250_000
 #: Differences of two longs do not fit in a long.
 WIDE = "decimal(20,0)"
 ROWS_PER_FAN_OUT = 50_000
@@ -26,6 +30,15 @@ def hot_groups(df: DataFrame, by: Sequence[str], order: Sequence[str] = (), limi
     return sizes.where(F.col("rows") > limit).collect()
 
 
+def _sizes(df: DataFrame, by: Sequence[str], order: Sequence[str], limit: int) -> tuple[int, list[Row], list[str]]:
+    """The number of rows, the groups that ``hot_groups`` finds and the columns that tell groups apart, in one pass."""
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), *_bounds(order))
+    hot = F.collect_list(F.when(F.col("rows") > limit, F.struct(*sizes.columns)))
+    same = [F.min(c).eqNullSafe(F.max(c)).alias(f"same_{i}") for i, c in enumerate(by)]
+    found = sizes.agg(F.sum("rows").alias("found"), hot.alias("hot"), *same).head()
+    return found["found"] or 0, found["hot"], [c for i, c in enumerate(by) if not found[f"same_{i}"]]
+
+
 def _bounds(order: Sequence[str]) -> list[Column]:
     return [f(c).alias(f"{name}_{i}") for i, c in enumerate(order) for name, f in (("lo", F.min), ("hi", F.max))]
 
@@ -84,7 +97,8 @@ def running_totals(
     task gives the same numbers. The order has to be total within a group.
     """
     inputs = {f"_{name}_in": value for name, value in totals.items()}
-    return _running(df.withColumns(inputs), list(by), list(order), list(totals), limit, 0).drop(*inputs)
+    found, hot, apart = _sizes(df, by, order, limit)
+    return _running(df.withColumns(inputs), list(by), list(order), list(totals), limit, 0, hot, found, apart).drop(*inputs)
 
 
 def numbered(
@@ -95,23 +109,36 @@ def numbered(
 
 
 def _running(
-    df: DataFrame, by: list[str], order: list[str], names: list[str], limit: int, depth: int, hot: list[Row] | None = None
+    df: DataFrame,
+    by: list[str],
+    order: list[str],
+    names: list[str],
+    limit: int,
+    depth: int,
+    hot: list[Row],
+    found: int,
+    apart: list[str],
 ) -> DataFrame:
-    if hot is None:
-        hot = hot_groups(df, by, order, limit)
     splits = [split for split in (_split(row, by, order, limit) for row in hot) if split]
     # a split at least halves a range, so this ends; groups of equal order values have none
     if not splits:
         window = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        if found > ROWS_PER_SORT and apart:
+            # a window takes no constant column into account, so rows dealt by one would be dealt again
+            df = spread(df, found, *apart, rows=ROWS_PER_SORT // 2)
         return df.withColumns({name: F.sum(f"_{name}_in").over(window) for name in names})
 
     keys, slot = [f"_k{depth}_{i}" for i in range(len(by))], f"_slot{depth}"
     key_types = ", ".join(f"{key} {df.schema[column].dataType.simpleString()}" for key, column in zip(keys, by))
-    split_table = df.sparkSession.createDataFrame(splits, f"{key_types}, _pick int, _lo {WIDE}, _width {WIDE}")
+    picks = sorted({split[len(by)] for split in splits})
+    whole = all(isinstance(df.schema[order[i]].dataType, T.IntegralType) for i in picks)
+    # decimals are slow, and needed only for a range of longs that is no long
+    kind = "bigint" if whole and all(width * slots < 2**62 for *_, width, slots in splits) else WIDE
+    number = Decimal if kind == WIDE else int
+    rows = [(*group, pick, number(lo), number(width)) for *group, pick, lo, width, _ in splits]
+    split_table = df.sparkSession.createDataFrame(rows, f"{key_types}, _pick int, _lo {kind}, _width {kind}")
     picked = reduce(
-        lambda rest, i: F.when(F.col("_pick") == i, F.col(order[i]).cast(WIDE)).otherwise(rest),
-        range(len(order)),
-        F.lit(None).cast(WIDE),
+        lambda rest, i: F.when(F.col("_pick") == i, F.col(order[i]).cast(kind)).otherwise(rest), picks, F.lit(None).cast(kind)
     )
     position = F.coalesce(F.call_function("div", picked - F.col("_lo"), F.col("_width")), F.lit(-1).cast("bigint"))
     slotted = (
@@ -139,7 +166,7 @@ def _running(
         *[F.sum(f"_{n}_sum").over(before).alias(f"_{n}_base") for n in names],
     )
 
-    inner = _running(slotted, [*by, slot], order, names, limit, depth + 1, again)
+    inner = _running(slotted, [*by, slot], order, names, limit, depth + 1, again, found, [*apart, slot])
     return (
         inner.join(F.broadcast(base), same_group([*by, slot], [*keys, "_slot_of"]), "left")
         .withColumns({name: F.col(name) + F.coalesce(F.col(f"_{name}_base"), F.lit(0)) for name in names})
@@ -152,7 +179,7 @@ def _split(row: Row, by: list[str], order: list[str], limit: int) -> tuple | Non
         lo, hi = row[f"lo_{i}"], row[f"hi_{i}"]
         if lo is not None and hi > lo:
             slots = -(-2 * row["rows"] // limit)
-            return (*[row[column] for column in by], i, Decimal(lo), Decimal(max(1, -(-(hi - lo + 1) // slots))))
+            return (*[row[column] for column in by], i, lo, max(1, -(-(hi - lo + 1) // slots)), slots)
     return None
 
 
@@ -163,17 +190,25 @@ def skew_join(
     how: str = "inner",
     limit: int = ROWS_PER_TASK,
     hot: list[Row] | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Join a large side with a side that has one row per key.
 
     Rows of keys with more than ``limit`` rows on the left meet a broadcast of just
     those keys' right rows (rows/limit at most); all others take the usual join.
-    ``hot`` names those keys if they are known already.
+    ``hot`` names those keys if they are known already, and ``tasks`` the number of tasks
+    of the usual join, where both sides are large.
     """
     on = list(on)
     hot = hot_groups(left, on, limit=limit) if hot is None else hot
+
+    def usual(rows: DataFrame) -> DataFrame:
+        if tasks is None:
+            return rows.join(right, on, how)
+        return rows.repartition(tasks, *on).join(right.repartition(tasks, *on), on, how)
+
     if not hot:
-        return left.join(right, on, how)
+        return usual(left)
     keys = [f"_hot_{i}" for i in range(len(on))]
     key_types = ", ".join(f"{key} {left.schema[column].dataType.simpleString()}" for key, column in zip(keys, on))
     table = left.sparkSession.createDataFrame([tuple(row[column] for column in on) for row in hot], key_types)
@@ -181,4 +216,4 @@ def skew_join(
     matched = same_group(on, keys)
     hot_right = right.join(hot_keys, matched, "left_semi")
     hot_rows = left.join(hot_keys, matched, "left_semi").join(F.broadcast(hot_right), on, how)
-    return hot_rows.unionByName(left.join(hot_keys, matched, "left_anti").join(right, on, how))
+    return hot_rows.unionByName(usual(left.join(hot_keys, matched, "left_anti")))

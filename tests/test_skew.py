@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from spoolway.operators import skew
 from spoolway.operators.skew import broadcast_small, numbered, running_totals, skew_join
 
 
@@ -61,3 +62,19 @@ def test_order_values_at_both_ends_of_a_long(spark, limit):
     df = spark.createDataFrame(rows, "g string, a bigint, b bigint")
     got = {(r.a, r.b): r.n for r in numbered(df, ["g"], ["a", "b"], "n", limit).collect()}
     assert got == {(a, b): i + 1 for i, (_, a, b) in enumerate(sorted(rows))}
+
+
+def test_a_task_sorts_a_bounded_number_of_rows(spark, monkeypatch):
+    """The windows' tasks follow from the rows, also where a column of the group is constant."""
+    monkeypatch.setattr(skew, "ROWS_PER_SORT", 100)
+    df = spark.range(2000).select(F.lit("x").alias("t"), (F.col("id") % 50).alias("g"), "id")
+    found = numbered(df, ["t", "g"], ["id"], "n", limit=100)
+    assert found.rdd.getNumPartitions() == 40
+    assert sorted((r.id, r.n) for r in found.collect()) == [(i, i // 50 + 1) for i in range(2000)]
+
+
+def test_a_join_of_large_sides_is_dealt_by_rows(spark):
+    left, right = spark.range(1000).select((F.col("id") % 100).alias("g"), "id"), spark.range(100).withColumnRenamed("id", "g")
+    joined = skew_join(left, right.hint("merge"), ["g"], tasks=17)
+    assert joined.rdd.getNumPartitions() == 17
+    assert joined.count() == 1000
