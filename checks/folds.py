@@ -1,5 +1,6 @@
 """A user-defined fold: the longest run of consecutive events tagged ``high``."""
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import types as T
 
@@ -7,12 +8,13 @@ NO_RUN = {"events": 0, "leading": 0, "trailing": 0, "longest": 0}
 RUN = T.StructType([T.StructField(name, T.LongType()) for name in NO_RUN])
 
 
-def _summary(high: pd.Series) -> dict:
+def _summary(high: np.ndarray) -> dict:
     """Runs within one stretch of flags."""
-    misses = (high == 0).cumsum()
-    runs = high.groupby(misses).sum()
-    leading = int(runs.iloc[0]) if misses.iloc[0] == 0 else 0
-    return {"events": len(high), "leading": leading, "trailing": int(runs.iloc[-1]), "longest": int(runs.max())}
+    misses = np.flatnonzero(high == 0)
+    # the sum up to each miss and to the end, and from it the sum of each run between two
+    sums = np.concatenate(([0], np.cumsum(np.nan_to_num(high))))
+    runs = np.diff(np.concatenate(([0], sums[misses], sums[-1:])))
+    return {"events": len(high), "leading": int(runs[0]), "trailing": int(runs[-1]), "longest": int(runs.max())}
 
 
 def join_runs(left: dict, right: dict) -> dict:
@@ -25,4 +27,4 @@ def join_runs(left: dict, right: dict) -> dict:
 
 
 def add_events(state: dict, rows: pd.DataFrame) -> dict:
-    return join_runs(state, _summary(rows["high"]))
+    return join_runs(state, _summary(rows["high"].to_numpy()))

@@ -3,6 +3,7 @@
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -97,7 +98,9 @@ def _folder(keys: list[str], zero: State, step: Step, names: list[str]) -> Calla
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, state, done = None, None, []
         for batch in batches:
-            for key, rows in batch.groupby(keys, sort=False, dropna=False):
+            columns = [batch[name].to_numpy() for name in keys]
+            for begin, end in _stretches(columns):
+                key, rows = tuple(column[begin] for column in columns), batch.iloc[begin:end]
                 if key != current:
                     if current is not None:
                         done.append((*current, *[state[name] for name in names]))
@@ -112,3 +115,15 @@ def _folder(keys: list[str], zero: State, step: Step, names: list[str]) -> Calla
         yield pd.DataFrame(done, columns=[*keys, *names], dtype=object)
 
     return fold
+
+
+def _stretches(columns: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+    """Bounds of the stretches of equal keys; a null equals a null."""
+    n = len(columns[0])
+    if not n:
+        return
+    differs = np.zeros(n - 1, bool)
+    for column in columns:
+        differs |= (column[1:] != column[:-1]) & ~(pd.isna(column[1:]) & pd.isna(column[:-1]))
+    ends = [*(np.flatnonzero(differs) + 1).tolist(), n]
+    yield from zip([0, *ends], ends)

@@ -208,6 +208,21 @@ def test_user_fold_in_order(spark, store, rows_per_task):
     assert {r.persistence_id: (r.trailing, r.longest, r.events) for r in got.collect()} == want
 
 
+def test_a_user_fold_takes_little_time_per_id():
+    """20,000 ids of a batch: frames are cut where keys change, without a group-by of pandas for each."""
+    import time
+
+    n = 20_000
+    frame = pd.DataFrame({"persistence_id": [f"id{i:06}" if i else None for i in range(n) for _ in "ab"], "_stretch": 0, "high": [1, 0] * n})
+    run = fold._folder(["persistence_id", "_stretch"], folds.NO_RUN, folds.add_events, folds.RUN.names)
+    begin = time.process_time()
+    got = pd.concat(list(run(iter([frame.iloc[: n + 1], frame.iloc[n + 1 :]]))))
+    took = time.process_time() - begin
+    assert len(got) == n and set(got["events"]) == {2} and set(got["longest"]) == {1} and set(got["trailing"]) == {0}
+    # 0.23 ms when this was written, 1.07 ms with a group-by
+    assert took < n * 0.0006
+
+
 def test_user_fold_sees_one_id_at_a_time(spark):
     rows = [(f"id{i % 3}", i, i) for i in range(30)]
     schema = T.StructType([T.StructField("seen", T.StringType())])
