@@ -6,6 +6,8 @@
 * ``akka-snapshots``: saves and tombstones that follow from the events.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -204,20 +206,27 @@ def topics_root(spark: SparkSession, sf_dir: str) -> str:
             partitioner=F.pmod("conv_id", F.lit(8)),
         )
         append_topic(snapshot_records(own), root, 2, ["event_id", "sub"], partitioner=F.col("part"))
-        stored = J.decode_journal(read_topics(spark, root, Topics([JOURNAL_TOPIC])))
-        delete_marks(stored).write.parquet(f"{root}/marks")
-        J.journal_index(stored, spark.read.parquet(f"{root}/marks")).write.parquet(f"{root}/index")
         _stored[key] = root
     return _stored[key]
 
 
+def _beside(spark: SparkSession, root: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """A table next to the topics, written when the first query asks for it."""
+    key = (root, name)
+    if key not in _stored:
+        make().write.parquet(f"{root}/{name}")
+        _stored[key] = f"{root}/{name}"
+    return spark.read.parquet(_stored[key])
+
+
 def index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The journal index, as kept next to the journal."""
-    return spark.read.parquet(f"{topics_root(spark, sf_dir)}/index")
+    root = topics_root(spark, sf_dir)
+    return _beside(spark, root, "index", lambda: J.journal_index(journal(spark, sf_dir), marks(spark, sf_dir)))
 
 
 def marks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{topics_root(spark, sf_dir)}/marks")
+    return _beside(spark, topics_root(spark, sf_dir), "marks", lambda: delete_marks(journal(spark, sf_dir)))
 
 
 def journal_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
