@@ -15,6 +15,8 @@ from spoolway.schema import TOPIC
 from spoolway.sinks import commitlog
 
 ROWS_PER_BATCH = 10_000
+#: Bytes that are read ahead of each column; without it whole column chunks are held.
+BUFFER_BYTES = 1 << 18
 
 
 class TopicFile(InputPartition):
@@ -108,7 +110,7 @@ class CommitReader(DataSourceStreamReader):
         kinds = to_arrow_schema(TOPIC)
         stored = [f.name for f in TOPIC.fields if f.name not in ("topic", "partition")]
         with system.open_input_file(inside) as file:
-            for batch in pq.ParquetFile(file).iter_batches(ROWS_PER_BATCH, columns=stored):
+            for batch in pq.ParquetFile(file, buffer_size=BUFFER_BYTES).iter_batches(ROWS_PER_BATCH, columns=stored):
                 n = batch.num_rows
                 given = {"topic": pa.repeat(partition.topic, n), "partition": pa.repeat(pa.scalar(partition.partition, pa.int32()), n)}
                 columns = [given[f.name] if f.name in given else batch.column(f.name).cast(f.type) for f in kinds]

@@ -398,3 +398,28 @@ def test_the_index_topic_is_kept_by_a_stream(spark, root, tmp_path):
     got = J.decode_index(J.compact_latest(SRC.read_topics(spark, out)))
     want = J.journal_index(J.decode_journal(SRC.read_topics(spark, root)))
     assert rows(got, *want.columns) == rows(want, *want.columns)
+
+
+def test_a_stream_reader_holds_few_bytes_of_a_file(tmp_path):
+    """A file of one large row group is read through small buffers, not by whole column chunks."""
+    import os
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    from spoolway.schema import TOPIC
+    from spoolway.sources import committed
+
+    n = 60_000
+    kinds = [f for f in to_arrow_schema(TOPIC) if f.name not in ("topic", "partition")]
+    given = {"offset": pa.array(range(n)), "value": pa.array([os.urandom(500) for _ in range(n)])}
+    table = pa.table([given[f.name] if f.name in given else pa.nulls(n, f.type) for f in kinds], schema=pa.schema(kinds))
+    pq.write_table(table, tmp_path / "x.parquet", row_group_size=n)
+    del table, given
+    before, most, rows = pa.total_allocated_bytes(), 0, 0
+    reader = committed.CommitReader({"root": str(tmp_path)})
+    for batch in reader.read(committed.TopicFile(str(tmp_path / "x.parquet"), "t", 3)):
+        rows, most = rows + batch.num_rows, max(most, pa.total_allocated_bytes() - before)
+    assert rows == n
+    assert most < 20_000_000, most  # the column of values has 30 MB
