@@ -31,6 +31,8 @@ MIN_LCS, PARAPHRASE_LCS, MIN_ANSWER, MIN_CONTENT = 0.75, 0.5, 0.8, 0.5
 ITEMS_PER_BLOCK, BLOCKS_PER_PASS = 400, 10
 MIN_ITEM_WORDS = 4
 CACHE = 500_000
+#: Parts in which a summed matrix comes to the driver, one after the other.
+PARTS_OF_SUM = 8
 
 
 #: Bytes of words: lowered letters, digits, the underscore, and all of other scripts.
@@ -145,7 +147,9 @@ def randomised_svd(passages: DataFrame, idf, rank: int = RANK, oversample: int =
     ``passages`` has ``words`` (binary, 32-bit hashes) and ``weight``. Rows are scaled to
     unit length times weight. Each product with the matrix and its transpose is one
     Spark job: a task makes its part of A'(A X), the parts are summed by feature block,
-    and only the sum, of a fixed size, reaches the driver.
+    and only the sum, of a fixed size, reaches the driver, a few blocks at a time. Tasks draw
+    the random start themselves, and of the last product only (A Q)'(A Q) is asked for. So the
+    driver holds one such matrix, and two while the result is made from the last.
     """
     import numpy as np
 
@@ -153,25 +157,28 @@ def randomised_svd(passages: DataFrame, idf, rank: int = RANK, oversample: int =
 
     context = passages.sparkSession.sparkContext
 
-    def product(matrix):
-        held = context.broadcast(matrix)  # FEATURES x width floats
+    def start():
+        return np.random.default_rng(7).standard_normal((FEATURES, width), np.float32)
+
+    def scaled(batches):
+        for batch in batches:
+            for raw, weight in zip(batch.column("words").to_pylist(), batch.column("weight").to_pylist()):
+                f = np.unique(np.frombuffer(raw, np.uint32) & np.uint32(FEATURES - 1))
+                if not len(f):
+                    continue
+                a = idf[f].astype(np.float32)
+                a *= weight / max(float(np.linalg.norm(a)), 1e-12)
+                yield f, a
+
+    def summed(partial, height, kind):
+        """Sum of the tasks' matrices (``height`` x width), which ``partial`` makes of their rows; None without rows."""
 
         def run(batches):
             import pyarrow as pa
 
-            x = held.value
-            total, any_row = np.zeros((FEATURES, width), np.float32), False
-            for batch in batches:
-                for raw, weight in zip(batch.column("words").to_pylist(), batch.column("weight").to_pylist()):
-                    f = np.unique(np.frombuffer(raw, np.uint32) & np.uint32(FEATURES - 1))
-                    if not len(f):
-                        continue
-                    a = idf[f].astype(np.float32)
-                    a *= weight / max(float(np.linalg.norm(a)), 1e-12)
-                    total[f] += np.outer(a, a @ x[f])
-                    any_row = True
-            if any_row:
-                blocks = range(0, FEATURES, cut)
+            total = partial(scaled(batches))
+            if total is not None:
+                blocks = range(0, height, cut)
                 values = [total[b : b + cut].tobytes() for b in blocks]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(blocks), pa.int32()), pa.array(values, pa.binary())], names=["block", "part"]
@@ -183,24 +190,59 @@ def randomised_svd(passages: DataFrame, idf, rank: int = RANK, oversample: int =
             total = None
             for table in tables:
                 for raw in table.column("part").to_pylist():
-                    part = np.frombuffer(raw, np.float32)
+                    part = np.frombuffer(raw, kind)
                     total = part.copy() if total is None else total + part
             yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()])], names=["block", "part"])
 
         parts = passages.mapInArrow(run, "block int, part binary")
-        rows = parts.groupBy("block").applyInArrow(_as_batches(add), "block int, part binary").collect()
-        out = np.zeros((FEATURES, width), np.float32)
-        for r in rows:
-            out[r["block"] : r["block"] + cut] = np.frombuffer(r["part"], np.float32).reshape(-1, width)
-        held.destroy()
+        sums = parts.groupBy("block").applyInArrow(_as_batches(add), "block int, part binary")
+        out = np.zeros((height, width), kind)
+        # a collected matrix would be on the driver several times over, in the JVM and in Python
+        for r in sums.coalesce(PARTS_OF_SUM).toLocalIterator(prefetchPartitions=True):
+            out[r["block"] : r["block"] + cut] = np.frombuffer(r["part"], kind).reshape(-1, width)
         return out
 
-    q = _orthonormal(product(np.random.default_rng(7).standard_normal((FEATURES, width), np.float32)))
+    def product(held):
+        """A'(A X) for the broadcast X, for the random start without one."""
+
+        def partial(rows):
+            total = None
+            for f, a in rows:
+                if total is None:
+                    x, total = start() if held is None else held.value, np.zeros((FEATURES, width), np.float32)
+                total[f] += np.outer(a, a @ x[f])
+            return total
+
+        return summed(partial, FEATURES, np.float32)
+
+    def gram(held):
+        """(A Q)'(A Q) for the broadcast Q."""
+
+        def partial(rows):
+            total = None
+            for f, a in rows:
+                y = (a @ held.value[f]).astype(np.float64)
+                total = np.zeros((width, width)) if total is None else total
+                total += np.outer(y, y)
+            return total
+
+        return summed(partial, width, np.float64)
+
+    q = _orthonormal(product(None))
     for _ in range(power):
-        q = _orthonormal(product(q))
-    small = q.T @ product(q)  # of the Gram matrix, in the basis found
+        held = context.broadcast(q)  # FEATURES x width floats
+        del q
+        q = _orthonormal(product(held))
+        held.destroy()
+    held = context.broadcast(q)
+    small = gram(held)  # the Gram matrix of A, in the basis found
+    held.destroy()
     values, vectors = np.linalg.eigh((small + small.T) / 2)
-    return (q @ vectors[:, ::-1][:, :rank]).astype(np.float32)
+    turn = vectors[:, ::-1][:, :rank]
+    out = np.empty((FEATURES, rank), np.float32)
+    for at in range(0, FEATURES, 4096):  # in double precision, as in ``_orthonormal``
+        out[at : at + 4096] = q[at : at + 4096] @ turn
+    return out
 
 
 def _as_batches(function):
@@ -274,12 +316,15 @@ def _covered(n: int) -> float:
     return min(n, (n + BLOCK) / 2, 2 * BLOCK) / n
 
 
-def _block(chosen: list, space, idf, ids) -> Items:
-    """The items (id, text, word hashes) with their vectors in ``space`` (a broadcast)."""
+def _block(chosen: list, scaled, space, idf, ids) -> Items:
+    """The items (id, text, word hashes) with their vectors in ``scaled``, which ``space`` broadcasts.
+
+    The broadcast's own value is left alone, as the driver would load and keep it.
+    """
     import numpy as np
 
     words = [w for _, _, w in chosen]
-    vectors = np.stack([_vector(w, space.value) for w in words]).astype(np.float32)
+    vectors = np.stack([_vector(w, scaled) for w in words]).astype(np.float32)
     energy = np.einsum("ij,ij->i", vectors, vectors)
     whole = np.array([np.square(idf[np.unique(w & np.uint32(FEATURES - 1))]).sum() for w in words])
     least = MIN_HELD * energy * np.array([_covered(len(w)) for w in words])
@@ -430,13 +475,13 @@ def with_leaks(
     squares = np.append(idf**2, 0).astype(np.float32)
 
     def space(part: DataFrame, size: int):
-        """The latent space of a block of items, features scaled, as a broadcast of FEATURES x RANK floats."""
+        """The latent space of a block of items, features scaled: FEATURES x RANK floats and a row of zeros."""
         weight = math.sqrt(FIT_SHARE / (1 - FIT_SHARE) * size / max(1.0, rate * n_docs))
         own = part.select("item_text", F.lit(1.0).alias("weight")).mapInArrow(hashed, "words binary, weight double")
         passages = stored(own.unionByName(windows.withColumn("weight", F.lit(weight))), "passages")
         scaled = np.zeros((FEATURES + 1, RANK), np.float32)
         np.multiply(idf[:, None], randomised_svd(passages, idf), out=scaled[:-1])
-        return spark.sparkContext.broadcast(scaled)
+        return scaled
 
     row = docs.select(F.struct("*").alias("row"))
     schema = T.StructType(
@@ -472,7 +517,9 @@ def with_leaks(
             chosen = [(r["item_id"], r["item_text"], ids(r["item_text"])) for r in mine]
             chosen = sorted((x for x in chosen if len(x[2]) >= MIN_ITEM_WORDS), key=lambda x: (x[0] is None, x[0], x[1]))
             if chosen:
-                found.append(_block(chosen, space(part, len(mine)), idf, ids))
+                scaled = space(part, len(mine))
+                found.append(_block(chosen, scaled, spark.sparkContext.broadcast(scaled), idf, ids))
+                del scaled  # before the next space is made
         return found
 
     passes = [range(at, min(at + BLOCKS_PER_PASS, parts)) for at in range(0, parts, BLOCKS_PER_PASS)]

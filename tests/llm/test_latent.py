@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 
@@ -42,6 +43,31 @@ def test_singular_vectors_span_the_matrix(spark):
     assert (np.linalg.norm(a @ got) / np.linalg.norm(values)) > 0.98
 
 
+def test_the_driver_holds_few_copies_of_the_matrix(spark):
+    """By the memory of the driver's Python: one matrix in a product, two for the result; a space comes and goes."""
+    rng = random.Random(3)
+    idf = np.ones(latent.FEATURES, np.float32)
+    rows = [(bytearray(np.array([rng.randrange(2**32) for _ in range(30)], np.uint32).tobytes()), 1.0) for _ in range(40)]
+    passages = spark.createDataFrame(rows, "words binary, weight double")
+    matrix = latent.FEATURES * (latent.RANK + latent.OVERSAMPLE) * 4
+    docs, items, truth = cases(random.Random(6))
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    b = spark.createDataFrame(items, "item_id bigint, text string")
+    tracemalloc.start()
+    try:
+        got = latent.randomised_svd(passages, idf)
+        assert got.shape == (latent.FEATURES, latent.RANK)
+        assert tracemalloc.get_traced_memory()[1] < 2.6 * matrix
+        del got
+        before = tracemalloc.get_traced_memory()[0]
+        found = latent.with_leaks(d, b)
+        # the tasks' space is not kept by the driver's Python as well
+        assert tracemalloc.get_traced_memory()[0] - before < 0.5 * matrix
+        assert {r["row"]["doc_id"] for r in found.collect() if r["leaks"]} == set(truth)
+    finally:
+        tracemalloc.stop()
+
+
 def cases(rng):
     items = [(i, prose(rng, rng.randrange(20, 50)) + ". " + prose(rng, 6) + ".") for i in range(30)]
     docs = [(i, prose(rng, rng.randrange(5, 400))) for i in range(60)]
